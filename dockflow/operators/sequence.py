@@ -4,8 +4,13 @@
 single task; one heavy key (say a third of all rows) then becomes one huge
 sort. Here the window is partitioned by ``(key, time bucket)`` instead, and the
 last row of each bucket takes its successor from the first row of the key's
-next non-empty bucket. That second step runs on a per-(key, bucket) summary
-whose size is bounded by the number of buckets, not by the number of rows.
+next non-empty bucket. That second step runs on one row per (key, bucket),
+so its size is bounded by the number of buckets, not by the number of rows.
+
+Plan: one shuffle of the input on ``(key, bucket)`` feeds the bucket window;
+the bucket heads are read off the same window output (``row_number() = 1``),
+shuffled by ``key`` alone (one row per bucket), and joined back on
+``(key, bucket)``, where the big side is already partitioned.
 """
 
 from __future__ import annotations
@@ -33,38 +38,27 @@ def with_next(
     independently sorted groups; pick it so one bucket of the heaviest key fits
     a task (HOUR for typical data, MINUTE for very dense keys).
     """
-    ts = order[0]
-    bucket = "_seq_bucket"
-    first = "_seq_first"
-    following = "_seq_following"
+    bucket, head, following, is_last = "_seq_bucket", "_seq_head", "_seq_following", "_seq_is_last"
     carry = list(carry)
 
-    with_bucket = df.withColumn(bucket, F.date_trunc(bucket_unit, F.col(ts)))
-
+    with_bucket = df.withColumn(bucket, F.date_trunc(bucket_unit, F.col(order[0])))
     w_in = Window.partitionBy(key, bucket).orderBy(*order)
     in_bucket = with_bucket.select(
-        "*", *[F.lead(c).over(w_in).alias(c + suffix) for c in carry]
-    ).withColumn("_seq_is_last", F.lead(F.lit(True)).over(w_in).isNull())
+        "*",
+        *[F.lead(c).over(w_in).alias(c + suffix) for c in carry],
+        F.lead(F.lit(True)).over(w_in).isNull().alias(is_last),
+        (F.row_number().over(w_in) == 1).alias(head),
+    )
 
-    # One row per (key, bucket): its earliest row. Partial aggregation keeps
-    # the shuffle at one row per map task and group, however heavy the key.
-    # Struct fields: the sort columns first (they decide the minimum), then the
-    # carried values, under positional names so a column may be in both lists.
-    firsts = with_bucket.groupBy(key, bucket).agg(
-        F.min(
-            F.struct(
-                *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                *[F.col(c).alias(f"c{j}") for j, c in enumerate(carry)],
-            )
-        ).alias(first)
+    heads = in_bucket.filter(F.col(head)).select(
+        key, bucket, F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(carry)]).alias("_seq_values")
     )
     w_key = Window.partitionBy(key).orderBy(bucket)
-    successors = firsts.select(key, bucket, F.lead(first).over(w_key).alias(following))
+    successors = heads.select(key, bucket, F.lead("_seq_values").over(w_key).alias(following))
 
     joined = in_bucket.join(successors, on=[key, bucket], how="left")
     fixed = [
-        F.when(F.col("_seq_is_last"), F.col(f"{following}.c{j}")).otherwise(F.col(c + suffix)).alias(c + suffix)
+        F.when(F.col(is_last), F.col(f"{following}.c{j}")).otherwise(F.col(c + suffix)).alias(c + suffix)
         for j, c in enumerate(carry)
     ]
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *fixed)
+    return joined.select(*df.columns, *fixed)

@@ -50,5 +50,16 @@ def read_raw_trips(
 
 
 def write_raw_trips(raw: DataFrame, uri: str, mode: str = "overwrite") -> None:
-    """Publish raw rows as CSV with header (a row-level copy of the raw zone)."""
-    raw.select(*schema.RAW_COLUMNS).write.mode(mode).option("header", True).csv(uri)
+    """Publish raw rows as CSV with header (a row-level copy of the raw zone).
+
+    The CSV writer trims values by default; raw text is kept byte for byte so
+    that cleaning the published copy gives the same result.
+    """
+    (
+        raw.select(*schema.RAW_COLUMNS)
+        .write.mode(mode)
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(uri)
+    )
