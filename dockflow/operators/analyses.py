@@ -13,9 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
-from dockflow.functions import weekday_order
-
-DEFAULT_MEDIAN_ACCURACY = 1_000_000
+from dockflow.functions import route_label, weekday_order
 
 
 def _avg(col: str, scale: int = 2) -> Column:
@@ -67,19 +65,49 @@ def usage_by_bike_type(trips: DataFrame) -> DataFrame:
     ).orderBy(F.desc("trips"), "rideable_type", "member_casual")
 
 
-def member_vs_casual(trips: DataFrame, median_accuracy: int = DEFAULT_MEDIAN_ACCURACY) -> DataFrame:
+def lower_median(df: DataFrame, keys: list[str], value: str, alias: str = "median") -> DataFrame:
+    """Exact lower median of ``value`` per ``keys``: the smallest value whose
+    cumulative count reaches half the group (``percentile_approx`` definition,
+    SQL ``quantile_disc(0.5)``).
+
+    Counts per (keys, value) are aggregated partially before the shuffle, so
+    the work after it is bounded by the number of distinct values per group,
+    not by rows. Trip durations are whole seconds inside the cleaning window,
+    so a group has at most 86,339 distinct values however many trips it holds.
+    """
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.select(
+        *keys,
+        value,
+        F.sum("_n").over(upto).alias("_cum"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+    )
+    return ranked.filter(F.col("_cum") * 2 >= F.col("_total")).groupBy(*keys).agg(F.min(value).alias(alias))
+
+
+def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """Segment profile: share, mean and median duration, distance, round-trip rate.
 
-    The median is ``percentile_approx`` (a bounded-size sketch merged across
-    tasks); with the default accuracy it is exact at millions of rows per group.
+    The median is exact by default (:func:`lower_median`). Passing
+    ``median_accuracy`` uses ``percentile_approx`` with that accuracy instead,
+    for value columns without a small discrete domain.
     """
-    agg = trips.groupBy("member_casual").agg(
+    measures = [
         F.count(F.lit(1)).alias("trips"),
         _avg("trip_duration_min").alias("avg_duration_min"),
-        F.round(F.percentile_approx("trip_duration_min", 0.5, median_accuracy), 2).alias("median_duration_min"),
         _avg("trip_distance_km").alias("avg_distance_km"),
         _pct_of_rows(F.col("is_round_trip"), 2).alias("round_trip_pct"),
-    )
+    ]
+    if median_accuracy is None:
+        agg = trips.groupBy("member_casual").agg(*measures)
+        med = lower_median(trips, ["member_casual"], "trip_duration_min", "median_duration_min")
+        agg = agg.join(med, "member_casual", "left").withColumn(
+            "median_duration_min", F.round("median_duration_min", 2)
+        )
+    else:
+        approx = F.percentile_approx("trip_duration_min", 0.5, median_accuracy)
+        agg = trips.groupBy("member_casual").agg(*measures, F.round(approx, 2).alias("median_duration_min"))
     return agg.select(
         "member_casual",
         "trips",
@@ -132,13 +160,27 @@ def time_of_day_demand(trips: DataFrame) -> DataFrame:
 
 
 def route_stats(trips: DataFrame) -> DataFrame:
-    """Every directed station pair with its trip count and member share."""
-    return trips.groupBy("route", "start_station_name", "end_station_name").agg(
+    """Every directed station pair with its trip count and member share.
+
+    Grouped on the two station names only; the ``route`` label is a function
+    of them and is rebuilt after the aggregation, keeping it out of the
+    shuffle key.
+    """
+    agg = trips.groupBy("start_station_name", "end_station_name").agg(
         F.count(F.lit(1)).alias("trips"),
         _avg("trip_duration_min").alias("avg_duration_min"),
         _avg("trip_distance_km").alias("avg_distance_km"),
         _pct_of_rows(_is("member_casual", schema.MEMBER), 1).alias("member_pct"),
     )
+    return agg.select(
+        route_label("start_station_name", "end_station_name").alias("route"),
+        "start_station_name",
+        "end_station_name",
+        "trips",
+        "avg_duration_min",
+        "avg_distance_km",
+        "member_pct",
+    )
 
 
 def top_routes(trips: DataFrame, k: int = 25) -> DataFrame:

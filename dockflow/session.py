@@ -15,7 +15,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(app: str = "dockflow", cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", min_partition_size: str = "256KB") -> SparkSession:
     """A local session tuned for small data: AQE on, few shuffle partitions, no UI."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -24,6 +24,9 @@ def local_session(app: str = "dockflow", cores: int | str = "*", shuffle_partiti
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Small local inputs: let AQE keep more, smaller shuffle partitions so
+        # all cores work (the cluster default of 1MB would merge them into 1-2).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_size)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -25,7 +25,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "America/Chicago")
+        .config("spark.sql.session.timeZone", "America/New_York")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
