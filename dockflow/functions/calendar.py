@@ -15,19 +15,29 @@ from dockflow import schema
 from dockflow.functions._cols import as_col
 
 
+# Text shape of the default format; with ``try_cast`` (which rejects impossible
+# dates and times) it accepts exactly what the strict ``yyyy-MM-dd HH:mm:ss``
+# parser accepts, at about half the cost per row.
+_DEFAULT_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
 def parse_timestamp(text, fmt: str = schema.TS_FORMAT, keep_chars: int | None = schema.TS_TEXT_LENGTH) -> Column:
     """Parse text to ``TIMESTAMP_NTZ``; NULL on missing or malformed input.
 
     ``keep_chars`` keeps only the leading characters (dropping fractional
-    seconds with the default 19). The format check is strict (``try_to_timestamp``
-    with ``fmt``); the value itself is taken as wall-clock time so that no
-    session-zone conversion happens. Safe under ANSI mode.
+    seconds with the default 19). Parsing is strict in ``fmt``; the value is
+    taken as wall-clock time, so no session-zone conversion happens. Safe
+    under ANSI mode. The default format is checked by its text shape plus
+    ``try_cast``; any other format by ``try_to_timestamp`` with ``fmt``.
     """
     t = as_col(text)
     if keep_chars is not None:
         t = F.substring(t, 1, keep_chars)
-    strict_ok = F.try_to_timestamp(t, F.lit(fmt)).isNotNull()
-    return F.when(strict_ok, t.try_cast("timestamp_ntz"))
+    if fmt == schema.TS_FORMAT:
+        well_formed = t.rlike(_DEFAULT_SHAPE)
+    else:
+        well_formed = F.try_to_timestamp(t, F.lit(fmt)).isNotNull()
+    return F.when(well_formed, t.try_cast("timestamp_ntz"))
 
 
 def duration_min(start, end, tz: str | None = None) -> Column:

@@ -4,9 +4,11 @@ Every operator is lazy ``DataFrame -> DataFrame``.
 
 De-duplication keeps, per key, the row that sorts first on the given columns
 and then on all remaining columns, so the survivor is the same on every run
-and with any partitioning. It is an aggregation (``min`` of a struct), which
-Spark evaluates partially before the shuffle: a key that holds millions of
-copies sends one row per map task, never one task's worth of rows.
+and with any partitioning. It is written as ``row_number() = 1``, which Spark
+plans as a sort-based ``WindowGroupLimit`` on both sides of the shuffle: each
+map task keeps only its best row per key before shuffling, so a key that holds
+millions of copies sends one row per map task, never one task's worth of rows
+(the same guarantee as a partial aggregation, in generated code).
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
@@ -59,18 +61,14 @@ def filter_bbox(df: DataFrame, box: BBox = SERVICE_AREA) -> DataFrame:
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key: the least on ``order`` then on every other column.
 
-    Deterministic replacement for ``dropDuplicates(key)``; skew-safe through
-    partial aggregation (see module doc).
+    Deterministic replacement for ``dropDuplicates(key)`` (all columns must be
+    orderable); skew-safe through the map-side group limit (see module doc).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = list(order)
+    order = list(dict.fromkeys(order))
     rest = [c for c in df.columns if c not in keys and c not in order]
-    # Positional field names keep the struct valid even if a column is listed twice.
-    fields = [F.col(c).alias(f"f{i}") for i, c in enumerate(order + rest)]
-    winner = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
-    names = order + rest
-    out = winner.select(*keys, *[F.col(f"_first.f{i}").alias(c) for i, c in enumerate(names)])
-    return out.select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
+    return df.withColumn("_first_rank", F.row_number().over(w)).filter(F.col("_first_rank") == 1).drop("_first_rank")
 
 
 def default_rules(box: BBox = SERVICE_AREA, lo: float = schema.MIN_DURATION_MIN,

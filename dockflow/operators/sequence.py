@@ -7,9 +7,10 @@ last row of each bucket takes its successor from the first row of the key's
 next non-empty bucket. That second step runs on one row per (key, bucket),
 so its size is bounded by the number of buckets, not by the number of rows.
 
-Plan: one shuffle of the input on ``(key, bucket)`` feeds the bucket window;
-the bucket heads are read off the same window output (``row_number() = 1``),
-shuffled by ``key`` alone (one row per bucket), and joined back on
+Plan: one shuffle of the input on ``(key, bucket)`` feeds the bucket window.
+The bucket heads (``row_number() = 1``) become a map-side ``WindowGroupLimit``
+in Spark: that branch shuffles at most one row per (key, bucket) and map task,
+then one row per bucket by ``key`` alone, and is joined back on
 ``(key, bucket)``, where the big side is already partitioned.
 """
 

@@ -136,3 +136,18 @@ def test_text_normalisation(spark):
         route_label(F.lit("X"), F.lit("Y")).alias("r"),
     ).first()
     assert (r.a, r.b, r.c, r.c2, r.r) == ("classic_bike", "Alpha St", "", None, "X -> Y")
+
+
+def test_default_format_shape_check_equals_strict_parser(spark):
+    """The fast default path accepts exactly what the strict formatter accepts."""
+    texts = ["2024-01-12 08:15:00", "2024-02-30 00:00:00", "2024-02-29 00:00:00", "2023-02-29 00:00:00",
+             "2024-13-01 00:00:00", "2024-01-01 24:00:00", "2024-01-01T08:15:00", " 2024-01-01 08:15:0",
+             "2024-1-5 01:02:03", "bad", "", None, "2024-01-01 08:15:60", "+024-01-01 08:15:00",
+             "2024-01-01 08:15:00.5", "2024-01-01 08:15", "2024/01/01 08:15:00", "9999-12-31 23:59:59",
+             "2024-01-01 00:00:00Z", "2024-00-10 00:00:00", "2024-01-00 00:00:00", "2024-01-01 8:15:00 "]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    fast = parse_timestamp("s").cast("string")
+    t = F.substring("s", 1, 19)
+    reference = F.when(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull(), t.try_cast("timestamp_ntz"))
+    rows = df.select(fast.alias("a"), reference.cast("string").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
