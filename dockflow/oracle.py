@@ -271,9 +271,10 @@ p AS (SELECT trip_month AS peak_month, trips AS peak_trips FROM m ORDER BY trips
 t AS (SELECT trip_month AS trough_month, trips AS trough_trips FROM m ORDER BY trips ASC, trip_month LIMIT 1)
 SELECT summer_trips, winter_trips,
   ROUND(CAST(summer_trips AS DOUBLE) / NULLIF(winter_trips, 0), 1) AS summer_winter_ratio,
-  peak_month, peak_trips, trough_month, trough_trips,
-  ROUND(CAST(peak_trips AS DOUBLE) / NULLIF(trough_trips, 0), 1) AS peak_trough_ratio
-FROM s, p, t
+  (SELECT peak_month FROM p) AS peak_month, (SELECT peak_trips FROM p) AS peak_trips,
+  (SELECT trough_month FROM t) AS trough_month, (SELECT trough_trips FROM t) AS trough_trips,
+  ROUND(CAST((SELECT peak_trips FROM p) AS DOUBLE) / NULLIF((SELECT trough_trips FROM t), 0), 1) AS peak_trough_ratio
+FROM s
 """,
     "station_concentration": """
 , r AS (
@@ -334,8 +335,7 @@ SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_s
 FROM trips
 """,
     "quality_funnel": """
-, n AS (SELECT COUNT(*) AS raw_rows FROM raw),
-steps AS (
+, steps AS (
   SELECT 0 AS step_no, 'raw rows' AS step, (SELECT COUNT(*) FROM raw) AS n_rows
   UNION ALL SELECT 1, 'drop missing essentials', (SELECT COUNT(*) FROM present)
   UNION ALL SELECT 2, 'drop duplicate ride_ids', (SELECT COUNT(*) FROM uniq)
@@ -344,9 +344,9 @@ steps AS (
   UNION ALL SELECT 4, 'filter GPS to service bbox', (SELECT COUNT(*) FROM kept)
 )
 SELECT CAST(step_no AS INTEGER) AS step_no, step, n_rows AS "rows",
-  raw_rows - n_rows AS removed_so_far,
-  ROUND(CAST(100.0 AS DOUBLE) * n_rows / NULLIF(raw_rows, 0), 1) AS pct_of_raw
-FROM steps, n ORDER BY step_no
+  (SELECT COUNT(*) FROM raw) - n_rows AS removed_so_far,
+  ROUND(CAST(100.0 AS DOUBLE) * n_rows / NULLIF((SELECT COUNT(*) FROM raw), 0), 1) AS pct_of_raw
+FROM steps ORDER BY step_no
 """,
     "virtual_zones": """
 , dockless AS (

@@ -6,10 +6,12 @@ default to the values used at full scale; ``run_catalog`` accepts overrides.
 
 from __future__ import annotations
 
+import glob
+import os
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from dockflow.operators import analyses, clean, flows
 from dockflow.plans import feeds, report
@@ -88,3 +90,23 @@ def run_catalog(
             raise KeyError(f"{name!r} is not a trips query")
         out[name] = bind(name, params.get(name))(trips)
     return out
+
+
+def load_sql(path: str) -> str:
+    """Text of one ``.sql`` file, without a trailing ``;`` (one statement per file)."""
+    with open(path, encoding="utf-8") as fh:
+        return fh.read().strip().rstrip(";").strip()
+
+
+def run_sql_files(spark: SparkSession, trips: DataFrame, sql_dir: str, view: str = "trips") -> dict[str, DataFrame]:
+    """Run every ``*.sql`` file of ``sql_dir`` (sorted by name) against ``trips``.
+
+    ``trips`` is registered as the temp view ``view``; each file holds one
+    statement and yields one lazy result named after the file stem. Raises if
+    the folder holds no ``.sql`` file.
+    """
+    paths = sorted(glob.glob(os.path.join(sql_dir, "*.sql")))
+    if not paths:
+        raise FileNotFoundError(f"no .sql files in {sql_dir}")
+    trips.createOrReplaceTempView(view)
+    return {os.path.splitext(os.path.basename(p))[0]: spark.sql(load_sql(p)) for p in paths}

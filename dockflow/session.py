@@ -42,12 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, durable folder and is
-    used as is. Only when nothing is configured (local tests) a fresh folder is
-    made under the system temp directory.
+    used as is; if it is missing there, this raises rather than fall back to a
+    machine-local folder. Only for a ``local[...]`` master with nothing
+    configured (tests, the bench) a fresh folder is made under the system temp
+    directory.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder for intermediate tables")
     path = tempfile.mkdtemp(prefix="dockflow-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)

@@ -86,3 +86,20 @@ def test_catalog_runner(spark, trips_small):
         run_catalog(trips_small, ["clean_trips"])
     register_trips(spark, trips_small)
     assert spark.sql("SELECT COUNT(*) FROM trips").first()[0] == trips_small.count()
+
+
+def test_sql_folder_runner(spark, trips_small, tmp_dir):
+    from dockflow.operators import analyses
+    from dockflow.plans.catalog import run_sql_files
+
+    with pytest.raises(FileNotFoundError):
+        run_sql_files(spark, trips_small, tmp_dir)
+    with open(os.path.join(tmp_dir, "02_hours.sql"), "w") as fh:
+        fh.write("SELECT hour, COUNT(*) AS total_trips FROM trips GROUP BY hour ORDER BY hour;\n")
+    with open(os.path.join(tmp_dir, "01_months.sql"), "w") as fh:
+        fh.write("SELECT trip_month, COUNT(*) AS trips FROM trips GROUP BY trip_month ORDER BY trip_month")
+    out = run_sql_files(spark, trips_small, tmp_dir)
+    assert list(out) == ["01_months", "02_hours"]
+    assert [tuple(r) for r in out["01_months"].collect()] == [tuple(r) for r in analyses.monthly_trips(trips_small).collect()]
+    direct = analyses.hourly_demand(trips_small).select("hour", "total_trips")
+    assert [tuple(r) for r in out["02_hours"].collect()] == [tuple(r) for r in direct.collect()]

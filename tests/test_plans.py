@@ -82,3 +82,25 @@ def test_curated_layout(spark, curated):
     back = read_trips(spark, curated)
     assert dict(back.dtypes)["trip_month"] == "string"
     assert back.count() == spark.read.parquet(curated).count()
+
+
+def test_write_splits_a_hot_month(spark, trips_medium, tmp_path):
+    """A month holding most rows is written by several tasks, not one."""
+    import glob as _glob
+
+    from pyspark.sql import functions as F
+
+    hot = trips_medium.withColumn(
+        "trip_month", F.when(F.hash("ride_id") % 5 != 0, F.lit("2024-06")).otherwise(F.col("trip_month"))
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64KB")
+    try:
+        path = str(tmp_path / "hot")
+        write_trips(hot, path)
+    finally:
+        spark.conf.set(key, old)
+    files = _glob.glob(f"{path}/trip_month=2024-06/*.parquet")
+    assert len(files) > 1
+    assert read_trips(spark, path).count() == trips_medium.count()
