@@ -27,8 +27,8 @@ WITH ev AS (
 ),
 seq AS (
   SELECT *,
-         LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ts2,
-         LEAD(k) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k2,
+         LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS ts2,
+         LEAD(k) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS k2,
          to_days(CAST((user_id * 2) % 360 AS INTEGER)) AS shift
   FROM ev
 ),
