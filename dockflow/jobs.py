@@ -14,19 +14,23 @@ session for a laptop run.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import SparkSession
-
-from dockflow.operators import analyses, flows
-from dockflow.operators.clean import clean_trips, quality_funnel
-from dockflow.plans.catalog import run_sql_files
-from dockflow.plans.rollup import run_report
-from dockflow.session import local_session
-from dockflow.sources.archives import read_archived_trips
-from dockflow.sources.curated import read_trips, write_trips
-from dockflow.sources.raw_csv import month_paths, read_raw_trips
-from dockflow.sources.results import export_all, export_result, preview
+if __package__ in (None, ""):  # run as a script (spark-submit dockflow/jobs.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark.sql import SparkSession  # noqa: E402
+
+from dockflow.operators import analyses, flows  # noqa: E402
+from dockflow.operators.clean import clean_trips, quality_funnel  # noqa: E402
+from dockflow.plans.catalog import run_sql_files  # noqa: E402
+from dockflow.plans.rollup import run_report  # noqa: E402
+from dockflow.session import local_session  # noqa: E402
+from dockflow.sources.archives import read_archived_trips  # noqa: E402
+from dockflow.sources.curated import read_trips, write_trips  # noqa: E402
+from dockflow.sources.raw_csv import month_paths, read_raw_trips  # noqa: E402
+from dockflow.sources.results import export_all, export_result, preview  # noqa: E402
 
 
 def _session(args: argparse.Namespace) -> SparkSession:
