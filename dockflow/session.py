@@ -64,3 +64,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for an intermediate table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def scale_conf(input_bytes: int, total_cores: int, *, scan_split_bytes: int = 256 << 20,
+               shuffle_target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings for a cluster run, from input size and core count.
+
+    Scan splits of ``scan_split_bytes``; the initial shuffle partition count
+    sized so the largest shuffle (de-duplication carries about the whole
+    projected input) gets ``shuffle_target_bytes`` per partition and at least
+    two waves of tasks, leaving AQE to coalesce small stages and split skewed
+    ones. Pass the result to ``SparkSession.builder.config(map=...)`` or
+    ``spark.conf.set``.
+    """
+    shuffle_parts = max(2 * total_cores, -(-input_bytes // shuffle_target_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }

@@ -103,3 +103,11 @@ def test_sql_folder_runner(spark, trips_small, tmp_dir):
     assert [tuple(r) for r in out["01_months"].collect()] == [tuple(r) for r in analyses.monthly_trips(trips_small).collect()]
     direct = analyses.hourly_demand(trips_small).select("hour", "total_trips")
     assert [tuple(r) for r in out["02_hours"].collect()] == [tuple(r) for r in direct.collect()]
+
+
+def test_scale_conf():
+    from dockflow.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
