@@ -58,3 +58,19 @@ def test_no_window_partitioned_by_key_alone_on_rows(events_small):
     out = with_next(ev, key="user_id", order=["ts", "event_id"], carry=["ts", "k"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "_seq_bucket" in plan and "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_spread_over_buckets(spark):
+    """One user with a third of all rows: same result as lead(), and its rows
+    are windowed in many (user, bucket) groups rather than one."""
+    n = 6000
+    df = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 97 + 2).cast("long").alias("user_id"),
+        (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(mins=(F.col("id") * 7 % 5000).cast("int"))).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 100).cast("int").alias("k"),
+    )
+    got = with_next(df, key="user_id", order=["ts", "event_id"], carry=["ts", "k"])
+    assert _rows(got) == _rows(_brute(df))
+    buckets = df.filter("user_id = 1").select(F.date_trunc("HOUR", "ts")).distinct().count()
+    assert buckets > 50
