@@ -1,0 +1 @@
+"""Structured Streaming jobs: incremental, idempotent landing of archives and raw trips."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import shutil
 import zipfile
 
 import pytest
