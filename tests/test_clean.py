@@ -116,3 +116,12 @@ def test_first_per_key_hot_key_limited_before_shuffle(spark):
     assert plan.index("Exchange hashpartitioning(key") < partial
     hot = out.filter(F.col("key") == "hot").first()
     assert hot.o == 100000 - 19998
+
+
+def test_funnel_on_empty_input(spark):
+    empty = spark.createDataFrame([], schema.RAW_SCHEMA)
+    out = quality_funnel(empty).orderBy("step_no").collect()
+    assert [r.rows for r in out] == [0, 0, 0, 0, 0]
+    assert [r.removed_so_far for r in out] == [0] * 5
+    assert all(r.pct_of_raw is None for r in out)
+    assert clean_trips(empty).count() == 0
