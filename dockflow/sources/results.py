@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 PREVIEW_ROWS = 12
 PREVIEW_TRUNCATE = 45
@@ -21,14 +22,24 @@ def export_result(result: DataFrame, path: str, single_file: bool = True) -> Non
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_all(results: Mapping[str, DataFrame], base_dir: str) -> list[str]:
-    """Export each named result to ``base_dir/<name>``; returns the paths."""
-    paths = []
-    for name, df in results.items():
-        p = f"{base_dir.rstrip('/')}/{name}"
-        export_result(df, p)
-        paths.append(p)
-    return paths
+def export_all(results: Mapping[str, DataFrame], base_dir: str, max_workers: int = 4) -> list[str]:
+    """Export each named result to ``base_dir/<name>``; returns the paths.
+
+    The results are independent jobs, submitted from ``max_workers`` driver
+    threads at once so small report queries overlap instead of queueing.
+    """
+    paths = {name: f"{base_dir.rstrip('/')}/{name}" for name in results}
+    with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+        list(pool.map(lambda name: export_result(results[name], paths[name]), list(results)))
+    return list(paths.values())
+
+
+def collect_all(results: Mapping[str, DataFrame], max_workers: int = 4) -> dict[str, list[Row]]:
+    """Collect several small, independent results concurrently (driver threads)."""
+    names = list(results)
+    with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+        rows = list(pool.map(lambda name: results[name].collect(), names))
+    return dict(zip(names, rows))
 
 
 def preview(result: DataFrame, n: int = PREVIEW_ROWS, truncate: int = PREVIEW_TRUNCATE) -> None:
