@@ -64,9 +64,8 @@ def _with_net(flow: DataFrame) -> DataFrame:
     )
 
 
-def top_stations(trips: DataFrame, k: int = 25) -> DataFrame:
-    """The ``k`` stations with most departures + arrivals."""
-    flow = station_flow(trips)
+def top_stations_from_flow(flow: DataFrame, k: int = 25) -> DataFrame:
+    """The ``k`` stations with most departures + arrivals, from a station flow."""
     return (
         flow.select("station", "departures", "arrivals", (F.col("departures") + F.col("arrivals")).alias("total_activity"))
         .orderBy(F.desc("total_activity"), "station")
@@ -74,10 +73,20 @@ def top_stations(trips: DataFrame, k: int = 25) -> DataFrame:
     )
 
 
+def top_stations(trips: DataFrame, k: int = 25) -> DataFrame:
+    """The ``k`` stations with most departures + arrivals."""
+    return top_stations_from_flow(station_flow(trips), k)
+
+
+def imbalance_from_flow(flow: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
+    """Net outflow per station with at least ``min_activity`` events, largest first."""
+    kept = flow.filter(F.col("departures") + F.col("arrivals") >= min_activity)
+    return _with_net(kept).orderBy(F.desc("net_outflow"), "station")
+
+
 def station_imbalance(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
     """Net outflow per station with at least ``min_activity`` events, largest first."""
-    flow = station_flow(trips).filter(F.col("departures") + F.col("arrivals") >= min_activity)
-    return _with_net(flow).orderBy(F.desc("net_outflow"), "station")
+    return imbalance_from_flow(station_flow(trips), min_activity)
 
 
 def station_imbalance_by_join(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
@@ -93,21 +102,27 @@ def station_imbalance_by_join(trips: DataFrame, min_activity: int = DEFAULT_MIN_
     return _with_net(flow).orderBy(F.desc("net_outflow"), "station")
 
 
-def top_draining_stations(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY, k: int = 5) -> DataFrame:
-    """The ``k`` stations losing most bikes, among stations with both departures
+def draining_from_flow(flow: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY, k: int = 5) -> DataFrame:
+    """The ``k`` stations losing most bikes among stations with both departures
     and arrivals (inner-join semantics) and enough activity."""
-    flow = station_flow(trips).filter(
+    kept = flow.filter(
         (F.col("departures") > 0)
         & (F.col("arrivals") > 0)
         & (F.col("departures") + F.col("arrivals") >= min_activity)
     )
     return (
-        flow.select("station", (F.col("departures") - F.col("arrivals")).alias("net_outflow"))
+        kept.select("station", (F.col("departures") - F.col("arrivals")).alias("net_outflow"))
         .orderBy(F.desc("net_outflow"), "station")
         .limit(k)
     )
 
 
+def top_draining_stations(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY, k: int = 5) -> DataFrame:
+    """The ``k`` stations losing most bikes, among stations with both departures
+    and arrivals (inner-join semantics) and enough activity."""
+    return draining_from_flow(station_flow(trips), min_activity, k)
+
+
 def draining_by_join(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY, k: int = 5) -> DataFrame:
     """:func:`top_draining_stations` in the two-aggregate inner-join form."""
     dep = trips.groupBy(F.col("start_station_name").alias("station")).agg(F.count(F.lit(1)).alias("departures"))
@@ -120,6 +135,17 @@ def draining_by_join(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY,
     )
 
 
+def intraday_from_counts(counts: DataFrame, min_activity: int = 0) -> DataFrame:
+    """Net outflow per station and daypart from rows of
+    ``station, time_of_day, departures, arrivals`` (partial counts)."""
+    flow = counts.groupBy("station", "time_of_day").agg(
+        F.sum("departures").alias("departures"),
+        F.sum("arrivals").alias("arrivals"),
+    )
+    flow = flow.filter(F.col("departures") + F.col("arrivals") >= min_activity)
+    return _with_net(flow).orderBy("station", "time_of_day")
+
+
 def intraday_imbalance(trips: DataFrame, min_activity: int = 0) -> DataFrame:
     """Net outflow per station and daypart; a departure counts in the daypart
     of its start time, an arrival in the daypart of its end time."""
@@ -128,15 +154,10 @@ def intraday_imbalance(trips: DataFrame, min_activity: int = 0) -> DataFrame:
         start_extra=[time_of_day(F.hour("started_at")).alias("time_of_day")],
         end_extra=[time_of_day(F.hour("ended_at")).alias("time_of_day")],
     )
-    flow = events.groupBy("station", "time_of_day").agg(
-        F.sum("departures").alias("departures"),
-        F.sum("arrivals").alias("arrivals"),
-    )
-    flow = flow.filter(F.col("departures") + F.col("arrivals") >= min_activity)
-    return _with_net(flow).orderBy("station", "time_of_day")
+    return intraday_from_counts(events, min_activity)
 
 
-def rebalancing_pairs(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
+def pairs_from_imbalance(imbalance: DataFrame) -> DataFrame:
     """Pair the i-th strongest sink with the i-th strongest source.
 
     Output: ``pair_rank, from_station, from_surplus, to_station, to_deficit,
@@ -144,7 +165,7 @@ def rebalancing_pairs(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY
     ``to_station`` (drains). Ranking runs on the per-station table, whose
     size is the number of stations, not trips.
     """
-    imb = station_imbalance(trips, min_activity).select("station", "net_outflow")
+    imb = imbalance.select("station", "net_outflow")
     sinks = imb.filter(F.col("net_outflow") < 0).select(
         F.row_number().over(Window.orderBy("net_outflow", "station")).alias("pair_rank"),
         F.col("station").alias("from_station"),
@@ -160,3 +181,8 @@ def rebalancing_pairs(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY
         .withColumn("bikes_to_move", F.least("from_surplus", "to_deficit"))
         .orderBy("pair_rank")
     )
+
+
+def rebalancing_pairs(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
+    """Sink -> source pairs by rank of imbalance (see :func:`pairs_from_imbalance`)."""
+    return pairs_from_imbalance(station_imbalance(trips, min_activity))

@@ -15,10 +15,9 @@ from dockflow.operators import analyses, flows
 SEGMENT_METRICS = ["avg_duration_min", "median_duration_min", "avg_distance_km", "round_trip_pct"]
 
 
-def monthly_stack(trips: DataFrame) -> DataFrame:
-    """Stacked monthly bars: member bar from 0, casual bar on top of it."""
-    mv = analyses.monthly_volume(trips)
-    return mv.select(
+def monthly_stack_from(monthly: DataFrame) -> DataFrame:
+    """Stacked monthly bars from a ``monthly_volume`` result."""
+    return monthly.select(
         "trip_month",
         "member_trips",
         "casual_trips",
@@ -27,43 +26,69 @@ def monthly_stack(trips: DataFrame) -> DataFrame:
     ).orderBy("trip_month")
 
 
+def monthly_stack(trips: DataFrame) -> DataFrame:
+    """Stacked monthly bars: member bar from 0, casual bar on top of it."""
+    return monthly_stack_from(analyses.monthly_volume(trips))
+
+
+def hourly_lines_from(hourly: DataFrame) -> DataFrame:
+    return hourly.select("hour", "weekday_trips", "weekend_trips").orderBy("hour")
+
+
 def hourly_lines(trips: DataFrame) -> DataFrame:
     """Weekday and weekend lines by hour, hour ascending."""
-    return analyses.hourly_demand(trips).select("hour", "weekday_trips", "weekend_trips").orderBy("hour")
+    return hourly_lines_from(analyses.hourly_demand(trips))
+
+
+def season_bars_from(seasonal: DataFrame) -> DataFrame:
+    label = F.concat(F.round("casual_pct", 0).cast("int").cast("string"), F.lit("% casual"))
+    return seasonal.select("season", "trips", "casual_pct", label.alias("bar_label"))
 
 
 def season_bars(trips: DataFrame) -> DataFrame:
     """Season bars with a ``'NN% casual'`` label (whole percent, half up)."""
-    sd = analyses.seasonal_demand(trips)
-    label = F.concat(F.round("casual_pct", 0).cast("int").cast("string"), F.lit("% casual"))
-    return sd.select("season", "trips", "casual_pct", label.alias("bar_label"))
+    return season_bars_from(analyses.seasonal_demand(trips))
 
 
-def segment_comparison(trips: DataFrame) -> DataFrame:
-    """Long form ``metric, member, casual`` of the four segment metrics."""
-    prof = analyses.member_vs_casual(trips).select("member_casual", *SEGMENT_METRICS)
+def segment_comparison_from(profile: DataFrame) -> DataFrame:
+    """Long form ``metric, member, casual`` from a ``member_vs_casual`` result."""
+    prof = profile.select("member_casual", *SEGMENT_METRICS)
     long = prof.unpivot(["member_casual"], SEGMENT_METRICS, "metric", "value")
     wide = long.groupBy("metric").pivot("member_casual", [schema.MEMBER, schema.CASUAL]).agg(F.max("value"))
     order = F.array_position(F.array(*[F.lit(m) for m in SEGMENT_METRICS]), F.col("metric"))
     return wide.orderBy(order).select("metric", schema.MEMBER, schema.CASUAL)
 
 
+def segment_comparison(trips: DataFrame) -> DataFrame:
+    """Long form ``metric, member, casual`` of the four segment metrics."""
+    return segment_comparison_from(analyses.member_vs_casual(trips))
+
+
+def top_stations_chart_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:
+    top = flows.top_stations_from_flow(flow, k).select("station", "total_activity")
+    return top.orderBy("total_activity", F.desc("station"))
+
+
 def top_stations_chart(trips: DataFrame, k: int = 15) -> DataFrame:
     """The ``k`` busiest stations, smallest first (horizontal bar order)."""
-    top = flows.top_stations(trips, k).select("station", "total_activity")
-    return top.orderBy("total_activity", F.desc("station"))
+    return top_stations_chart_from_flow(flows.station_flow(trips), k)
 
 
-def imbalance_extremes(trips: DataFrame, k: int = 10, min_activity: int = flows.DEFAULT_MIN_ACTIVITY) -> DataFrame:
-    """``k`` strongest sources plus ``k`` strongest sinks of the imbalance table.
+def imbalance_extremes_from(imbalance: DataFrame, k: int = 10) -> DataFrame:
+    """``k`` strongest sources plus ``k`` strongest sinks of an imbalance table.
 
     Both ends are taken from the same ordered table, as two top-k reads, and
     concatenated (a station can appear at both ends when fewer than ``2k``
     stations qualify). ``direction`` is ``source`` when net outflow > 0.
     """
-    imb = flows.station_imbalance(trips, min_activity).select("station", "net_outflow")
+    imb = imbalance.select("station", "net_outflow")
     head = imb.orderBy(F.desc("net_outflow"), "station").limit(k).withColumn("side", F.lit("top"))
     tail = imb.orderBy("net_outflow", F.desc("station")).limit(k).withColumn("side", F.lit("bottom"))
     both = tail.unionByName(head)
     direction = F.when(F.col("net_outflow") > 0, "source").otherwise("sink")
     return both.select("station", "net_outflow", "side", direction.alias("direction")).orderBy("net_outflow", "station", "side")
+
+
+def imbalance_extremes(trips: DataFrame, k: int = 10, min_activity: int = flows.DEFAULT_MIN_ACTIVITY) -> DataFrame:
+    """``k`` strongest sources plus ``k`` strongest sinks of the imbalance table."""
+    return imbalance_extremes_from(flows.station_imbalance(trips, min_activity), k)

@@ -15,14 +15,8 @@ SUMMER_MONTHS = (6, 7, 8)
 WINTER_MONTHS = (12, 1, 2)
 
 
-def demand_ratios(trips: DataFrame) -> DataFrame:
-    """Summer/winter trip ratio and peak/trough month ratio, in one row.
-
-    Seasons are functions of the month, so both ratios come from the monthly
-    counts (one aggregation over trips, then one over at most a few hundred
-    month rows). Ties on trip counts pick the earlier month.
-    """
-    monthly = analyses.monthly_trips(trips)
+def demand_ratios_from_monthly(monthly: DataFrame) -> DataFrame:
+    """Both ratios from ``trip_month, trips`` rows (at most a few hundred)."""
     month_no = F.substring("trip_month", 6, 2).cast("int")
     agg = monthly.agg(
         F.sum(F.when(month_no.isin(*SUMMER_MONTHS), F.col("trips")).otherwise(0)).alias("summer_trips"),
@@ -42,10 +36,20 @@ def demand_ratios(trips: DataFrame) -> DataFrame:
     )
 
 
-def station_concentration(trips: DataFrame, k: int = 15) -> DataFrame:
-    """Share of all trip endpoints held by the ``k`` busiest stations."""
-    flow = flows.station_flow(trips).select("station", (F.col("departures") + F.col("arrivals")).alias("activity"))
-    ranked = flow.withColumn("_rank", F.row_number().over(Window.orderBy(F.desc("activity"), "station")))
+def demand_ratios(trips: DataFrame) -> DataFrame:
+    """Summer/winter trip ratio and peak/trough month ratio, in one row.
+
+    Seasons are functions of the month, so both ratios come from the monthly
+    counts (one aggregation over trips, then one over at most a few hundred
+    month rows). Ties on trip counts pick the earlier month.
+    """
+    return demand_ratios_from_monthly(analyses.monthly_trips(trips))
+
+
+def concentration_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:
+    """Share of all trip endpoints held by the ``k`` busiest stations of a flow."""
+    act = flow.select("station", (F.col("departures") + F.col("arrivals")).alias("activity"))
+    ranked = act.withColumn("_rank", F.row_number().over(Window.orderBy(F.desc("activity"), "station")))
     agg = ranked.agg(
         F.sum(F.when(F.col("_rank") <= k, F.col("activity")).otherwise(0)).alias("top_activity"),
         F.sum("activity").alias("total_activity"),
@@ -60,14 +64,19 @@ def station_concentration(trips: DataFrame, k: int = 15) -> DataFrame:
     )
 
 
+def station_concentration(trips: DataFrame, k: int = 15) -> DataFrame:
+    """Share of all trip endpoints held by the ``k`` busiest stations."""
+    return concentration_from_flow(flows.station_flow(trips), k)
+
+
+def commuter_from_routes(routes: DataFrame, min_member_pct: float = 90.0, k: int = 25) -> DataFrame:
+    """Busiest routes of a route-statistics table whose member share exceeds ``min_member_pct``."""
+    return routes.filter(F.col("member_pct") > F.lit(float(min_member_pct))).orderBy(F.desc("trips"), "route").limit(k)
+
+
 def commuter_routes(trips: DataFrame, min_member_pct: float = 90.0, k: int = 25) -> DataFrame:
     """Busiest routes whose member share exceeds ``min_member_pct``."""
-    return (
-        analyses.route_stats(trips)
-        .filter(F.col("member_pct") > F.lit(float(min_member_pct)))
-        .orderBy(F.desc("trips"), "route")
-        .limit(k)
-    )
+    return commuter_from_routes(analyses.route_stats(trips), min_member_pct, k)
 
 
 def summer_weekend_casual(trips: DataFrame, k: int = 25) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Shared-scan report: all ten core analyses from ONE aggregation of the trips.
+"""Shared-scan report: the whole trips catalog from ONE aggregation of the trips.
 
-Running the core analyses one by one scans the curated trips ten times. Here
+Running the analyses one by one scans the curated trips once per query. Here
 a single ``GROUPING SETS`` aggregation (one scan, rows expanded per set and
-partially aggregated before one shuffle) produces three summaries at once:
+partially aggregated before one shuffle) produces five summaries at once:
 
 * the *trip cube* keyed by (month, vehicle type, segment, weekday, hour) --
   plus ``is_weekend``, ``time_of_day`` and ``season``, functions of those keys
@@ -12,7 +12,13 @@ partially aggregated before one shuffle) produces three summaries at once:
 * route statistics per (start, end) station pair: top routes, and the station
   flow (departures = sum over routes leaving, arrivals = over routes arriving);
 * counts per (segment, duration): the exact median (bounded by the number of
-  distinct whole-second durations).
+  distinct whole-second durations);
+* counts per (start station, daypart, season, weekend, segment): departures
+  by daypart and the summer-weekend casual demand;
+* counts per (end station, end daypart): arrivals by daypart.
+
+Every summary is bounded by category domains and the number of stations (or
+station pairs), never by the number of trips.
 
 The combined summary is checkpointed once into ``spark.checkpoint.dir``
 (lineage cut, survives executor loss); the report queries read only it.
@@ -25,18 +31,26 @@ the direct queries' operation order and are identical.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
-from dockflow.functions import route_label, weekday_order
+
+from dockflow.functions import route_label, time_of_day, weekday_order
 from dockflow.operators import flows
+from dockflow.plans import feeds, report
 from dockflow.session import ensure_checkpoint_dir
 
 CUBE_KEYS = ["trip_month", "rideable_type", "member_casual", "day_of_week", "is_weekend", "hour", "time_of_day", "season"]
 ROUTE_KEYS = ["start_station_name", "end_station_name"]
 MEDIAN_KEYS = ["member_casual", "trip_duration_min"]
-SUMMARY_KEYS = list(dict.fromkeys(CUBE_KEYS + ROUTE_KEYS + MEDIAN_KEYS))
+DEPARTURE_KEYS = ["start_station_name", "time_of_day", "season", "is_weekend", "member_casual"]
+ARRIVAL_KEYS = ["end_station_name", "end_time_of_day"]
+SETS = [CUBE_KEYS, ROUTE_KEYS, MEDIAN_KEYS, DEPARTURE_KEYS, ARRIVAL_KEYS]
+SUMMARY_KEYS = list(dict.fromkeys(k for keys in SETS for k in keys))
+MEASURES = ["trips", "sum_duration", "sum_distance", "round_trips", "member_trips", "first_month"]
 
 
 def _grouping_id(grouped: list[str]) -> int:
@@ -57,17 +71,21 @@ def _measures() -> list[Column]:
 
 
 def report_summary(trips: DataFrame) -> DataFrame:
-    """The three summaries in one aggregation, tagged by ``gid``."""
-    sets = [CUBE_KEYS, ROUTE_KEYS, MEDIAN_KEYS]
-    return trips.groupingSets(sets, *SUMMARY_KEYS).agg(*_measures(), F.grouping_id().alias("gid"))
+    """The five summaries in one aggregation, tagged by ``gid``."""
+    with_end = trips.withColumn("end_time_of_day", time_of_day(F.hour("ended_at")))
+    return with_end.groupingSets(SETS, *SUMMARY_KEYS).agg(*_measures(), F.grouping_id().alias("gid"))
+
+
+def summary_part(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of one grouping set, with its keys and the measures."""
+    return summary.filter(F.col("gid") == _grouping_id(keys)).select(*keys, *MEASURES)
 
 
 def split_summary(summary: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cube, route counts, duration counts) out of :func:`report_summary`."""
-    measures = ["trips", "sum_duration", "sum_distance", "round_trips", "member_trips", "first_month"]
-    cube = summary.filter(F.col("gid") == _grouping_id(CUBE_KEYS)).select(*CUBE_KEYS, *measures)
-    routes = summary.filter(F.col("gid") == _grouping_id(ROUTE_KEYS)).select(*ROUTE_KEYS, *measures)
-    durations = summary.filter(F.col("gid") == _grouping_id(MEDIAN_KEYS)).select(*MEDIAN_KEYS, F.col("trips").alias("_n"))
+    cube = summary_part(summary, CUBE_KEYS)
+    routes = summary_part(summary, ROUTE_KEYS)
+    durations = summary_part(summary, MEDIAN_KEYS).select(*MEDIAN_KEYS, F.col("trips").alias("_n"))
     return cube, routes, durations
 
 
@@ -219,43 +237,118 @@ def station_flow(routes: DataFrame) -> DataFrame:
     return ends.groupBy("station").agg(F.sum("departures").alias("departures"), F.sum("arrivals").alias("arrivals"))
 
 
+def monthly_trips(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("trip_month").agg(_n().alias("trips")).orderBy("trip_month")
+
+
+def intraday_counts(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """``station, time_of_day, departures, arrivals`` rows from the two daypart summaries."""
+    dep = departures.select(
+        F.col("start_station_name").alias("station"), "time_of_day",
+        F.col("trips").alias("departures"), F.lit(0).cast("long").alias("arrivals"),
+    )
+    arr = arrivals.select(
+        F.col("end_station_name").alias("station"), F.col("end_time_of_day").alias("time_of_day"),
+        F.lit(0).cast("long").alias("departures"), F.col("trips").alias("arrivals"),
+    )
+    return dep.unionByName(arr)
+
+
+def summer_weekend_casual(departures: DataFrame, k: int = 25) -> DataFrame:
+    sel = departures.filter(
+        (F.col("season") == "Summer") & F.col("is_weekend") & (F.col("member_casual") == schema.CASUAL)
+    )
+    return (
+        sel.groupBy(F.col("start_station_name").alias("station"))
+        .agg(_n().alias("trips"), _mean("sum_duration").alias("avg_duration_min"))
+        .orderBy(F.desc("trips"), "station")
+        .limit(k)
+    )
+
+
+# Queries the report produces; the literal join forms are left to the catalog.
+REPORT_QUERIES = [
+    "monthly_volume", "usage_by_bike_type", "member_vs_casual", "trip_patterns_by_dow", "hourly_demand",
+    "time_of_day_demand", "top_routes", "top_stations", "station_imbalance", "seasonal_demand",
+    "monthly_trips", "top_draining_stations", "monthly_stack", "hourly_lines", "season_bars",
+    "segment_comparison", "top_stations_chart", "imbalance_extremes", "demand_ratios",
+    "station_concentration", "intraday_imbalance", "rebalancing_pairs", "commuter_routes",
+    "summer_weekend_casual",
+]
+CORE_QUERIES = REPORT_QUERIES[:10]
+
+
 def run_report(
     trips: DataFrame,
+    names: Iterable[str] | None = None,
+    params: Mapping[str, Mapping[str, object]] | None = None,
     *,
-    top_routes_k: int = 25,
-    top_stations_k: int = 25,
-    min_activity: int = flows.DEFAULT_MIN_ACTIVITY,
+    min_activity: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The ten core analyses from one aggregation of ``trips``.
+    """Report queries (default: the ten core analyses) from one aggregation of ``trips``.
 
-    The summary is checkpointed eagerly (one job: one scan, one shuffle); the
-    returned results are lazy queries over the checkpointed summary.
+    ``params`` holds per-query keyword parameters, as for
+    ``plans.catalog.run_catalog``; ``min_activity`` sets the station threshold
+    of every station query at once. The summary is checkpointed eagerly (one
+    job: one scan, one shuffle); the returned results are lazy queries over it.
     """
+    selected = list(names) if names is not None else list(CORE_QUERIES)
+    unknown = [n for n in selected if n not in REPORT_QUERIES]
+    if unknown or not selected:
+        raise KeyError(f"not report queries: {unknown or selected}")
+    params = {k: dict(v) for k, v in (params or {}).items()}
+
+    def p(name: str, key: str, default):
+        if key == "min_activity" and min_activity is not None and key not in params.get(name, {}):
+            return min_activity
+        return params.get(name, {}).get(key, default)
+
     ensure_checkpoint_dir(trips.sparkSession)
     summary = report_summary(trips).checkpoint(eager=True)
     cube, routes, durations = split_summary(summary)
+    departures, arrivals = summary_part(summary, DEPARTURE_KEYS), summary_part(summary, ARRIVAL_KEYS)
     flow = station_flow(routes)
-    total = F.col("departures") + F.col("arrivals")
-    imbalance = flow.filter(total >= min_activity).select(
-        "station",
-        "departures",
-        "arrivals",
-        (F.col("departures") - F.col("arrivals")).alias("net_outflow"),
-        F.round(F.lit(100.0) * (F.col("departures") - F.col("arrivals")) / F.nullif(total, F.lit(0)), 1).alias("net_outflow_pct"),
-    )
-    return {
-        "monthly_volume": monthly_volume(cube),
-        "usage_by_bike_type": usage_by_bike_type(cube),
-        "member_vs_casual": member_vs_casual(cube, lower_median_from_counts(durations)),
-        "trip_patterns_by_dow": trip_patterns_by_dow(cube),
-        "hourly_demand": hourly_demand(cube),
-        "time_of_day_demand": time_of_day_demand(cube),
-        "top_routes": route_stats(routes)
-        .orderBy(F.desc("trips"), "route", "start_station_name", "end_station_name")
-        .limit(top_routes_k),
-        "top_stations": flow.select("station", "departures", "arrivals", total.alias("total_activity"))
-        .orderBy(F.desc("total_activity"), "station")
-        .limit(top_stations_k),
-        "station_imbalance": imbalance.orderBy(F.desc("net_outflow"), "station"),
-        "seasonal_demand": seasonal_demand(cube),
+    route_table = route_stats(routes)
+    dflt = flows.DEFAULT_MIN_ACTIVITY
+
+    def imbalance(name: str) -> DataFrame:
+        return flows.imbalance_from_flow(flow, p(name, "min_activity", dflt))
+
+    builders = {
+        "monthly_volume": lambda: monthly_volume(cube),
+        "usage_by_bike_type": lambda: usage_by_bike_type(cube),
+        "member_vs_casual": lambda: member_vs_casual(cube, lower_median_from_counts(durations)),
+        "trip_patterns_by_dow": lambda: trip_patterns_by_dow(cube),
+        "hourly_demand": lambda: hourly_demand(cube),
+        "time_of_day_demand": lambda: time_of_day_demand(cube),
+        "top_routes": lambda: route_table.orderBy(F.desc("trips"), "route", "start_station_name", "end_station_name")
+        .limit(p("top_routes", "k", 25)),
+        "top_stations": lambda: flows.top_stations_from_flow(flow, p("top_stations", "k", 25)),
+        "station_imbalance": lambda: imbalance("station_imbalance"),
+        "seasonal_demand": lambda: seasonal_demand(cube),
+        "monthly_trips": lambda: monthly_trips(cube),
+        "top_draining_stations": lambda: flows.draining_from_flow(
+            flow, p("top_draining_stations", "min_activity", dflt), p("top_draining_stations", "k", 5)
+        ),
+        "monthly_stack": lambda: feeds.monthly_stack_from(monthly_volume(cube)),
+        "hourly_lines": lambda: feeds.hourly_lines_from(hourly_demand(cube)),
+        "season_bars": lambda: feeds.season_bars_from(seasonal_demand(cube)),
+        "segment_comparison": lambda: feeds.segment_comparison_from(
+            member_vs_casual(cube, lower_median_from_counts(durations))
+        ),
+        "top_stations_chart": lambda: feeds.top_stations_chart_from_flow(flow, p("top_stations_chart", "k", 15)),
+        "imbalance_extremes": lambda: feeds.imbalance_extremes_from(
+            imbalance("imbalance_extremes"), p("imbalance_extremes", "k", 10)
+        ),
+        "demand_ratios": lambda: report.demand_ratios_from_monthly(monthly_trips(cube)),
+        "station_concentration": lambda: report.concentration_from_flow(flow, p("station_concentration", "k", 15)),
+        "intraday_imbalance": lambda: flows.intraday_from_counts(
+            intraday_counts(departures, arrivals), p("intraday_imbalance", "min_activity", 0)
+        ),
+        "rebalancing_pairs": lambda: flows.pairs_from_imbalance(imbalance("rebalancing_pairs")),
+        "commuter_routes": lambda: report.commuter_from_routes(
+            route_table, p("commuter_routes", "min_member_pct", 90.0), p("commuter_routes", "k", 25)
+        ),
+        "summer_weekend_casual": lambda: summer_weekend_casual(departures, p("summer_weekend_casual", "k", 25)),
     }
+    return {name: builders[name]() for name in selected}
