@@ -2,8 +2,9 @@
 
 * ``clean``   raw CSV (or ZIP archives) -> curated Parquet, plus the
   data-quality funnel written as CSV next to the results.
-* ``analyze`` curated Parquet -> one CSV per core analysis (shared-scan
-  report), optionally a folder of ``*.sql`` files run over the ``trips`` view.
+* ``analyze`` curated Parquet -> one CSV per core analysis (``--all``: every
+  report query) from the one-scan report, optionally a folder of ``*.sql``
+  files run over the ``trips`` view.
 * ``lake``    the two lake questions (monthly trips, top draining stations)
   against any Hadoop-compatible URI.
 
@@ -25,7 +26,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from dockflow.operators import analyses, flows  # noqa: E402
 from dockflow.operators.clean import clean_trips, quality_funnel  # noqa: E402
 from dockflow.plans.catalog import run_sql_files  # noqa: E402
-from dockflow.plans.rollup import run_report  # noqa: E402
+from dockflow.plans.rollup import REPORT_QUERIES, run_report  # noqa: E402
 from dockflow.session import local_session  # noqa: E402
 from dockflow.sources.archives import read_archived_trips  # noqa: E402
 from dockflow.sources.curated import read_trips, write_trips  # noqa: E402
@@ -54,7 +55,7 @@ def clean_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def analyze_job(spark: SparkSession, args: argparse.Namespace) -> None:
     trips = read_trips(spark, args.curated, months=args.months)
-    results = run_report(trips, min_activity=args.min_activity)
+    results = run_report(trips, REPORT_QUERIES if args.all else None, min_activity=args.min_activity)
     if args.sql_dir:
         results.update(run_sql_files(spark, trips, args.sql_dir))
     for name, df in results.items():
@@ -82,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tz", default=None, help="zone of the raw wall-clock times, for DST-aware durations")
     p.add_argument("--min-activity", type=int, default=flows.DEFAULT_MIN_ACTIVITY)
     p.add_argument("--sql-dir", default=None)
+    p.add_argument("--all", action="store_true", help="analyze: every report query, not only the ten core ones")
     p.add_argument("--local", action="store_true")
     args = p.parse_args(argv)
     if args.job == "clean" and not args.raw:

@@ -42,6 +42,9 @@ def test_clean_analyze_lake_jobs(spark, tmp_dir):
 
     assert main(["lake", "--curated", curated, "--min-activity", "0"]) == 0
 
+    assert main(["analyze", "--all", "--curated", curated, "--out", out, "--min-activity", "0"]) == 0
+    assert _csv_rows(os.path.join(out, "rebalancing_pairs"))[0].startswith("pair_rank,")
+
 
 def test_clean_job_from_archives(spark, tmp_dir):
     arch = os.path.join(tmp_dir, "zips")
