@@ -51,7 +51,7 @@ RAW_QUERIES: dict[str, Callable[..., DataFrame]] = {
     "virtual_zones": report.virtual_zones,
 }
 
-# The reference analysis set, in its numbered order.
+# The ten core analyses (Q01-Q10), in their numbered order.
 CORE_ANALYSES = [
     "monthly_volume",
     "usage_by_bike_type",
