@@ -66,7 +66,7 @@ def land_archives(
     )
 
 
-def _append_new_trips(curated_dir: str, tz: str | None):
+def _append_new_trips(curated_dir: str, tz: str | None, dedupe_all_months: bool):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The cleaned batch is read twice (month list, write); keep it instead
         # of re-reading the batch files. Lost blocks are recomputed from them.
@@ -74,7 +74,10 @@ def _append_new_trips(curated_dir: str, tz: str | None):
         try:
             landed = _landed(batch.sparkSession, curated_dir)
             out = trips
-            if landed is not None:
+            if landed is not None and dedupe_all_months:
+                # Exact across months: reads only the ride_id column of the table.
+                out = trips.join(landed.select("ride_id"), "ride_id", "left_anti")
+            elif landed is not None:
                 # Months in this batch: a handful of values, used to prune the
                 # existing table to the touched partitions only.
                 months = [r[0] for r in trips.select(schema.PARTITION_COLUMN).distinct().collect()]
@@ -100,8 +103,16 @@ def land_trips(
     tz: str | None = None,
     max_files_per_trigger: int | None = None,
     file_glob: str = "*.csv",
+    dedupe_all_months: bool = False,
 ) -> StreamingQuery:
-    """Clean every new raw CSV file and append its new rides to ``curated_dir``."""
+    """Clean every new raw CSV file and append its new rides to ``curated_dir``.
+
+    Rides already landed are skipped by ``(trip_month, ride_id)`` within the
+    months a batch touches (partition-pruned). A re-delivered ride whose start
+    moved to another month is only caught with ``dedupe_all_months=True``,
+    which anti-joins on ``ride_id`` against every month (reading that one
+    column of the whole table per batch).
+    """
     reader = (
         spark.readStream.schema(schema.RAW_SCHEMA)
         .option("header", True)
@@ -112,7 +123,7 @@ def land_trips(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(raw_dir)
     return (
-        stream.writeStream.foreachBatch(_append_new_trips(curated_dir, tz))
+        stream.writeStream.foreachBatch(_append_new_trips(curated_dir, tz, dedupe_all_months))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

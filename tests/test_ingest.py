@@ -79,3 +79,18 @@ def test_incremental_landing_is_idempotent(spark, tmp_dir):
     assert out.groupBy("ride_id").count().filter("count > 1").count() == 0
     expected = clean_trips(spark.read.schema(schema.RAW_SCHEMA).option("header", True).csv(MINI_CSV)).count() + 1
     assert out.count() == expected
+
+
+def test_landing_dedupe_across_months(spark, tmp_dir):
+    raw, curated = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "curated")
+    os.makedirs(raw)
+    header = ",".join(schema.RAW_COLUMNS)
+    row = "Z1,classic_bike,{s},{e},Beta Ave,S2,Alpha St,S1,41.91,-87.64,41.90,-87.63,member"
+    with open(os.path.join(raw, "a.csv"), "w") as fh:
+        fh.write(header + "\n" + row.format(s="2024-01-31 23:50:00", e="2024-02-01 00:10:00") + "\n")
+    run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck1"), dedupe_all_months=True), 300)
+    # Re-delivered with a start in the next month.
+    with open(os.path.join(raw, "b.csv"), "w") as fh:
+        fh.write(header + "\n" + row.format(s="2024-02-01 00:00:05", e="2024-02-01 00:20:00") + "\n")
+    run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck1"), dedupe_all_months=True), 300)
+    assert read_trips(spark, curated).count() == 1
