@@ -39,11 +39,19 @@ def with_next(
     independently sorted groups; pick it so one bucket of the heaviest key fits
     a task (HOUR for typical data, MINUTE for very dense keys).
     """
-    bucket, head, following, is_last = "_seq_bucket", "_seq_head", "_seq_following", "_seq_is_last"
+    gkey, bucket, head, following, is_last = "_seq_key", "_seq_bucket", "_seq_head", "_seq_following", "_seq_is_last"
     carry = list(carry)
 
-    with_bucket = df.withColumn(bucket, F.date_trunc(bucket_unit, F.col(order[0])))
-    w_in = Window.partitionBy(key, bucket).orderBy(*order)
+    # Grouping columns wrapped in structs: never NULL themselves, equal when
+    # their contents are both NULL. NULL keys (or times) then group together
+    # as in lead(), and a plain equi-join on them keeps the window's hash
+    # partitioning (a null-safe join would re-shuffle the big side).
+    with_bucket = df.select(
+        "*",
+        F.struct(F.col(key).alias("v")).alias(gkey),
+        F.struct(F.date_trunc(bucket_unit, F.col(order[0])).alias("v")).alias(bucket),
+    )
+    w_in = Window.partitionBy(gkey, bucket).orderBy(*order)
     in_bucket = with_bucket.select(
         "*",
         *[F.lead(c).over(w_in).alias(c + suffix) for c in carry],
@@ -52,12 +60,12 @@ def with_next(
     )
 
     heads = in_bucket.filter(F.col(head)).select(
-        key, bucket, F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(carry)]).alias("_seq_values")
+        gkey, bucket, F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(carry)]).alias("_seq_values")
     )
-    w_key = Window.partitionBy(key).orderBy(bucket)
-    successors = heads.select(key, bucket, F.lead("_seq_values").over(w_key).alias(following))
+    w_key = Window.partitionBy(gkey).orderBy(bucket)
+    successors = heads.select(gkey, bucket, F.lead("_seq_values").over(w_key).alias(following))
 
-    joined = in_bucket.join(successors, on=[key, bucket], how="left")
+    joined = in_bucket.join(successors, on=[gkey, bucket], how="left")
     fixed = [
         F.when(F.col(is_last), F.col(f"{following}.c{j}")).otherwise(F.col(c + suffix)).alias(c + suffix)
         for j, c in enumerate(carry)

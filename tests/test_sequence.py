@@ -74,3 +74,41 @@ def test_hot_key_spread_over_buckets(spark):
     assert _rows(got) == _rows(_brute(df))
     buckets = df.filter("user_id = 1").select(F.date_trunc("HOUR", "ts")).distinct().count()
     assert buckets > 50
+
+
+def test_null_keys_and_times_match_lead(spark):
+    t = dt.datetime
+    rows = [
+        (1, t(2024, 1, 1, 0, 5), None, 1),
+        (2, t(2024, 1, 1, 3, 0), None, 2),   # NULL key, next bucket
+        (3, None, 5, 3),                      # NULL time sorts first
+        (4, t(2024, 1, 1, 1, 0), 5, 4),
+        (5, None, None, 5),
+    ]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, k int")
+    got = with_next(df, key="user_id", order=["ts", "event_id"], carry=["ts", "k"])
+    assert _rows(got) == _rows(_brute(df))
+
+
+def test_big_side_shuffled_once(spark, events_small):
+    """Without broadcast, the row-level input is shuffled once: the join reuses
+    the bucket window's partitioning."""
+    ev = events_small.select("event_id", "ts", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = [spark.conf.get(k) for k in keys]
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], "false")
+    try:
+        plan = with_next(ev, key="user_id", order=["ts", "event_id"], carry=["ts", "k"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    col = lines[at].index("+-") + 3  # children of the join are marked at this column
+    left = []
+    for line in lines[at + 1:]:
+        if len(line) > col and line[col] == "+":
+            break  # right child starts
+        left.append(line)
+    assert sum("Exchange hashpartitioning" in line for line in left) == 1
