@@ -86,6 +86,13 @@ def lower_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     return ranked.filter(F.col("_cum") * 2 >= F.col("_total")).groupBy(*keys).agg(F.min(value).alias(alias))
 
 
+def _attach_median(agg: DataFrame, medians: DataFrame) -> DataFrame:
+    """Join per-segment medians (one row per segment) null-safely, rounded to 2."""
+    m = medians.select(F.col("member_casual").alias("_seg"), "median_duration_min")
+    joined = agg.join(m, agg["member_casual"].eqNullSafe(m["_seg"]), "left").drop("_seg")
+    return joined.withColumn("median_duration_min", F.round("median_duration_min", 2))
+
+
 def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """Segment profile: share, mean and median duration, distance, round-trip rate.
 
@@ -102,9 +109,7 @@ def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> Da
     if median_accuracy is None:
         agg = trips.groupBy("member_casual").agg(*measures)
         med = lower_median(trips, ["member_casual"], "trip_duration_min", "median_duration_min")
-        agg = agg.join(med, "member_casual", "left").withColumn(
-            "median_duration_min", F.round("median_duration_min", 2)
-        )
+        agg = _attach_median(agg, med)
     else:
         approx = F.percentile_approx("trip_duration_min", 0.5, median_accuracy)
         agg = trips.groupBy("member_casual").agg(*measures, F.round(approx, 2).alias("median_duration_min"))

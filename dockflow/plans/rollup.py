@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from dockflow import schema
 
 from dockflow.functions import route_label, time_of_day, weekday_order
-from dockflow.operators import flows
+from dockflow.operators import analyses, flows
 from dockflow.plans import feeds, report
 from dockflow.session import ensure_checkpoint_dir
 
@@ -144,7 +144,7 @@ def member_vs_casual(cube: DataFrame, medians: DataFrame) -> DataFrame:
         _mean("sum_distance").alias("avg_distance_km"),
         F.round(F.lit(100.0) * (F.sum("round_trips") / F.sum("trips")), 2).alias("round_trip_pct"),
     )
-    agg = agg.join(medians, "member_casual", "left").withColumn("median_duration_min", F.round("median_duration_min", 2))
+    agg = analyses._attach_median(agg, medians)
     return agg.select(
         "member_casual", "trips", _share().alias("pct_share"), "avg_duration_min", "median_duration_min",
         "avg_distance_km", "round_trip_pct",

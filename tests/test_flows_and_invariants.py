@@ -122,3 +122,12 @@ def test_report_metrics(trips_medium):
     assert r.peak_trips == max(m.trips for m in mv) and r.trough_trips == min(m.trips for m in mv)
     c = report.station_concentration(trips_medium, k=3).first()
     assert c.total_activity == 2 * trips_medium.count() and 0 < c.top_share_pct <= 100
+
+
+def test_segment_profile_keeps_null_segment(spark):
+    rows = [("member", 10.0), ("member", 20.0), (None, 7.0), (None, 9.0), (None, 30.0)]
+    df = spark.createDataFrame(rows, "member_casual string, trip_duration_min double").select(
+        "*", F.lit(1.0).alias("trip_distance_km"), F.lit(False).alias("is_round_trip")
+    )
+    got = {r.member_casual: r.median_duration_min for r in analyses.member_vs_casual(df).collect()}
+    assert got == {"member": 10.0, None: 9.0}
