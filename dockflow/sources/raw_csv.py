@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dockflow import schema
 
-DEFAULT_FILE_PATTERN = "{month}-*.csv"
+DEFAULT_FILE_PATTERN = "{month}-*.csv*"  # plain or compressed (.csv.gz, .csv.bz2)
 
 
 def month_paths(raw_dir: str, months: Iterable[str], pattern: str = DEFAULT_FILE_PATTERN) -> list[str]:
@@ -25,7 +25,7 @@ def read_raw_trips(
     paths: str | Sequence[str],
     *,
     check_header: bool = False,
-    glob_filter: str | None = "*.csv",
+    glob_filter: str | None = "*.csv*",
     recursive: bool = False,
 ) -> DataFrame:
     """Read raw trip CSVs as one table with ``schema.RAW_SCHEMA``.
@@ -33,8 +33,9 @@ def read_raw_trips(
     No schema inference (no extra pass). PERMISSIVE mode: an unparsable number
     becomes NULL, an empty field (quoted or not) becomes NULL. Columns bind by
     position unless ``check_header`` is set, which validates the header names
-    against the schema. ``glob_filter`` keeps only CSV files when a folder also
-    holds archives.
+    against the schema. ``glob_filter`` keeps only CSV files (plain or
+    compressed; Spark decompresses by extension, a gzip file is one task) when
+    a folder also holds ZIP archives.
     """
     reader = (
         spark.read.schema(schema.RAW_SCHEMA)

@@ -102,7 +102,7 @@ def land_trips(
     *,
     tz: str | None = None,
     max_files_per_trigger: int | None = None,
-    file_glob: str = "*.csv",
+    file_glob: str = "*.csv*",
     dedupe_all_months: bool = False,
 ) -> StreamingQuery:
     """Clean every new raw CSV file and append its new rides to ``curated_dir``.

@@ -18,7 +18,7 @@ from .conftest import MINI_CSV
 
 
 def test_month_paths():
-    assert month_paths("/raw", ["202401", "202402"]) == ["/raw/202401-*.csv", "/raw/202402-*.csv"]
+    assert month_paths("/raw", ["202401", "202402"]) == ["/raw/202401-*.csv*", "/raw/202402-*.csv*"]
     with pytest.raises(ValueError):
         month_paths("/raw", [])
 
@@ -111,3 +111,35 @@ def test_scale_conf():
     conf = scale_conf(100 * (1 << 40), 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_compressed_raw_csv(spark, tmp_dir):
+    import gzip
+
+    with open(MINI_CSV, "rb") as src, gzip.open(os.path.join(tmp_dir, "202401-trips.csv.gz"), "wb") as dst:
+        dst.write(src.read())
+    df = read_raw_trips(spark, month_paths(tmp_dir, ["202401"]))
+    assert df.count() == 13
+
+
+def test_checkpoint_dir_guard():
+    from types import SimpleNamespace
+
+    from dockflow.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    cluster = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(cluster)
+    set_dirs = []
+    configured = SimpleNamespace(
+        conf=Conf({"spark.checkpoint.dir": "hdfs:///shared/ckpt"}),
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, setCheckpointDir=set_dirs.append),
+    )
+    assert ensure_checkpoint_dir(configured) == "hdfs:///shared/ckpt" and set_dirs == ["hdfs:///shared/ckpt"]
