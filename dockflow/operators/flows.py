@@ -162,22 +162,25 @@ def pairs_from_imbalance(imbalance: DataFrame) -> DataFrame:
 
     Output: ``pair_rank, from_station, from_surplus, to_station, to_deficit,
     bikes_to_move``: move bikes out of ``from_station`` (fills up) into
-    ``to_station`` (drains). Ranking runs on the per-station table, whose
-    size is the number of stations, not trips.
+    ``to_station`` (drains). One pass over the per-station table (bounded by
+    the number of stations): stations are ranked within their side by
+    ``|net_outflow|`` then name, and each rank's sink and source are brought
+    together by an aggregation on the rank, not a join.
     """
-    imb = imbalance.select("station", "net_outflow")
-    sinks = imb.filter(F.col("net_outflow") < 0).select(
-        F.row_number().over(Window.orderBy("net_outflow", "station")).alias("pair_rank"),
-        F.col("station").alias("from_station"),
-        (-F.col("net_outflow")).alias("from_surplus"),
-    )
-    sources = imb.filter(F.col("net_outflow") > 0).select(
-        F.row_number().over(Window.orderBy(F.desc("net_outflow"), "station")).alias("pair_rank"),
-        F.col("station").alias("to_station"),
-        F.col("net_outflow").alias("to_deficit"),
+    net = F.col("net_outflow")
+    side = F.when(net < 0, F.lit("sink")).when(net > 0, F.lit("source"))
+    ranked = imbalance.select("station", net, side.alias("_side")).filter(F.col("_side").isNotNull())
+    rank = F.row_number().over(Window.partitionBy("_side").orderBy(F.desc(F.abs(net)), "station"))
+    ranked = ranked.select("*", rank.alias("pair_rank"))
+    sink, source = F.col("_side") == "sink", F.col("_side") == "source"
+    pairs = ranked.groupBy("pair_rank").agg(
+        F.max(F.when(sink, F.col("station"))).alias("from_station"),
+        F.max(F.when(sink, -net)).alias("from_surplus"),
+        F.max(F.when(source, F.col("station"))).alias("to_station"),
+        F.max(F.when(source, net)).alias("to_deficit"),
     )
     return (
-        sinks.join(sources, "pair_rank", "inner")
+        pairs.filter(F.col("from_station").isNotNull() & F.col("to_station").isNotNull())
         .withColumn("bikes_to_move", F.least("from_surplus", "to_deficit"))
         .orderBy("pair_rank")
     )
