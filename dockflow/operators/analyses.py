@@ -96,23 +96,52 @@ def _attach_median(agg: DataFrame, medians: DataFrame) -> DataFrame:
 def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """Segment profile: share, mean and median duration, distance, round-trip rate.
 
-    The median is exact by default (:func:`lower_median`). Passing
-    ``median_accuracy`` uses ``percentile_approx`` with that accuracy instead,
-    for value columns without a small discrete domain.
+    The median is exact by default and comes from the same single scan as the
+    other measures: one ``GROUPING SETS`` aggregation yields a row per segment
+    and a count per (segment, duration); a running sum over the latter (at
+    most 86,339 durations per segment) finds the lower median, which a window
+    on the segment carries to the segment row -- no join, no second scan.
+    Passing ``median_accuracy`` uses ``percentile_approx`` instead, for value
+    columns without a small discrete domain.
     """
-    measures = [
-        F.count(F.lit(1)).alias("trips"),
-        _avg("trip_duration_min").alias("avg_duration_min"),
-        _avg("trip_distance_km").alias("avg_distance_km"),
-        _pct_of_rows(F.col("is_round_trip"), 2).alias("round_trip_pct"),
-    ]
-    if median_accuracy is None:
-        agg = trips.groupBy("member_casual").agg(*measures)
-        med = lower_median(trips, ["member_casual"], "trip_duration_min", "median_duration_min")
-        agg = _attach_median(agg, med)
-    else:
+    if median_accuracy is not None:
         approx = F.percentile_approx("trip_duration_min", 0.5, median_accuracy)
-        agg = trips.groupBy("member_casual").agg(*measures, F.round(approx, 2).alias("median_duration_min"))
+        agg = trips.groupBy("member_casual").agg(
+            F.count(F.lit(1)).alias("trips"),
+            _avg("trip_duration_min").alias("avg_duration_min"),
+            F.round(approx, 2).alias("median_duration_min"),
+            _avg("trip_distance_km").alias("avg_distance_km"),
+            _pct_of_rows(F.col("is_round_trip"), 2).alias("round_trip_pct"),
+        )
+    else:
+        sets = trips.groupingSets(
+            [["member_casual"], ["member_casual", "trip_duration_min"]], "member_casual", "trip_duration_min"
+        ).agg(
+            F.count(F.lit(1)).alias("trips"),
+            F.avg("trip_duration_min").alias("_avg_duration"),
+            F.avg("trip_distance_km").alias("_avg_distance"),
+            F.avg(F.when(F.col("is_round_trip"), 1).otherwise(0)).alias("_round_trip_rate"),
+            F.grouping_id().alias("_gid"),
+        )
+        per_value = F.col("_gid") == 0
+        upto = Window.partitionBy("_gid", "member_casual").orderBy("trip_duration_min").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        ranked = sets.select(
+            "*",
+            F.sum("trips").over(upto).alias("_cum"),
+            F.sum("trips").over(Window.partitionBy("_gid", "member_casual")).alias("_total"),
+        )
+        reached = F.when(per_value & (F.col("_cum") * 2 >= F.col("_total")), F.col("trip_duration_min"))
+        with_median = ranked.select("*", F.min(reached).over(Window.partitionBy("member_casual")).alias("_median"))
+        agg = with_median.filter(~per_value).select(
+            "member_casual",
+            "trips",
+            F.round("_avg_duration", 2).alias("avg_duration_min"),
+            F.round("_median", 2).alias("median_duration_min"),
+            F.round("_avg_distance", 2).alias("avg_distance_km"),
+            F.round(F.lit(100.0) * F.col("_round_trip_rate"), 2).alias("round_trip_pct"),
+        )
     return agg.select(
         "member_casual",
         "trips",
