@@ -7,6 +7,10 @@
   files run over the ``trips`` view.
 * ``lake``    the two lake questions (monthly trips, top draining stations)
   against any Hadoop-compatible URI.
+* ``land``    incremental landing: new ZIP archives -> raw zone (``--landing``),
+  then new raw files -> cleaned rides appended to the curated zone; both are
+  catch-up streams with checkpoints under ``--checkpoint``, so a re-run only
+  processes what arrived since.
 
 Cluster settings come from ``spark-submit``; ``--local`` builds a local
 session for a laptop run.
@@ -32,6 +36,7 @@ from dockflow.sources.archives import read_archived_trips  # noqa: E402
 from dockflow.sources.curated import read_trips, write_trips  # noqa: E402
 from dockflow.sources.raw_csv import month_paths, read_raw_trips  # noqa: E402
 from dockflow.sources.results import export_all, export_result, preview  # noqa: E402
+from dockflow.streaming.landing import land_archives, land_trips, run_to_completion  # noqa: E402
 
 
 def _session(args: argparse.Namespace) -> SparkSession:
@@ -70,9 +75,26 @@ def lake_job(spark: SparkSession, args: argparse.Namespace) -> None:
     preview(flows.top_draining_stations(trips, min_activity=args.min_activity, k=5))
 
 
+def land_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    ckpt = args.checkpoint.rstrip("/")
+    if args.landing:
+        run_to_completion(land_archives(spark, args.landing, args.raw, f"{ckpt}/archives", check_header=args.check_header))
+    run_to_completion(
+        land_trips(
+            spark,
+            args.raw,
+            args.curated,
+            f"{ckpt}/trips",
+            tz=args.tz,
+            max_files_per_trigger=args.max_files_per_trigger,
+            dedupe_all_months=args.dedupe_all_months,
+        )
+    )
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="dockflow.jobs")
-    p.add_argument("job", choices=["clean", "analyze", "lake"])
+    p.add_argument("job", choices=["clean", "analyze", "lake", "land"])
     p.add_argument("--raw", help="raw CSV folder/glob, or ZIP folder with --archives")
     p.add_argument("--curated", required=True, help="curated Parquet path (any Hadoop-compatible URI)")
     p.add_argument("--out", default="output", help="result folder")
@@ -84,12 +106,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--min-activity", type=int, default=flows.DEFAULT_MIN_ACTIVITY)
     p.add_argument("--sql-dir", default=None)
     p.add_argument("--all", action="store_true", help="analyze: every report query, not only the ten core ones")
+    p.add_argument("--landing", default=None, help="land: folder of new ZIP archives")
+    p.add_argument("--checkpoint", default=None, help="land: checkpoint folder of the landing streams")
+    p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--dedupe-all-months", action="store_true")
     p.add_argument("--local", action="store_true")
     args = p.parse_args(argv)
-    if args.job == "clean" and not args.raw:
-        p.error("clean needs --raw")
+    if args.job in ("clean", "land") and not args.raw:
+        p.error(f"{args.job} needs --raw")
+    if args.job == "land" and not args.checkpoint:
+        p.error("land needs --checkpoint")
     spark = _session(args)
-    {"clean": clean_job, "analyze": analyze_job, "lake": lake_job}[args.job](spark, args)
+    {"clean": clean_job, "analyze": analyze_job, "lake": lake_job, "land": land_job}[args.job](spark, args)
     return 0
 
 

@@ -54,3 +54,15 @@ def test_clean_job_from_archives(spark, tmp_dir):
     curated, out = os.path.join(tmp_dir, "curated"), os.path.join(tmp_dir, "out")
     assert main(["clean", "--archives", "--check-header", "--raw", arch, "--curated", curated, "--out", out]) == 0
     assert read_trips(spark, curated).count() == 6
+
+
+def test_land_job_incremental(spark, tmp_dir):
+    landing, raw, curated, ckpt = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "curated", "ckpt"))
+    os.makedirs(landing)
+    with zipfile.ZipFile(os.path.join(landing, "202401.zip"), "w") as zf:
+        zf.write(MINI_CSV, "202401-trips.csv")
+    args = ["land", "--landing", landing, "--raw", raw, "--curated", curated, "--checkpoint", ckpt, "--check-header"]
+    assert main(args) == 0
+    assert read_trips(spark, curated).count() == 6
+    assert main(args) == 0  # nothing new: no duplicates
+    assert read_trips(spark, curated).count() == 6
