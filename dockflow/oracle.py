@@ -114,38 +114,35 @@ trips AS (
     trim(start_station_name) = trim(end_station_name) AS is_round_trip
   FROM kept
 ),
+endpoints AS (
+  SELECT start_station_name AS station, 1 AS is_departure FROM trips
+  UNION ALL
+  SELECT end_station_name AS station, 0 AS is_departure FROM trips
+),
 flow AS (
-  SELECT station, CAST(SUM(departures) AS BIGINT) AS departures, CAST(SUM(arrivals) AS BIGINT) AS arrivals
-  FROM (
-    SELECT start_station_name AS station, COUNT(*) AS departures, 0 AS arrivals FROM trips GROUP BY start_station_name
-    UNION ALL
-    SELECT end_station_name AS station, 0 AS departures, COUNT(*) AS arrivals FROM trips GROUP BY end_station_name
-  ) GROUP BY station
+  SELECT station,
+    CAST(COUNT(*) FILTER (WHERE is_departure = 1) AS BIGINT) AS departures,
+    CAST(COUNT(*) FILTER (WHERE is_departure = 0) AS BIGINT) AS arrivals
+  FROM endpoints GROUP BY station
 ),
-dep AS (SELECT start_station_name AS station, COUNT(*) AS departures FROM trips GROUP BY start_station_name),
-arr AS (SELECT end_station_name AS station, COUNT(*) AS arrivals FROM trips GROUP BY end_station_name),
 imbalance AS (
-  SELECT
-    COALESCE(d.station, a.station) AS station,
-    COALESCE(departures, 0) AS departures,
-    COALESCE(arrivals, 0) AS arrivals,
-    COALESCE(departures, 0) - COALESCE(arrivals, 0) AS net_outflow,
-    ROUND(CAST(100.0 AS DOUBLE) * (COALESCE(departures, 0) - COALESCE(arrivals, 0))
-          / NULLIF(COALESCE(departures, 0) + COALESCE(arrivals, 0), 0), 1) AS net_outflow_pct
-  FROM dep d FULL OUTER JOIN arr a ON d.station = a.station
-  WHERE COALESCE(departures, 0) + COALESCE(arrivals, 0) >= {MIN_ACTIVITY}
+  SELECT station, departures, arrivals,
+    departures - arrivals AS net_outflow,
+    ROUND(CAST(100.0 AS DOUBLE) * (departures - arrivals) / NULLIF(departures + arrivals, 0), 1) AS net_outflow_pct
+  FROM flow
+  WHERE departures + arrivals >= {MIN_ACTIVITY}
 ),
 monthly AS (
   SELECT trip_month, COUNT(*) AS trips,
-    CAST(SUM(CASE WHEN member_casual = 'member' THEN 1 ELSE 0 END) AS BIGINT) AS member_trips,
-    CAST(SUM(CASE WHEN member_casual = 'casual' THEN 1 ELSE 0 END) AS BIGINT) AS casual_trips,
+    COUNT(*) FILTER (WHERE member_casual = 'member') AS member_trips,
+    COUNT(*) FILTER (WHERE member_casual = 'casual') AS casual_trips,
     ROUND(AVG(trip_duration_min), 2) AS avg_duration_min
   FROM trips GROUP BY trip_month
 ),
 hourly AS (
   SELECT hour,
-    CAST(SUM(CASE WHEN is_weekend = false THEN 1 ELSE 0 END) AS BIGINT) AS weekday_trips,
-    CAST(SUM(CASE WHEN is_weekend = true THEN 1 ELSE 0 END) AS BIGINT) AS weekend_trips,
+    COUNT(*) FILTER (WHERE NOT is_weekend) AS weekday_trips,
+    COUNT(*) FILTER (WHERE is_weekend) AS weekend_trips,
     COUNT(*) AS total_trips
   FROM trips GROUP BY hour
 ),
@@ -153,7 +150,7 @@ seasonal AS (
   SELECT season, COUNT(*) AS trips,
     ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
     ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * AVG(CASE WHEN member_casual = 'casual' THEN 1 ELSE 0 END), 1) AS casual_pct
+    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE member_casual = 'casual') AS DOUBLE) / COUNT(*)), 1) AS casual_pct
   FROM trips GROUP BY season
 ),
 segments AS (
@@ -162,14 +159,14 @@ segments AS (
     ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
     ROUND(quantile_disc(trip_duration_min, 0.5), 2) AS median_duration_min,
     ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * AVG(CASE WHEN is_round_trip THEN 1 ELSE 0 END), 2) AS round_trip_pct
+    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE is_round_trip) AS DOUBLE) / COUNT(*)), 2) AS round_trip_pct
   FROM trips GROUP BY member_casual
 ),
 routes AS (
   SELECT route, start_station_name, end_station_name, COUNT(*) AS trips,
     ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
     ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * AVG(CASE WHEN member_casual = 'member' THEN 1 ELSE 0 END), 1) AS member_pct
+    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE member_casual = 'member') AS DOUBLE) / COUNT(*)), 1) AS member_pct
   FROM trips GROUP BY route, start_station_name, end_station_name
 )
 """
@@ -180,10 +177,10 @@ FROM flow ORDER BY total_activity DESC, station LIMIT {k}
 """
 
 _DRAINING = f"""
-SELECT d.station, departures - arrivals AS net_outflow
-FROM dep d JOIN arr a ON d.station = a.station
-WHERE departures + arrivals >= {MIN_ACTIVITY}
-ORDER BY net_outflow DESC, d.station
+SELECT station, departures - arrivals AS net_outflow
+FROM flow
+WHERE departures > 0 AND arrivals > 0 AND departures + arrivals >= {MIN_ACTIVITY}
+ORDER BY net_outflow DESC, station
 LIMIT 5
 """
 
@@ -205,14 +202,13 @@ SELECT day_of_week, is_weekend, COUNT(*) AS trips,
   ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
   ROUND(AVG(trip_distance_km), 2) AS avg_distance_km
 FROM trips GROUP BY day_of_week, is_weekend
-ORDER BY CASE day_of_week WHEN 'Monday' THEN 1 WHEN 'Tuesday' THEN 2 WHEN 'Wednesday' THEN 3
-  WHEN 'Thursday' THEN 4 WHEN 'Friday' THEN 5 WHEN 'Saturday' THEN 6 WHEN 'Sunday' THEN 7 END
+ORDER BY MIN(isodow(started_at))
 """,
     "hourly_demand": "SELECT * FROM hourly ORDER BY hour",
     "time_of_day_demand": """
 SELECT time_of_day, member_casual, COUNT(*) AS trips, ROUND(AVG(trip_duration_min), 2) AS avg_duration_min
 FROM trips GROUP BY time_of_day, member_casual
-ORDER BY MIN(hour), member_casual
+ORDER BY MIN(hour(started_at)), member_casual
 """,
     "top_routes": """
 SELECT * FROM routes ORDER BY trips DESC, route, start_station_name, end_station_name LIMIT 25
