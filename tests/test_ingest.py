@@ -94,3 +94,20 @@ def test_landing_dedupe_across_months(spark, tmp_dir):
         fh.write(header + "\n" + row.format(s="2024-02-01 00:00:05", e="2024-02-01 00:20:00") + "\n")
     run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck1"), dedupe_all_months=True), 300)
     assert read_trips(spark, curated).count() == 1
+
+
+def test_landing_across_micro_batches(spark, tmp_dir):
+    """One file per micro-batch; a ride repeated in a later batch lands once."""
+    raw, curated = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "curated")
+    os.makedirs(raw)
+    lines = open(MINI_CSV).read().splitlines()
+    header, body = lines[0], lines[1:]
+    with open(os.path.join(raw, "202401-a.csv"), "w") as fh:
+        fh.write("\n".join([header] + body[:7]) + "\n")
+    with open(os.path.join(raw, "202401-b.csv"), "w") as fh:
+        fh.write("\n".join([header, body[0]] + body[7:]) + "\n")  # A1 again
+    q = run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck"), max_files_per_trigger=1), 300)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    out = read_trips(spark, curated)
+    assert out.count() == 6
+    assert out.groupBy("ride_id").count().filter("count > 1").count() == 0
