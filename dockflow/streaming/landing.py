@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dockflow import schema
 from dockflow.operators.clean import clean_trips
+from dockflow.session import scratch_path
 from dockflow.sources.archives import archive_lines, parse_trip_lines
 from dockflow.sources.curated import write_trips
 
@@ -136,3 +137,45 @@ def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) ->
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def land_new_files_batch(
+    spark: SparkSession,
+    raw_dir: str,
+    curated_dir: str,
+    manifest_dir: str,
+    *,
+    tz: str | None = None,
+    file_glob: str = "*.csv*",
+) -> None:
+    """Batch form of :func:`land_trips`: a manifest table of processed files.
+
+    1. the raw files not yet in the manifest (``_metadata.file_path`` anti-join;
+       the manifest holds one row per file) are written to a staging table
+       under ``spark.checkpoint.dir``;
+    2. their rows are cleaned, rides already in the touched curated months are
+       dropped (anti-join), the rest appended;
+    3. the staged file names are appended to the manifest.
+    A failure between steps re-processes the same files next time; step 2's
+    anti-join keeps that idempotent.
+    """
+    raw = (
+        spark.read.schema(schema.RAW_SCHEMA)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("pathGlobFilter", file_glob)
+        .csv(raw_dir)
+        .withColumn("_file", F.col("_metadata.file_path"))
+    )
+    files = raw.select("_file").distinct()
+    done = _landed(spark, manifest_dir)
+    if done is not None:
+        files = files.join(done.select("_file"), "_file", "left_anti")
+    staging = scratch_path(spark, "landing-files")
+    files.write.mode("overwrite").parquet(staging)
+    new_files = spark.read.parquet(staging)
+    if new_files.isEmpty():
+        return
+    batch = raw.join(new_files, "_file", "left_semi").drop("_file")
+    _append_new_trips(curated_dir, tz, dedupe_all_months=False)(batch, 0)
+    new_files.write.mode("append").parquet(manifest_dir)

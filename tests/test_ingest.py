@@ -111,3 +111,24 @@ def test_landing_across_micro_batches(spark, tmp_dir):
     out = read_trips(spark, curated)
     assert out.count() == 6
     assert out.groupBy("ride_id").count().filter("count > 1").count() == 0
+
+
+def test_batch_landing_with_manifest(spark, tmp_dir):
+    from dockflow.streaming.landing import land_new_files_batch
+
+    raw, curated, manifest = (os.path.join(tmp_dir, d) for d in ("raw", "curated", "manifest"))
+    os.makedirs(raw)
+    lines = open(MINI_CSV).read().splitlines()
+    header, body = lines[0], lines[1:]
+    with open(os.path.join(raw, "202401-a.csv"), "w") as fh:
+        fh.write("\n".join([header] + body[:7]) + "\n")
+    land_new_files_batch(spark, raw, curated, manifest)
+    assert read_trips(spark, curated).count() == 3
+    land_new_files_batch(spark, raw, curated, manifest)  # nothing new
+    assert read_trips(spark, curated).count() == 3
+    with open(os.path.join(raw, "202401-b.csv"), "w") as fh:
+        fh.write("\n".join([header, body[0]] + body[7:]) + "\n")
+    land_new_files_batch(spark, raw, curated, manifest)
+    out = read_trips(spark, curated)
+    assert out.count() == 6 and out.groupBy("ride_id").count().filter("count > 1").count() == 0
+    assert spark.read.parquet(manifest).count() == 2
