@@ -55,3 +55,15 @@ def test_oracle_agrees_small(spark, duck, name):
         return sorted(out, key=repr)
 
     assert rows(sdf) == rows(odf)
+
+
+SPARK_TO_SQL_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                     "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def test_oracle_column_types_align(spark, duck):
+    for name, fn in entry.queries().items():
+        spark_types = {f.name: SPARK_TO_SQL_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMALL).schema.fields}
+        rel = duck.sql(entry.oracle_sql()[name])
+        assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}, name
