@@ -8,6 +8,11 @@ with the declared raw schema. Member choice: the first entry whose name ends
 in ``.csv`` (any case) outside ``__MACOSX``; an archive without one fails the
 job with its path in the message. Quoted fields spanning lines are not
 supported (trip files have none).
+
+Memory: ``binaryFile`` packs whole files into read partitions of about
+``spark.sql.files.maxPartitionBytes``, so one task holds at most that much
+archive data (or one archive, if larger); a single archive must stay under
+2 GB, the size limit of one binary value.
 """
 
 from __future__ import annotations
