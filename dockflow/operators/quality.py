@@ -8,7 +8,9 @@ and with any partitioning. It is written as ``row_number() = 1``, which Spark
 plans as a sort-based ``WindowGroupLimit`` on both sides of the shuffle: each
 map task keeps only its best row per key before shuffling, so a key that holds
 millions of copies sends one row per map task, never one task's worth of rows
-(the same guarantee as a partial aggregation, in generated code).
+(the same guarantee as a partial aggregation, in generated code). This relies
+on ``spark.sql.optimizer.windowGroupLimitThreshold`` being at least 1 (its
+default is 1000; ``session.scale_conf`` sets it explicitly).
 """
 
 from __future__ import annotations

@@ -86,4 +86,6 @@ def scale_conf(input_bytes: int, total_cores: int, *, scan_split_bytes: int = 25
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # row_number() = 1 de-duplication keeps one row per key before the shuffle.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     }
