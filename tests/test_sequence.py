@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -112,3 +114,22 @@ def test_big_side_shuffled_once(spark, events_small):
             break  # right child starts
         left.append(line)
     assert sum("Exchange hashpartitioning" in line for line in left) == 1
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    data=st.lists(
+        st.tuples(
+            st.sampled_from([None, 1, 2, 3]),
+            st.one_of(st.none(), st.integers(min_value=0, max_value=72 * 60).map(lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m))),
+            st.integers(min_value=0, max_value=99),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_with_next_matches_lead_on_random_rows(spark, data):
+    rows = [(i, ts, user, k) for i, (user, ts, k) in enumerate(data)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, k int")
+    got = with_next(df, key="user_id", order=["ts", "event_id"], carry=["ts", "k"])
+    assert _rows(got) == _rows(_brute(df))
