@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.llm.base import table
+from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.simhash import near_duplicates
+from dockflow.llm.token_files import read_token_files, write_token_files
+from dockflow.session import scratch_path
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path)
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +31,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_simhash": op9_simhash}
+    found = (op2_token_files, op8_byte_bpe, op9_simhash)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
