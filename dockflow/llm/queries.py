@@ -12,8 +12,11 @@ from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
+from dockflow.llm.toxicity import add_scores, fit_model, held_out
 from dockflow.session import scratch_path
 
+TOXIC_AT = 0.3
+
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
@@ -21,6 +24,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = add_scores(docs, fit_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -31,7 +40,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_token_files, op8_byte_bpe, op9_simhash)
+    found = (op2_token_files, op6_toxicity, op8_byte_bpe, op9_simhash)
     return {f.__name__: f for f in found}
 
 
