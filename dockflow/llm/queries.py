@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
+from dockflow.llm.decontaminate import contaminated
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
@@ -30,6 +31,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -40,7 +45,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_token_files, op6_toxicity, op8_byte_bpe, op9_simhash)
+    found = (op2_token_files, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash)
     return {f.__name__: f for f in found}
 
 
