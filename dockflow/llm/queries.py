@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.decontaminate import contaminated
+from dockflow.llm.secrets import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
@@ -44,8 +45,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]),
+        F.sha2(listed(KINDS[:3]).cast("binary"), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_token_files, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash)
+    found = (op2_token_files, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
     return {f.__name__: f for f in found}
 
 
