@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.decontaminate import contaminated
-from dockflow.llm.secrets import KINDS, listed, scan
+from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
