@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.decontaminate import contaminated
+from dockflow.llm.page_text import main_text
 from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
@@ -26,6 +27,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op4_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = add_scores(docs, fit_model(docs, table(spark, sf_dir, "labels")))
@@ -53,7 +58,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_token_files, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
+    found = (op2_token_files, op4_page_difference, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
     return {f.__name__: f for f in found}
 
 
