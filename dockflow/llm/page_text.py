@@ -21,10 +21,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.llm.base import map_batches, map_stream, settle
+from dockflow.llm.url_templates import host_and_path
 
 #: A comment, a raw-text element with its content, a tag, an unfinished tag at the end, or text.
 PARTS = re.compile(
@@ -179,15 +180,6 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return [(int(ia[p]), int(ib[q])) for p, q in sorted(found)]
 
 
-def _url_parts(url: Column) -> tuple[Column, Column]:
-    """Host (ASCII lower case) and path; empty without ``://``."""
-    rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise("")
-    host = F.regexp_extract(rest, r"^([^/?#]*)", 1)
-    path = F.regexp_extract(F.substring(rest, F.length(host) + 1, F.length(rest)), r"^([^?#]*)", 1)
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.coalesce(F.translate(host, upper, upper.lower()), F.lit("")), F.coalesce(path, F.lit(""))
-
-
 def _hashes(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The hashes of a page's lines outside a marked article."""
     out = [[xxhash.xxh64_intdigest(t) - (1 << 63) for t, level, _ in lines_of(p) if not level] for p in batch.column("html").to_pylist()]
@@ -242,7 +234,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     neighbours of each other, so repeated rows keep their text. Extra columns
     are not read.
     """
-    host, path = _url_parts(F.col("url"))
+    host, path = host_and_path(F.coalesce(F.col("url"), F.lit("")))
     page = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     page = page.select("page_id", "url", "html", host.alias("host"), path.alias("path"), F.xxhash64("url", "html").alias("key"))
     found = template_lines(page.select("key", "host", "path", "html"))

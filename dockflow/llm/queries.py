@@ -16,9 +16,17 @@ from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
+from dockflow.llm.url_templates import judge
 from dockflow.session import scratch_path
 
 TOXIC_AT = 0.3
+# The rules of the url query.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +66,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_token_files, op4_page_difference, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
+    found = (op1_url_templates, op2_token_files, op4_page_difference, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
     return {f.__name__: f for f in found}
 
 
