@@ -17,6 +17,7 @@ from dockflow.llm.simhash import near_duplicates
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
 from dockflow.llm.url_templates import judge
+from dockflow.llm.vector_links import near_vectors
 from dockflow.session import scratch_path
 
 TOXIC_AT = 0.3
@@ -39,6 +40,10 @@ def op4_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op5_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = add_scores(docs, fit_model(docs, table(spark, sf_dir, "labels")))
@@ -66,7 +71,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_templates, op2_token_files, op4_page_difference, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
+    found = (op1_url_templates, op2_token_files, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
     return {f.__name__: f for f in found}
 
 
