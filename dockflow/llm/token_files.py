@@ -16,13 +16,18 @@ low bits, high bits, u32 samples, ids.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +39,9 @@ MAGIC = b"EFID"
 HEAD = struct.Struct("<4sBBHQQQQ")
 SAMPLE = 64
 SHARD_IDS = 1 << 20
-MEMO_WORDS = 400_000
+#: Distinct words and pieces that a worker remembers; a store that is full is emptied.
+MEMO_WORDS, MEMO_PIECES = 600_000, 900_000
+PLAIN = re.compile(rb"[!-~]+").fullmatch
 SHARD_SCHEMA = "part int, seq int, start long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
 
 
@@ -108,13 +115,73 @@ def open_shard(payload: bytes) -> tuple[EliasFano, np.ndarray]:
     return ef, np.frombuffer(payload, f"<u{width}", total, at + low + high + 4 * k)
 
 
+class WordEncoder:
+    """Ids of texts by one tokenizer file, each distinct word encoded once.
+
+    The file's vocabulary drops white space and never joins across it, so words
+    between ASCII white space are independent. Words of printable ASCII are cut
+    further, by the file's own piece pattern, and their pieces go through the
+    library's model; from others a final full stop or comma is cut, and the rest
+    goes through the whole library.
+    """
+
+    def __init__(self, path: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.no_padding()
+        self.tok.no_truncation()
+        self.model, self.kind = self.tok.model, {2: "H", 4: "I"}[width]
+        splits = json.loads(self.tok.to_str())["pre_tokenizer"]["pretokenizers"]
+        self.pieces_of = regex.compile(splits[0]["pattern"]["Regex"]).findall
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes | str, bytes] = {}
+
+    def _pack(self, ids: Iterable[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            known = self.pieces[piece] = self._pack([t.id for t in self.model.tokenize(piece)])
+        return known
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.pieces) > MEMO_PIECES:
+            self.pieces.clear()
+        rest = []
+        for w in words:
+            core = w.rstrip(b".,")
+            if core.isalpha():  # letters of ASCII only
+                ids = self._piece(core.decode().lower())
+                self.words[w] = ids + self._piece(w[len(core):].decode()) if len(core) < len(w) else ids
+            elif PLAIN(w):
+                self.words[w] = b"".join(map(self._piece, self.pieces_of(w.decode().lower())))
+            else:
+                rest.append((w, core if core and core.decode()[-1].lower()[-1].isalpha() else w))
+        new = list({c for _, c in rest if c not in self.pieces})
+        for c, e in zip(new, self.tok.encode_batch_fast([c.decode() for c in new], add_special_tokens=False), strict=True):
+            self.pieces[c] = self._pack(e.ids)
+        for w, c in rest:
+            self.words[w] = self.pieces[c] + (self._piece(w[len(c):].decode()) if len(c) < len(w) else b"")
+
+    def encode(self, text: bytes) -> bytes:
+        """Packed ids of a whole text."""
+        words = text.split()
+        known = self.words
+        new = set(words).difference(known)
+        if new:
+            if len(known) > MEMO_WORDS:
+                known.clear()
+                new = set(words)
+            self._learn(new)
+        return b"".join(map(known.__getitem__, words))
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    t.no_padding()
-    t.no_truncation()
-    return t, {}
+def _encoder(path: str, width: int) -> WordEncoder:
+    """One encoder for each worker process, tokenizer file and width."""
+    return WordEncoder(path, width)
 
 
 def id_width(path: str, end_id: int) -> int:
@@ -122,26 +189,12 @@ def id_width(path: str, end_id: int) -> int:
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids)``: little-endian ids of each text and the end id.
-
-    The file's vocabulary drops white space and never joins across it, so each
-    distinct word between ASCII white space is encoded once and remembered.
-    """
+    """``(doc_id, ids)``: little-endian ids of each text and the end id."""
     end = int(end_id).to_bytes(width, "little")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tok, memo = _tokenizer(path)
-        out = []
-        texts = text_bytes(batch.column(1))
-        for text in texts:
-            words = text.split()
-            new = list({w for w in words if w not in memo})
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(set(words))
-            for w, e in zip(new, tok.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-                memo[w] = np.array(e.ids, f"<u{width}").tobytes()
-            out.append(b"".join(map(memo.__getitem__, words)) + end)
+        encode = _encoder(path, width).encode
+        out = [encode(t) + end for t in text_bytes(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     return map_batches(id_text(docs, id_col, text_col), run, "doc_id long, ids binary")
