@@ -70,3 +70,23 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, so that extra columns can't clash."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """The groups of a stream that is sorted by ``keys``, whatever the batches' ends."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        rows = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        at = 0
+        for i, key in enumerate(rows):
+            if key != last:
+                if i > at:
+                    held.append(batch.slice(at, i - at))
+                if held:
+                    yield last, pa.Table.from_batches(held)
+                held, last, at = [], key, i
+        if len(rows) > at:
+            held.append(batch.slice(at))
+    if held:
+        yield last, pa.Table.from_batches(held)

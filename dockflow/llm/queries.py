@@ -14,6 +14,7 @@ from dockflow.llm.decontaminate import contaminated
 from dockflow.llm.page_text import main_text
 from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
+from dockflow.llm.suffix_dedup import remove_repeats
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
 from dockflow.llm.url_templates import judge
@@ -36,6 +37,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed")
+    return cut.select("doc_id", "n_bytes", removed, F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
@@ -71,7 +78,7 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_templates, op2_token_files, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
+    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
     return {f.__name__: f for f in found}
 
 
