@@ -77,8 +77,14 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(KINDS[:3]).cast("binary"), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery)
+    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery, pipeline)
     return {f.__name__: f for f in found}
 
 

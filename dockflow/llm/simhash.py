@@ -23,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import id_text, map_batches, map_stream, settle, text_bytes
+from dockflow.llm.base import map_batches, map_stream, settle, text_bytes
 from dockflow.llm.graph import components
 
 BITS = 64
 PARTS = 4
 WIDTH = BITS // PARTS
 BLOCK = 1024
+ROW, ROW_ID, LAST_ID = "row__", "row_id__", (1 << 63) - 1
 
 
 def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
@@ -47,14 +48,15 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * sums > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``: the 64-bit fingerprint as a signed long, a row for each row of ``docs``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` and the long columns ``extra``: the 64-bit fingerprint as a signed long, a row for each row of ``docs``."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t, shingle) for t in text_bytes(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], ["doc_id", "fp", *extra])
 
-    return map_batches(id_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)
+    return map_batches(rows, run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *extra)))
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -261,6 +263,15 @@ def links(distinct: DataFrame, tau: int = 3, block: int = BLOCK) -> DataFrame:
     return map_stream(ready, _compare(tau), "a long, b long").distinct()
 
 
+def _classes(fps: DataFrame, tau: int) -> DataFrame:
+    """``(fp, component_id)`` of the fingerprints of ``fps`` (doc_id, fp)."""
+    distinct = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
+    roots = components(links(distinct, tau)).select(F.col("node").alias("fp"), "root")
+    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return rooted.join(least, "root").select("fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, tau: int = 3) -> DataFrame:
     """``(doc_id, fp, component_id)``, a row for each row of ``docs``.
 
@@ -272,9 +283,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other. No rows give no rows; extra columns are not read.
     """
     fps = settle(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    roots = components(links(distinct, tau)).select(F.col("node").alias("fp"), "root")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(_classes(fps, tau), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, tau: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stand for their group, with all columns as they are.
+
+    The row of least id stays; of rows that repeat this id, the one of least
+    content hash, and one of equal rows. Rows without an id come last; without
+    any id, those of one fingerprint are a group. Texts are treated as in
+    ``near_duplicates``.
+    """
+    whole = docs.withColumn(ROW, F.xxhash64(*docs.columns)).withColumn(ROW_ID, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
+    narrow = settle(fingerprints(whole, id_col, text_col, shingle, (ROW, ROW_ID)), "row-fingerprints")
+    group = F.coalesce("component_id", F.xxhash64("fp", F.lit(1)))
+    first = narrow.join(_classes(narrow, tau), "fp").groupBy(group, F.col("component_id").isNull()).agg(F.min(F.struct(ROW_ID, ROW)).alias("m"))
+    # The join deals rows by their key, which dropping repeats of one row then uses again.
+    return whole.join(first.select(f"m.{ROW_ID}", f"m.{ROW}"), [ROW_ID, ROW]).dropDuplicates([ROW_ID, ROW]).select(*docs.columns)
