@@ -10,6 +10,7 @@ from dockflow.functions.calendar import (
     time_of_day,
     weekday_order,
 )
+from dockflow.functions.exact import mean_km, mean_minutes, percent, ratio_half_up, whole_metres, whole_seconds
 from dockflow.functions.geo import SERVICE_AREA, BBox, grid_cell, haversine_km, trip_within_bbox, within_bbox
 from dockflow.functions.text import normalise_category, normalise_name, route_label
 
@@ -21,14 +22,20 @@ __all__ = [
     "grid_cell",
     "haversine_km",
     "is_weekend",
+    "mean_km",
+    "mean_minutes",
     "month_key",
     "normalise_category",
     "normalise_name",
     "parse_timestamp",
+    "percent",
+    "ratio_half_up",
     "route_label",
     "season",
     "time_of_day",
     "trip_within_bbox",
     "weekday_order",
+    "whole_metres",
+    "whole_seconds",
     "within_bbox",
 ]

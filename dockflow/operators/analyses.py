@@ -13,16 +13,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
-from dockflow.functions import route_label, weekday_order
+from dockflow.functions import mean_km, mean_minutes, percent, route_label, weekday_order, whole_metres, whole_seconds
 
 
-def _avg(col: str, scale: int = 2) -> Column:
-    return F.round(F.avg(col), scale)
+def _avg_duration() -> Column:
+    d = F.col("trip_duration_min")
+    return mean_minutes(F.sum(whole_seconds(d)), F.count(d)).alias("avg_duration_min")
+
+
+def _avg_distance() -> Column:
+    d = F.col("trip_distance_km")
+    return mean_km(F.sum(whole_metres(d)), F.count(d)).alias("avg_distance_km")
 
 
 def _pct_of_rows(cond: Column, scale: int) -> Column:
     """Percentage of the group's rows where ``cond`` holds."""
-    return F.round(F.lit(100.0) * F.avg(F.when(cond, 1).otherwise(0)), scale)
+    return percent(F.count_if(cond), F.count(F.lit(1)), scale)
 
 
 def _is(col: str, value) -> Column:
@@ -31,7 +37,7 @@ def _is(col: str, value) -> Column:
 
 def _share_of_total(count_col: str, scale: int = 2) -> Column:
     whole = Window.partitionBy()
-    return F.round(F.lit(100.0) * F.col(count_col) / F.sum(count_col).over(whole), scale)
+    return percent(F.col(count_col), F.sum(count_col).over(whole), scale)
 
 
 def monthly_volume(trips: DataFrame) -> DataFrame:
@@ -42,7 +48,7 @@ def monthly_volume(trips: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trips"),
             F.count_if(_is("member_casual", schema.MEMBER)).alias("member_trips"),
             F.count_if(_is("member_casual", schema.CASUAL)).alias("casual_trips"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
+            _avg_duration(),
         )
         .orderBy("trip_month")
     )
@@ -52,8 +58,8 @@ def usage_by_bike_type(trips: DataFrame) -> DataFrame:
     """Vehicle type x segment: trips, share of all trips, mean duration and distance."""
     agg = trips.groupBy("rideable_type", "member_casual").agg(
         F.count(F.lit(1)).alias("trips"),
-        _avg("trip_duration_min").alias("avg_duration_min"),
-        _avg("trip_distance_km").alias("avg_distance_km"),
+        _avg_duration(),
+        _avg_distance(),
     )
     return agg.select(
         "rideable_type",
@@ -86,63 +92,50 @@ def lower_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     return ranked.filter(F.col("_cum") * 2 >= F.col("_total")).groupBy(*keys).agg(F.min(value).alias(alias))
 
 
-def _attach_median(agg: DataFrame, medians: DataFrame) -> DataFrame:
-    """Join per-segment medians (one row per segment) null-safely, rounded to 2."""
-    m = medians.select(F.col("member_casual").alias("_seg"), "median_duration_min")
-    joined = agg.join(m, agg["member_casual"].eqNullSafe(m["_seg"]), "left").drop("_seg")
-    return joined.withColumn("median_duration_min", F.round("median_duration_min", 2))
-
+def segment_profile(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
+    """Segment profile without an order: counts, exact means, median, round-trip rate.
 
-def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
-    """Segment profile: share, mean and median duration, distance, round-trip rate.
-
-    The median is exact by default and comes from the same single scan as the
-    other measures: one ``GROUPING SETS`` aggregation yields a row per segment
-    and a count per (segment, duration); a running sum over the latter (at
-    most 86,339 durations per segment) finds the lower median, which a window
-    on the segment carries to the segment row -- no join, no second scan.
-    Passing ``median_accuracy`` uses ``percentile_approx`` instead, for value
-    columns without a small discrete domain.
+    One aggregation per (segment, duration) -- at most 86,339 durations per
+    segment, whatever the number of trips -- holds everything: its counts and
+    integer sums add up to the segment's, and its running count gives the lower
+    median. One large shuffle; the window and the second aggregation see that
+    bounded table only. ``median_accuracy`` takes ``percentile_approx`` instead,
+    for durations without a small discrete domain.
     """
+    metres, n = F.col("trip_distance_km"), F.count(F.lit(1))
     if median_accuracy is not None:
         approx = F.percentile_approx("trip_duration_min", 0.5, median_accuracy)
-        agg = trips.groupBy("member_casual").agg(
-            F.count(F.lit(1)).alias("trips"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
-            F.round(approx, 2).alias("median_duration_min"),
-            _avg("trip_distance_km").alias("avg_distance_km"),
+        return trips.groupBy("member_casual").agg(
+            n.alias("trips"), _avg_duration(), F.round(approx, 2).alias("median_duration_min"), _avg_distance(),
             _pct_of_rows(F.col("is_round_trip"), 2).alias("round_trip_pct"),
         )
-    else:
-        sets = trips.groupingSets(
-            [["member_casual"], ["member_casual", "trip_duration_min"]], "member_casual", "trip_duration_min"
-        ).agg(
-            F.count(F.lit(1)).alias("trips"),
-            F.avg("trip_duration_min").alias("_avg_duration"),
-            F.avg("trip_distance_km").alias("_avg_distance"),
-            F.avg(F.when(F.col("is_round_trip"), 1).otherwise(0)).alias("_round_trip_rate"),
-            F.grouping_id().alias("_gid"),
-        )
-        per_value = F.col("_gid") == 0
-        upto = Window.partitionBy("_gid", "member_casual").orderBy("trip_duration_min").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        ranked = sets.select(
-            "*",
-            F.sum("trips").over(upto).alias("_cum"),
-            F.sum("trips").over(Window.partitionBy("_gid", "member_casual")).alias("_total"),
-        )
-        reached = F.when(per_value & (F.col("_cum") * 2 >= F.col("_total")), F.col("trip_duration_min"))
-        with_median = ranked.select("*", F.min(reached).over(Window.partitionBy("member_casual")).alias("_median"))
-        agg = with_median.filter(~per_value).select(
-            "member_casual",
-            "trips",
-            F.round("_avg_duration", 2).alias("avg_duration_min"),
-            F.round("_median", 2).alias("median_duration_min"),
-            F.round("_avg_distance", 2).alias("avg_distance_km"),
-            F.round(F.lit(100.0) * F.col("_round_trip_rate"), 2).alias("round_trip_pct"),
-        )
-    return agg.select(
+    per_value = trips.groupBy("member_casual", "trip_duration_min").agg(
+        n.alias("n"), F.sum(whole_metres(metres)).alias("metres"), F.count(metres).alias("n_metres"),
+        F.count_if(F.col("is_round_trip")).alias("round_trips"),
+    )
+    return profile_from_durations(per_value)
+
+
+def profile_from_durations(per_value: DataFrame) -> DataFrame:
+    """:func:`segment_profile` from ``member_casual, trip_duration_min, n, metres, n_metres, round_trips``."""
+    value = F.col("trip_duration_min")
+    whole = Window.partitionBy("member_casual")
+    upto = whole.orderBy(value.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.when(value.isNotNull(), F.col("n")).otherwise(0)
+    ranked = per_value.select("*", F.sum(known).over(upto).alias("_cum"), F.sum(known).over(whole).alias("_total"))
+    median = F.min(F.when(F.col("_cum") * 2 >= F.col("_total"), value))
+    return ranked.groupBy("member_casual").agg(
+        F.sum("n").alias("trips"),
+        mean_minutes(F.sum(whole_seconds(value) * F.col("n")), F.sum(known)).alias("avg_duration_min"),
+        F.round(median, 2).alias("median_duration_min"),
+        mean_km(F.sum("metres"), F.sum("n_metres")).alias("avg_distance_km"),
+        percent(F.sum("round_trips"), F.sum("n"), 2).alias("round_trip_pct"),
+    )
+
+
+def ordered_profile(profile: DataFrame) -> DataFrame:
+    """A segment profile with each segment's share of all trips, largest first."""
+    return profile.select(
         "member_casual",
         "trips",
         _share_of_total("trips").alias("pct_share"),
@@ -153,14 +146,19 @@ def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> Da
     ).orderBy(F.desc("trips"), "member_casual")
 
 
+def member_vs_casual(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
+    """Segment profile: share, mean and median duration, distance, round-trip rate (see :func:`segment_profile`)."""
+    return ordered_profile(segment_profile(trips, median_accuracy))
+
+
 def trip_patterns_by_dow(trips: DataFrame) -> DataFrame:
     """Per weekday: trips, mean duration and distance; Monday first."""
     return (
         trips.groupBy("day_of_week", "is_weekend")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
-            _avg("trip_distance_km").alias("avg_distance_km"),
+            _avg_duration(),
+            _avg_distance(),
         )
         .orderBy(weekday_order("day_of_week"), "day_of_week", "is_weekend")
     )
@@ -185,7 +183,7 @@ def time_of_day_demand(trips: DataFrame) -> DataFrame:
         trips.groupBy("time_of_day", "member_casual")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
+            _avg_duration(),
             F.min("hour").alias("_first_hour"),
         )
         .orderBy("_first_hour", "member_casual", "time_of_day")
@@ -202,8 +200,8 @@ def route_stats(trips: DataFrame) -> DataFrame:
     """
     agg = trips.groupBy("start_station_name", "end_station_name").agg(
         F.count(F.lit(1)).alias("trips"),
-        _avg("trip_duration_min").alias("avg_duration_min"),
-        _avg("trip_distance_km").alias("avg_distance_km"),
+        _avg_duration(),
+        _avg_distance(),
         _pct_of_rows(_is("member_casual", schema.MEMBER), 1).alias("member_pct"),
     )
     return agg.select(
@@ -228,8 +226,8 @@ def seasonal_demand(trips: DataFrame) -> DataFrame:
         trips.groupBy("season")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            _avg("trip_duration_min").alias("avg_duration_min"),
-            _avg("trip_distance_km").alias("avg_distance_km"),
+            _avg_duration(),
+            _avg_distance(),
             _pct_of_rows(_is("member_casual", schema.CASUAL), 1).alias("casual_pct"),
             F.min(F.month("started_at")).alias("_first_month"),
         )

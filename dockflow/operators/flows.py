@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockflow.functions import time_of_day
+from dockflow.functions import percent, time_of_day
 
 DEFAULT_MIN_ACTIVITY = 5000
 
@@ -60,7 +60,7 @@ def _with_net(flow: DataFrame) -> DataFrame:
     return flow.select(
         *[c for c in flow.columns],
         net.alias("net_outflow"),
-        F.round(F.lit(100.0) * net / F.nullif(total, F.lit(0)), 1).alias("net_outflow_pct"),
+        percent(net, total, 1).alias("net_outflow_pct"),
     )
 
 

@@ -19,6 +19,22 @@ _DAYPART = """CASE WHEN hour({ts}) BETWEEN 6 AND 9 THEN 'Morning Peak (6-9)'
          WHEN hour({ts}) BETWEEN 20 AND 23 THEN 'Evening (20-23)'
          ELSE 'Overnight (0-5)' END"""
 
+
+
+def _half_up(num: str, den: str, scale: int) -> str:
+    """num / den of whole numbers, half away from zero to ``scale`` digits, in integers."""
+    p = 10**scale
+    return (f"CAST(sign({num}) * ((2 * {p} * abs({num}) + NULLIF({den}, 0)) // (2 * NULLIF({den}, 0))) AS DOUBLE) / CAST({p} AS DOUBLE)")
+
+
+_AVG_MIN = _half_up("SUM(CAST(ROUND(trip_duration_min * 60) AS BIGINT))", "(60 * COUNT(trip_duration_min))", 2)
+_AVG_KM = _half_up("SUM(CAST(ROUND(trip_distance_km * 1000) AS BIGINT))", "(1000 * COUNT(trip_distance_km))", 2)
+
+
+def _pct(part: str, whole: str, scale: int) -> str:
+    return _half_up(f"(100 * ({part}))", whole, scale)
+
+
 PREFIX = f"""
 WITH ev AS (
   SELECT event_id, ts, user_id, event_type,
@@ -128,7 +144,7 @@ flow AS (
 imbalance AS (
   SELECT station, departures, arrivals,
     departures - arrivals AS net_outflow,
-    ROUND(CAST(100.0 AS DOUBLE) * (departures - arrivals) / NULLIF(departures + arrivals, 0), 1) AS net_outflow_pct
+    {_pct('departures - arrivals', '(departures + arrivals)', 1)} AS net_outflow_pct
   FROM flow
   WHERE departures + arrivals >= {MIN_ACTIVITY}
 ),
@@ -136,7 +152,7 @@ monthly AS (
   SELECT trip_month, COUNT(*) AS trips,
     COUNT(*) FILTER (WHERE member_casual = 'member') AS member_trips,
     COUNT(*) FILTER (WHERE member_casual = 'casual') AS casual_trips,
-    ROUND(AVG(trip_duration_min), 2) AS avg_duration_min
+    {_AVG_MIN} AS avg_duration_min
   FROM trips GROUP BY trip_month
 ),
 hourly AS (
@@ -148,25 +164,25 @@ hourly AS (
 ),
 seasonal AS (
   SELECT season, COUNT(*) AS trips,
-    ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
-    ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE member_casual = 'casual') AS DOUBLE) / COUNT(*)), 1) AS casual_pct
+    {_AVG_MIN} AS avg_duration_min,
+    {_AVG_KM} AS avg_distance_km,
+    {_pct("COUNT(*) FILTER (WHERE member_casual = 'casual')", 'COUNT(*)', 1)} AS casual_pct
   FROM trips GROUP BY season
 ),
 segments AS (
   SELECT member_casual, COUNT(*) AS trips,
-    ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS pct_share,
-    ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
+    {_pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2)} AS pct_share,
+    {_AVG_MIN} AS avg_duration_min,
     ROUND(quantile_disc(trip_duration_min, 0.5), 2) AS median_duration_min,
-    ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE is_round_trip) AS DOUBLE) / COUNT(*)), 2) AS round_trip_pct
+    {_AVG_KM} AS avg_distance_km,
+    {_pct('COUNT(*) FILTER (WHERE is_round_trip)', 'COUNT(*)', 2)} AS round_trip_pct
   FROM trips GROUP BY member_casual
 ),
 routes AS (
   SELECT route, start_station_name, end_station_name, COUNT(*) AS trips,
-    ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
-    ROUND(AVG(trip_distance_km), 2) AS avg_distance_km,
-    ROUND(CAST(100.0 AS DOUBLE) * (CAST(COUNT(*) FILTER (WHERE member_casual = 'member') AS DOUBLE) / COUNT(*)), 1) AS member_pct
+    {_AVG_MIN} AS avg_duration_min,
+    {_AVG_KM} AS avg_distance_km,
+    {_pct("COUNT(*) FILTER (WHERE member_casual = 'member')", 'COUNT(*)', 1)} AS member_pct
   FROM trips GROUP BY route, start_station_name, end_station_name
 )
 """
@@ -188,25 +204,25 @@ _IMBALANCE = "SELECT * FROM imbalance ORDER BY net_outflow DESC, station"
 
 QUERIES: dict[str, str] = {
     "monthly_volume": "SELECT * FROM monthly ORDER BY trip_month",
-    "usage_by_bike_type": """
+    "usage_by_bike_type": f"""
 SELECT rideable_type, member_casual, COUNT(*) AS trips,
-  ROUND(CAST(100.0 AS DOUBLE) * COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS pct_of_all_trips,
-  ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
-  ROUND(AVG(trip_distance_km), 2) AS avg_distance_km
+  {_pct('COUNT(*)', 'SUM(COUNT(*)) OVER ()', 2)} AS pct_of_all_trips,
+  {_AVG_MIN} AS avg_duration_min,
+  {_AVG_KM} AS avg_distance_km
 FROM trips GROUP BY rideable_type, member_casual
 ORDER BY trips DESC, rideable_type, member_casual
 """,
     "member_vs_casual": "SELECT * FROM segments ORDER BY trips DESC, member_casual",
-    "trip_patterns_by_dow": """
+    "trip_patterns_by_dow": f"""
 SELECT day_of_week, is_weekend, COUNT(*) AS trips,
-  ROUND(AVG(trip_duration_min), 2) AS avg_duration_min,
-  ROUND(AVG(trip_distance_km), 2) AS avg_distance_km
+  {_AVG_MIN} AS avg_duration_min,
+  {_AVG_KM} AS avg_distance_km
 FROM trips GROUP BY day_of_week, is_weekend
 ORDER BY MIN(isodow(started_at))
 """,
     "hourly_demand": "SELECT * FROM hourly ORDER BY hour",
-    "time_of_day_demand": """
-SELECT time_of_day, member_casual, COUNT(*) AS trips, ROUND(AVG(trip_duration_min), 2) AS avg_duration_min
+    "time_of_day_demand": f"""
+SELECT time_of_day, member_casual, COUNT(*) AS trips, {_AVG_MIN} AS avg_duration_min
 FROM trips GROUP BY time_of_day, member_casual
 ORDER BY MIN(hour(started_at)), member_casual
 """,
@@ -255,7 +271,7 @@ SELECT station, net_outflow, 'bottom' AS side,
   CASE WHEN net_outflow > 0 THEN 'source' ELSE 'sink' END AS direction
 FROM (SELECT * FROM imbalance ORDER BY net_outflow ASC, station DESC LIMIT 10)
 """,
-    "demand_ratios": """
+    "demand_ratios": f"""
 , m AS (SELECT trip_month, COUNT(*) AS trips FROM trips GROUP BY trip_month),
 s AS (
   SELECT
@@ -266,13 +282,13 @@ s AS (
 p AS (SELECT trip_month AS peak_month, trips AS peak_trips FROM m ORDER BY trips DESC, trip_month LIMIT 1),
 t AS (SELECT trip_month AS trough_month, trips AS trough_trips FROM m ORDER BY trips ASC, trip_month LIMIT 1)
 SELECT summer_trips, winter_trips,
-  ROUND(CAST(summer_trips AS DOUBLE) / NULLIF(winter_trips, 0), 1) AS summer_winter_ratio,
+  {_half_up('summer_trips', 'winter_trips', 1)} AS summer_winter_ratio,
   (SELECT peak_month FROM p) AS peak_month, (SELECT peak_trips FROM p) AS peak_trips,
   (SELECT trough_month FROM t) AS trough_month, (SELECT trough_trips FROM t) AS trough_trips,
-  ROUND(CAST((SELECT peak_trips FROM p) AS DOUBLE) / NULLIF((SELECT trough_trips FROM t), 0), 1) AS peak_trough_ratio
+  {_half_up('(SELECT peak_trips FROM p)', '(SELECT trough_trips FROM t)', 1)} AS peak_trough_ratio
 FROM s
 """,
-    "station_concentration": """
+    "station_concentration": f"""
 , r AS (
   SELECT departures + arrivals AS activity,
     row_number() OVER (ORDER BY departures + arrivals DESC, station) AS rk
@@ -281,7 +297,7 @@ FROM s
 SELECT 15 AS top_k, COUNT(*) AS stations,
   CAST(SUM(CASE WHEN rk <= 15 THEN activity ELSE 0 END) AS BIGINT) AS top_activity,
   CAST(SUM(activity) AS BIGINT) AS total_activity,
-  ROUND(CAST(100.0 AS DOUBLE) * SUM(CASE WHEN rk <= 15 THEN activity ELSE 0 END) / NULLIF(SUM(activity), 0), 1) AS top_share_pct
+  {_pct('SUM(CASE WHEN rk <= 15 THEN activity ELSE 0 END)', 'SUM(activity)', 1)} AS top_share_pct
 FROM r
 """,
     "intraday_imbalance": f"""
@@ -294,7 +310,7 @@ SELECT station, time_of_day,
   CAST(SUM(departures) AS BIGINT) AS departures,
   CAST(SUM(arrivals) AS BIGINT) AS arrivals,
   CAST(SUM(departures) - SUM(arrivals) AS BIGINT) AS net_outflow,
-  ROUND(CAST(100.0 AS DOUBLE) * (SUM(departures) - SUM(arrivals)) / NULLIF(SUM(departures) + SUM(arrivals), 0), 1) AS net_outflow_pct
+  {_pct('SUM(departures) - SUM(arrivals)', '(SUM(departures) + SUM(arrivals))', 1)} AS net_outflow_pct
 FROM ends GROUP BY station, time_of_day
 ORDER BY station, time_of_day
 """,
@@ -318,8 +334,8 @@ ORDER BY s.pair_rank
 SELECT * FROM routes WHERE member_pct > {COMMUTER_MIN_MEMBER_PCT}
 ORDER BY trips DESC, route LIMIT 25
 """,
-    "summer_weekend_casual": """
-SELECT start_station_name AS station, COUNT(*) AS trips, ROUND(AVG(trip_duration_min), 2) AS avg_duration_min
+    "summer_weekend_casual": f"""
+SELECT start_station_name AS station, COUNT(*) AS trips, {_AVG_MIN} AS avg_duration_min
 FROM trips WHERE season = 'Summer' AND is_weekend AND member_casual = 'casual'
 GROUP BY start_station_name ORDER BY trips DESC, station LIMIT 25
 """,
@@ -330,7 +346,7 @@ SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_s
   time_of_day, trip_distance_km, route, is_round_trip
 FROM trips
 """,
-    "quality_funnel": """
+    "quality_funnel": f"""
 , steps AS (
   SELECT 0 AS step_no, 'raw rows' AS step, (SELECT COUNT(*) FROM raw) AS n_rows
   UNION ALL SELECT 1, 'drop missing essentials', (SELECT COUNT(*) FROM present)
@@ -341,7 +357,7 @@ FROM trips
 )
 SELECT CAST(step_no AS INTEGER) AS step_no, step, n_rows AS "rows",
   (SELECT COUNT(*) FROM raw) - n_rows AS removed_so_far,
-  ROUND(CAST(100.0 AS DOUBLE) * n_rows / NULLIF((SELECT COUNT(*) FROM raw), 0), 1) AS pct_of_raw
+  {_pct('n_rows', '(SELECT COUNT(*) FROM raw)', 1)} AS pct_of_raw
 FROM steps ORDER BY step_no
 """,
     "virtual_zones": """

@@ -51,17 +51,22 @@ def season_bars(trips: DataFrame) -> DataFrame:
 
 
 def segment_comparison_from(profile: DataFrame) -> DataFrame:
-    """Long form ``metric, member, casual`` from a ``member_vs_casual`` result."""
-    prof = profile.select("member_casual", *SEGMENT_METRICS)
-    long = prof.unpivot(["member_casual"], SEGMENT_METRICS, "metric", "value")
-    wide = long.groupBy("metric").pivot("member_casual", [schema.MEMBER, schema.CASUAL]).agg(F.max("value"))
-    order = F.array_position(F.array(*[F.lit(m) for m in SEGMENT_METRICS]), F.col("metric"))
-    return wide.orderBy(order).select("metric", schema.MEMBER, schema.CASUAL)
+    """Long form ``metric, member, casual`` from a segment profile (any order).
+
+    One row of conditional maxima, unfolded in the order of the metrics.
+    """
+    value = lambda segment, m: F.max(F.when(F.col("member_casual") == segment, F.col(m)))
+    row = profile.agg(*(value(s, m).alias(f"{s}_{m}") for m in SEGMENT_METRICS for s in (schema.MEMBER, schema.CASUAL)))
+    metrics = [
+        F.struct(F.lit(m).alias("metric"), F.col(f"{schema.MEMBER}_{m}").alias(schema.MEMBER), F.col(f"{schema.CASUAL}_{m}").alias(schema.CASUAL))
+        for m in SEGMENT_METRICS
+    ]
+    return row.select(F.inline(F.array(*metrics)))
 
 
 def segment_comparison(trips: DataFrame) -> DataFrame:
     """Long form ``metric, member, casual`` of the four segment metrics."""
-    return segment_comparison_from(analyses.member_vs_casual(trips))
+    return segment_comparison_from(analyses.segment_profile(trips))
 
 
 def top_stations_chart_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:

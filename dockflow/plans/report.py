@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
-from dockflow.functions import BBox, SERVICE_AREA, grid_cell, within_bbox
+from dockflow.functions import BBox, SERVICE_AREA, grid_cell, mean_minutes, percent, ratio_half_up, whole_seconds, within_bbox
 from dockflow.operators import analyses, flows
 from dockflow.operators.clean import parse_raw
 from dockflow.operators.quality import first_per_key
@@ -27,12 +27,12 @@ def demand_ratios_from_monthly(monthly: DataFrame) -> DataFrame:
     return agg.select(
         "summer_trips",
         "winter_trips",
-        F.round(F.try_divide("summer_trips", "winter_trips"), 1).alias("summer_winter_ratio"),
+        ratio_half_up(F.col("summer_trips"), F.col("winter_trips"), 1).alias("summer_winter_ratio"),
         F.col("_peak.m").alias("peak_month"),
         (-F.col("_peak.neg")).alias("peak_trips"),
         F.col("_trough.m").alias("trough_month"),
         F.col("_trough.n").alias("trough_trips"),
-        F.round(F.try_divide(-F.col("_peak.neg"), F.col("_trough.n")), 1).alias("peak_trough_ratio"),
+        ratio_half_up(-F.col("_peak.neg"), F.col("_trough.n"), 1).alias("peak_trough_ratio"),
     )
 
 
@@ -60,7 +60,7 @@ def concentration_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:
         "stations",
         "top_activity",
         "total_activity",
-        F.round(F.lit(100.0) * F.col("top_activity") / F.nullif(F.col("total_activity"), F.lit(0)), 1).alias("top_share_pct"),
+        percent(F.col("top_activity"), F.col("total_activity"), 1).alias("top_share_pct"),
     )
 
 
@@ -86,7 +86,7 @@ def summer_weekend_casual(trips: DataFrame, k: int = 25) -> DataFrame:
     )
     return (
         sel.groupBy(F.col("start_station_name").alias("station"))
-        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.avg("trip_duration_min"), 2).alias("avg_duration_min"))
+        .agg(F.count(F.lit(1)).alias("trips"), mean_minutes(F.sum(whole_seconds(F.col("trip_duration_min"))), F.count("trip_duration_min")).alias("avg_duration_min"))
         .orderBy(F.desc("trips"), "station")
         .limit(k)
     )

@@ -23,10 +23,8 @@ station pairs), never by the number of trips.
 The combined summary is checkpointed once into ``spark.checkpoint.dir``
 (lineage cut, survives executor loss); the report queries read only it.
 
-Means are re-derived as sum / count: equal to the direct ``avg`` up to
-floating-point summation order, i.e. identical after rounding to 2 decimals
-except for a value lying exactly on a rounding boundary. Percentages follow
-the direct queries' operation order and are identical.
+Sums are whole seconds and metres, so means and shares equal the direct
+queries' exactly (see ``functions.exact``).
 """
 
 from __future__ import annotations
@@ -38,7 +36,16 @@ from pyspark.sql import functions as F
 
 from dockflow import schema
 
-from dockflow.functions import route_label, time_of_day, weekday_order
+from dockflow.functions import (
+    mean_km,
+    mean_minutes,
+    percent,
+    route_label,
+    time_of_day,
+    weekday_order,
+    whole_metres,
+    whole_seconds,
+)
 from dockflow.operators import analyses, flows
 from dockflow.plans import feeds, report
 from dockflow.session import ensure_checkpoint_dir
@@ -50,7 +57,7 @@ DEPARTURE_KEYS = ["start_station_name", "time_of_day", "season", "is_weekend", "
 ARRIVAL_KEYS = ["end_station_name", "end_time_of_day"]
 SETS = [CUBE_KEYS, ROUTE_KEYS, MEDIAN_KEYS, DEPARTURE_KEYS, ARRIVAL_KEYS]
 SUMMARY_KEYS = list(dict.fromkeys(k for keys in SETS for k in keys))
-MEASURES = ["trips", "sum_duration", "sum_distance", "round_trips", "member_trips", "first_month"]
+MEASURES = ["trips", "seconds", "n_seconds", "metres", "n_metres", "round_trips", "member_trips", "first_month"]
 
 
 def _grouping_id(grouped: list[str]) -> int:
@@ -62,8 +69,10 @@ def _grouping_id(grouped: list[str]) -> int:
 def _measures() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("trips"),
-        F.sum("trip_duration_min").alias("sum_duration"),
-        F.sum("trip_distance_km").alias("sum_distance"),
+        F.sum(whole_seconds(F.col("trip_duration_min"))).alias("seconds"),
+        F.count("trip_duration_min").alias("n_seconds"),
+        F.sum(whole_metres(F.col("trip_distance_km"))).alias("metres"),
+        F.count("trip_distance_km").alias("n_metres"),
         F.count_if(F.col("is_round_trip")).alias("round_trips"),
         F.count_if(F.col("member_casual") == schema.MEMBER).alias("member_trips"),
         F.min(F.month("started_at")).alias("first_month"),
@@ -85,7 +94,7 @@ def split_summary(summary: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cube, route counts, duration counts) out of :func:`report_summary`."""
     cube = summary_part(summary, CUBE_KEYS)
     routes = summary_part(summary, ROUTE_KEYS)
-    durations = summary_part(summary, MEDIAN_KEYS).select(*MEDIAN_KEYS, F.col("trips").alias("_n"))
+    durations = summary_part(summary, MEDIAN_KEYS)
     return cube, routes, durations
 
 
@@ -98,8 +107,12 @@ def _n() -> Column:
     return F.sum("trips")
 
 
-def _mean(sum_col: str) -> Column:
-    return F.round(F.sum(sum_col) / F.sum("trips"), 2)
+def _mean_duration() -> Column:
+    return mean_minutes(F.sum("seconds"), F.sum("n_seconds")).alias("avg_duration_min")
+
+
+def _mean_distance() -> Column:
+    return mean_km(F.sum("metres"), F.sum("n_metres")).alias("avg_distance_km")
 
 
 def _trips_where(cond: Column) -> Column:
@@ -107,12 +120,11 @@ def _trips_where(cond: Column) -> Column:
 
 
 def _pct_where(cond: Column, scale: int) -> Column:
-    # 100 * (count / n): the order in which avg() of a 0/1 flag evaluates.
-    return F.round(F.lit(100.0) * (_trips_where(cond) / F.sum("trips")), scale)
+    return percent(_trips_where(cond), F.sum("trips"), scale)
 
 
 def _share(scale: int = 2) -> Column:
-    return F.round(F.lit(100.0) * F.col("trips") / F.sum("trips").over(Window.partitionBy()), scale)
+    return percent(F.col("trips"), F.sum("trips").over(Window.partitionBy()), scale)
 
 
 def monthly_volume(cube: DataFrame) -> DataFrame:
@@ -122,7 +134,7 @@ def monthly_volume(cube: DataFrame) -> DataFrame:
             _n().alias("trips"),
             _trips_where(F.col("member_casual") == schema.MEMBER).alias("member_trips"),
             _trips_where(F.col("member_casual") == schema.CASUAL).alias("casual_trips"),
-            _mean("sum_duration").alias("avg_duration_min"),
+            _mean_duration(),
         )
         .orderBy("trip_month")
     )
@@ -130,31 +142,26 @@ def monthly_volume(cube: DataFrame) -> DataFrame:
 
 def usage_by_bike_type(cube: DataFrame) -> DataFrame:
     agg = cube.groupBy("rideable_type", "member_casual").agg(
-        _n().alias("trips"), _mean("sum_duration").alias("avg_duration_min"), _mean("sum_distance").alias("avg_distance_km")
+        _n().alias("trips"), _mean_duration(), _mean_distance()
     )
     return agg.select(
         "rideable_type", "member_casual", "trips", _share().alias("pct_of_all_trips"), "avg_duration_min", "avg_distance_km"
     ).orderBy(F.desc("trips"), "rideable_type", "member_casual")
 
 
-def member_vs_casual(cube: DataFrame, medians: DataFrame) -> DataFrame:
-    agg = cube.groupBy("member_casual").agg(
-        _n().alias("trips"),
-        _mean("sum_duration").alias("avg_duration_min"),
-        _mean("sum_distance").alias("avg_distance_km"),
-        F.round(F.lit(100.0) * (F.sum("round_trips") / F.sum("trips")), 2).alias("round_trip_pct"),
-    )
-    agg = analyses._attach_median(agg, medians)
-    return agg.select(
-        "member_casual", "trips", _share().alias("pct_share"), "avg_duration_min", "median_duration_min",
-        "avg_distance_km", "round_trip_pct",
-    ).orderBy(F.desc("trips"), "member_casual")
+def segment_profile(durations: DataFrame) -> DataFrame:
+    """Segment profile (``analyses.segment_profile``) from the (segment, duration) summary."""
+    return analyses.profile_from_durations(durations.withColumnRenamed("trips", "n"))
+
+
+def member_vs_casual(durations: DataFrame) -> DataFrame:
+    return analyses.ordered_profile(segment_profile(durations))
 
 
 def trip_patterns_by_dow(cube: DataFrame) -> DataFrame:
     return (
         cube.groupBy("day_of_week", "is_weekend")
-        .agg(_n().alias("trips"), _mean("sum_duration").alias("avg_duration_min"), _mean("sum_distance").alias("avg_distance_km"))
+        .agg(_n().alias("trips"), _mean_duration(), _mean_distance())
         .orderBy(weekday_order("day_of_week"), "day_of_week", "is_weekend")
     )
 
@@ -174,7 +181,7 @@ def hourly_demand(cube: DataFrame) -> DataFrame:
 def time_of_day_demand(cube: DataFrame) -> DataFrame:
     return (
         cube.groupBy("time_of_day", "member_casual")
-        .agg(_n().alias("trips"), _mean("sum_duration").alias("avg_duration_min"), F.min("hour").alias("_first_hour"))
+        .agg(_n().alias("trips"), _mean_duration(), F.min("hour").alias("_first_hour"))
         .orderBy("_first_hour", "member_casual", "time_of_day")
         .drop("_first_hour")
     )
@@ -185,8 +192,8 @@ def seasonal_demand(cube: DataFrame) -> DataFrame:
         cube.groupBy("season")
         .agg(
             _n().alias("trips"),
-            _mean("sum_duration").alias("avg_duration_min"),
-            _mean("sum_distance").alias("avg_distance_km"),
+            _mean_duration(),
+            _mean_distance(),
             _pct_where(F.col("member_casual") == schema.CASUAL, 1).alias("casual_pct"),
             F.min("first_month").alias("_first_month"),
         )
@@ -195,22 +202,6 @@ def seasonal_demand(cube: DataFrame) -> DataFrame:
     )
 
 
-def lower_median_from_counts(durations: DataFrame) -> DataFrame:
-    """Exact lower median per segment from (segment, duration, _n) counts."""
-    upto = Window.partitionBy("member_casual").orderBy("trip_duration_min").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = durations.select(
-        "member_casual",
-        "trip_duration_min",
-        F.sum("_n").over(upto).alias("_cum"),
-        F.sum("_n").over(Window.partitionBy("member_casual")).alias("_total"),
-    )
-    return ranked.filter(F.col("_cum") * 2 >= F.col("_total")).groupBy("member_casual").agg(
-        F.min("trip_duration_min").alias("median_duration_min")
-    )
-
-
 def route_stats(routes: DataFrame) -> DataFrame:
     """Route statistics (same columns as ``analyses.route_stats``) from route counts."""
     return routes.select(
@@ -218,9 +209,9 @@ def route_stats(routes: DataFrame) -> DataFrame:
         "start_station_name",
         "end_station_name",
         "trips",
-        F.round(F.col("sum_duration") / F.col("trips"), 2).alias("avg_duration_min"),
-        F.round(F.col("sum_distance") / F.col("trips"), 2).alias("avg_distance_km"),
-        F.round(F.lit(100.0) * (F.col("member_trips") / F.col("trips")), 1).alias("member_pct"),
+        mean_minutes(F.col("seconds"), F.col("n_seconds")).alias("avg_duration_min"),
+        mean_km(F.col("metres"), F.col("n_metres")).alias("avg_distance_km"),
+        percent(F.col("member_trips"), F.col("trips"), 1).alias("member_pct"),
     )
 
 
@@ -260,7 +251,7 @@ def summer_weekend_casual(departures: DataFrame, k: int = 25) -> DataFrame:
     )
     return (
         sel.groupBy(F.col("start_station_name").alias("station"))
-        .agg(_n().alias("trips"), _mean("sum_duration").alias("avg_duration_min"))
+        .agg(_n().alias("trips"), _mean_duration())
         .orderBy(F.desc("trips"), "station")
         .limit(k)
     )
@@ -317,7 +308,7 @@ def run_report(
     builders = {
         "monthly_volume": lambda: monthly_volume(cube),
         "usage_by_bike_type": lambda: usage_by_bike_type(cube),
-        "member_vs_casual": lambda: member_vs_casual(cube, lower_median_from_counts(durations)),
+        "member_vs_casual": lambda: member_vs_casual(durations),
         "trip_patterns_by_dow": lambda: trip_patterns_by_dow(cube),
         "hourly_demand": lambda: hourly_demand(cube),
         "time_of_day_demand": lambda: time_of_day_demand(cube),
@@ -333,9 +324,7 @@ def run_report(
         "monthly_stack": lambda: feeds.monthly_stack_from(monthly_volume(cube)),
         "hourly_lines": lambda: feeds.hourly_lines_from(hourly_demand(cube)),
         "season_bars": lambda: feeds.season_bars_from(seasonal_demand(cube)),
-        "segment_comparison": lambda: feeds.segment_comparison_from(
-            member_vs_casual(cube, lower_median_from_counts(durations))
-        ),
+        "segment_comparison": lambda: feeds.segment_comparison_from(segment_profile(durations)),
         "top_stations_chart": lambda: feeds.top_stations_chart_from_flow(flow, p("top_stations_chart", "k", 15)),
         "imbalance_extremes": lambda: feeds.imbalance_extremes_from(
             imbalance("imbalance_extremes"), p("imbalance_extremes", "k", 10)
