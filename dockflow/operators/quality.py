@@ -27,22 +27,34 @@ from dockflow.functions import BBox, SERVICE_AREA, trip_within_bbox
 
 @dataclass(frozen=True)
 class Rule:
-    """A named row filter of the cleaning funnel."""
+    """A named row filter of the cleaning funnel.
+
+    ``columns``: what ``keep`` reads, if stated; the funnel carries nothing else.
+    """
 
     name: str
     keep: Column
+    columns: tuple[str, ...] | None = None
+
+
+STEP_DURATION = "duration in range"
+STEP_AREA = "both ends in the service area"
+FLOAT_COLUMNS = frozenset(f.name for f in schema.RAW_SCHEMA.fields if f.dataType.simpleString() in ("double", "float"))
+COORDINATES = ("start_lat", "start_lng", "end_lat", "end_lng")
 
 
 def required_present(columns: Sequence[str] = schema.REQUIRED_COLUMNS) -> Column:
-    """True when none of ``columns`` is NULL."""
+    """True when none of ``columns`` is NULL or, of the numbers among the raw columns, NaN."""
     cond = F.lit(True)
     for c in columns:
         cond = cond & F.col(c).isNotNull()
+        if c in FLOAT_COLUMNS:
+            cond = cond & ~F.isnan(c)
     return cond
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] = schema.REQUIRED_COLUMNS) -> DataFrame:
-    """Drop rows where any required column is NULL."""
+    """Drop rows where any required column is NULL or NaN."""
     return df.dropna(how="any", subset=list(columns))
 
 
@@ -77,6 +89,6 @@ def default_rules(box: BBox = SERVICE_AREA, lo: float = schema.MIN_DURATION_MIN,
                   hi: float = schema.MAX_DURATION_MIN) -> list[Rule]:
     """The post-dedupe rules, in order."""
     return [
-        Rule("filter trip duration 1min-24h", duration_between(lo, hi)),
-        Rule("filter GPS to service bbox", trip_within_bbox(box)),
+        Rule(STEP_DURATION, duration_between(lo, hi), ("trip_duration_min",)),
+        Rule(STEP_AREA, trip_within_bbox(box), COORDINATES),
     ]

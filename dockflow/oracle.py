@@ -10,7 +10,7 @@ the Spark results. Nothing here is executed by the library itself.
 from __future__ import annotations
 
 # Same parameters as the registered Spark queries (test-scale thresholds).
-MIN_ACTIVITY = 50
+MIN_ACTIVITY = 150
 COMMUTER_MIN_MEMBER_PCT = 66.0
 
 _DAYPART = """CASE WHEN hour({ts}) BETWEEN 6 AND 9 THEN 'Morning Peak (6-9)'
@@ -48,27 +48,38 @@ seq AS (
          to_days(CAST((user_id * 2) % 360 AS INTEGER)) AS shift
   FROM ev
 ),
+copied AS (
+  SELECT *, UNNEST(CASE WHEN event_id % 50 = 0 THEN [0, 1] ELSE [0] END) AS copy_no,
+    (k * k + 40 * (event_id % 3)) // 97 AS s0, (k2 * k2 + 40 * (event_id % 3)) // 97 AS e0
+  FROM seq
+),
+placed AS (
+  SELECT *, CASE WHEN s0 IN (88, 89) THEN s0 - 50 ELSE s0 END AS s, CASE WHEN e0 >= 90 THEN e0 - 60 ELSE e0 END AS e
+  FROM copied
+),
 raw AS (
   SELECT
     CAST(event_id AS VARCHAR) AS ride_id,
     CASE WHEN event_type IN ('click', 'view') THEN ' Classic_Bike'
          WHEN event_type = 'signup' THEN 'electric_scooter'
          ELSE 'electric_bike ' END AS rideable_type,
-    CAST(ts + shift AS VARCHAR) AS started_at,
+    CAST(CASE WHEN copy_no = 1 AND event_id % 100 <> 0 THEN ts + shift - INTERVAL 30 SECOND ELSE ts + shift END AS VARCHAR) AS started_at,
     CAST(ts2 + shift AS VARCHAR) AS ended_at,
-    CASE WHEN k >= 97 THEN NULL ELSE 'Station ' || CAST(k % 10 AS VARCHAR) END AS start_station_name,
+    CASE WHEN k >= 97 THEN NULL ELSE 'Station ' || CAST(s AS VARCHAR) END AS start_station_name,
     CAST(NULL AS VARCHAR) AS start_station_id,
-    CASE WHEN k2 >= 97 THEN NULL ELSE 'Station ' || CAST(k2 % 10 AS VARCHAR) END AS end_station_name,
+    CASE WHEN k2 >= 97 THEN NULL ELSE 'Station ' || CAST(e AS VARCHAR) END AS end_station_name,
     CAST(NULL AS VARCHAR) AS end_station_id,
-    CASE WHEN k = 0 THEN CAST(0.0 AS DOUBLE)
-         ELSE CAST(41.65 AS DOUBLE) + CAST(0.04 AS DOUBLE) * (k % 10)
-              + CAST(0.000137 AS DOUBLE) * (event_id % 97) END AS start_lat,
-    CAST(-87.90 AS DOUBLE) + CAST(0.03 AS DOUBLE) * ((k * 7) % 10) AS start_lng,
-    CAST(41.65 AS DOUBLE) + CAST(0.04 AS DOUBLE) * (k2 % 10) AS end_lat,
-    CAST(-87.90 AS DOUBLE) + CAST(0.03 AS DOUBLE) * ((k2 * 7) % 10) AS end_lng,
-    CASE WHEN user_id % 3 = 0 THEN 'casual ' ELSE 'Member' END AS member_casual,
-    UNNEST(CASE WHEN event_id % 50 = 0 THEN [0, 1] ELSE [0] END) AS copy_no
-  FROM seq
+    CASE WHEN event_id % 211 = 0 THEN CAST('NaN' AS DOUBLE)
+         WHEN k = 0 THEN CAST(0.0 AS DOUBLE)
+         ELSE CAST(41.65 AS DOUBLE) + CAST(0.004 AS DOUBLE) * s
+              + CAST(0.000137 AS DOUBLE) * (event_id % 97)
+              - CASE WHEN copy_no = 1 AND event_id % 100 = 0 THEN CAST(0.001 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END END AS start_lat,
+    CAST(-87.90 AS DOUBLE) + CAST(0.003 AS DOUBLE) * ((s * 7) % 97) AS start_lng,
+    CASE WHEN copy_no = 1 AND event_id % 150 = 0 THEN CAST('NaN' AS DOUBLE)
+         ELSE CAST(41.65 AS DOUBLE) + CAST(0.004 AS DOUBLE) * e END AS end_lat,
+    CAST(-87.90 AS DOUBLE) + CAST(0.003 AS DOUBLE) * ((e * 7) % 97) AS end_lng,
+    CASE WHEN user_id % 3 = 0 THEN 'casual ' ELSE 'Member' END AS member_casual
+  FROM placed
 ),
 parsed AS (
   SELECT * REPLACE (
@@ -86,11 +97,12 @@ present AS (
     AND start_station_name IS NOT NULL AND end_station_name IS NOT NULL
     AND start_lat IS NOT NULL AND start_lng IS NOT NULL
     AND end_lat IS NOT NULL AND end_lng IS NOT NULL
+    AND NOT isnan(start_lat) AND NOT isnan(start_lng) AND NOT isnan(end_lat) AND NOT isnan(end_lng)
     AND member_casual IS NOT NULL AND rideable_type IS NOT NULL
 ),
 uniq AS (
   SELECT * FROM present
-  QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at, ended_at, copy_no) = 1
+  QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at, ended_at, start_lat, start_lng, end_lat, end_lng) = 1
 ),
 kept AS (
   SELECT * FROM uniq
@@ -348,12 +360,12 @@ FROM trips
 """,
     "quality_funnel": f"""
 , steps AS (
-  SELECT 0 AS step_no, 'raw rows' AS step, (SELECT COUNT(*) FROM raw) AS n_rows
-  UNION ALL SELECT 1, 'drop missing essentials', (SELECT COUNT(*) FROM present)
-  UNION ALL SELECT 2, 'drop duplicate ride_ids', (SELECT COUNT(*) FROM uniq)
-  UNION ALL SELECT 3, 'filter trip duration 1min-24h',
+  SELECT 0 AS step_no, 'all rows' AS step, (SELECT COUNT(*) FROM raw) AS n_rows
+  UNION ALL SELECT 1, 'required fields present', (SELECT COUNT(*) FROM present)
+  UNION ALL SELECT 2, 'one row per ride', (SELECT COUNT(*) FROM uniq)
+  UNION ALL SELECT 3, 'duration in range',
     (SELECT COUNT(*) FROM uniq WHERE trip_duration_min > 1 AND trip_duration_min < 1440)
-  UNION ALL SELECT 4, 'filter GPS to service bbox', (SELECT COUNT(*) FROM kept)
+  UNION ALL SELECT 4, 'both ends in the service area', (SELECT COUNT(*) FROM kept)
 )
 SELECT CAST(step_no AS INTEGER) AS step_no, step, n_rows AS "rows",
   (SELECT COUNT(*) FROM raw) - n_rows AS removed_so_far,
@@ -365,7 +377,7 @@ FROM steps ORDER BY step_no
   SELECT * FROM timed
   WHERE start_station_name IS NULL AND ride_id IS NOT NULL AND started_at IS NOT NULL
     AND start_lat BETWEEN 41.60 AND 42.10 AND start_lng BETWEEN -87.95 AND -87.50
-  QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at, copy_no) = 1
+  QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at, start_lat, start_lng) = 1
 )
 SELECT CAST(floor(start_lat / CAST(0.01 AS DOUBLE)) AS BIGINT) AS zone_lat,
   CAST(floor(start_lng / CAST(0.01 AS DOUBLE)) AS BIGINT) AS zone_lng,
