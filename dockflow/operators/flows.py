@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions import percent, time_of_day
+from dockflow.operators.sequence import with_rank
 
 DEFAULT_MIN_ACTIVITY = 5000
 
@@ -78,10 +79,14 @@ def top_stations(trips: DataFrame, k: int = 25) -> DataFrame:
     return top_stations_from_flow(station_flow(trips), k)
 
 
+def net_outflow(flow: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
+    """Net outflow per station with at least ``min_activity`` events, in no order (for further work)."""
+    return _with_net(flow.filter(F.col("departures") + F.col("arrivals") >= min_activity))
+
+
 def imbalance_from_flow(flow: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
     """Net outflow per station with at least ``min_activity`` events, largest first."""
-    kept = flow.filter(F.col("departures") + F.col("arrivals") >= min_activity)
-    return _with_net(kept).orderBy(F.desc("net_outflow"), "station")
+    return net_outflow(flow, min_activity).orderBy(F.desc("net_outflow"), "station")
 
 
 def station_imbalance(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
@@ -162,16 +167,16 @@ def pairs_from_imbalance(imbalance: DataFrame) -> DataFrame:
 
     Output: ``pair_rank, from_station, from_surplus, to_station, to_deficit,
     bikes_to_move``: move bikes out of ``from_station`` (fills up) into
-    ``to_station`` (drains). One pass over the per-station table (bounded by
-    the number of stations): stations are ranked within their side by
-    ``|net_outflow|`` then name, and each rank's sink and source are brought
-    together by an aggregation on the rank, not a join.
+    ``to_station`` (drains). Stations are ranked within their side by
+    ``|net_outflow|`` then name, by range partitions and their sizes, so no task
+    sorts a whole side; each rank's sink and source are brought together by an
+    aggregation on the rank, not a join. The ranked stations are written to the
+    checkpoint folder when this is called. ``imbalance`` may be in any order.
     """
     net = F.col("net_outflow")
     side = F.when(net < 0, F.lit("sink")).when(net > 0, F.lit("source"))
-    ranked = imbalance.select("station", net, side.alias("_side")).filter(F.col("_side").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("_side").orderBy(F.desc(F.abs(net)), "station"))
-    ranked = ranked.select("*", rank.alias("pair_rank"))
+    sides = imbalance.select("station", net, side.alias("_side")).filter(F.col("_side").isNotNull())
+    ranked = with_rank(sides, "_side", [F.desc(F.abs(net)), F.col("station")], "pair_rank")
     sink, source = F.col("_side") == "sink", F.col("_side") == "source"
     pairs = ranked.groupBy("pair_rank").agg(
         F.max(F.when(sink, F.col("station"))).alias("from_station"),
@@ -188,4 +193,4 @@ def pairs_from_imbalance(imbalance: DataFrame) -> DataFrame:
 
 def rebalancing_pairs(trips: DataFrame, min_activity: int = DEFAULT_MIN_ACTIVITY) -> DataFrame:
     """Sink -> source pairs by rank of imbalance (see :func:`pairs_from_imbalance`)."""
-    return pairs_from_imbalance(station_imbalance(trips, min_activity))
+    return pairs_from_imbalance(net_outflow(station_flow(trips), min_activity))

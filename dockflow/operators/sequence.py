@@ -18,9 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockflow.session import scratch_path
+
 
 def with_next(
     df: DataFrame,
@@ -71,3 +73,23 @@ def with_next(
         for j, c in enumerate(carry)
     ]
     return joined.select(*df.columns, *fixed)
+
+
+def with_rank(df: DataFrame, side: str, order: Sequence[Column], name: str) -> DataFrame:
+    """``row_number()`` of each row within ``side`` by ``order``, without a task per side.
+
+    Rows are range-partitioned by (side, order) and written to the checkpoint
+    folder with their place in the partition; what lies before a partition is the
+    sum of the sizes before it, one small row for each partition and side. Rows
+    that ``order`` can't tell apart are ranked arbitrarily among themselves.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranked")
+    placed = df.repartitionByRange(F.col(side), *order).sortWithinPartitions(F.col(side), *order)
+    placed.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    first = rows.groupBy(side, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(side).orderBy("_part")) - F.col("_n")
+    offsets = first.select(side, "_part", "_first", before.alias("_before"))
+    rank = (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("int")
+    return rows.join(F.broadcast(offsets), [side, "_part"]).select(*df.columns, rank.alias(name))

@@ -225,6 +225,8 @@ FROM trips GROUP BY rideable_type, member_casual
 ORDER BY trips DESC, rideable_type, member_casual
 """,
     "member_vs_casual": "SELECT * FROM segments ORDER BY trips DESC, member_casual",
+    # quantile_disc is the definition that percentile_approx meets exactly at this accuracy.
+    "member_vs_casual_approx": "SELECT * FROM segments ORDER BY trips DESC, member_casual",
     "trip_patterns_by_dow": f"""
 SELECT day_of_week, is_weekend, COUNT(*) AS trips,
   {_AVG_MIN} AS avg_duration_min,
@@ -243,7 +245,7 @@ SELECT * FROM routes ORDER BY trips DESC, route, start_station_name, end_station
 """,
     "top_stations": _TOP_STATIONS.format(k=25),
     "station_imbalance": _IMBALANCE,
-    "seasonal_demand": "SELECT * FROM seasonal",
+    "seasonal_demand": "SELECT * FROM seasonal ORDER BY (SELECT MIN(month(started_at)) FROM trips t WHERE t.season = seasonal.season), season",
     "monthly_trips": "SELECT trip_month, COUNT(*) AS trips FROM trips GROUP BY trip_month ORDER BY trip_month",
     "top_draining_stations": _DRAINING,
     "station_imbalance_by_join": _IMBALANCE,
@@ -256,7 +258,7 @@ FROM monthly ORDER BY trip_month
     "season_bars": """
 SELECT season, trips, casual_pct,
   CAST(CAST(ROUND(casual_pct, 0) AS INTEGER) AS VARCHAR) || '% casual' AS bar_label
-FROM seasonal
+FROM seasonal ORDER BY (SELECT MIN(month(started_at)) FROM trips t WHERE t.season = seasonal.season), season
 """,
     "segment_comparison": """
 SELECT metric,
@@ -349,7 +351,7 @@ ORDER BY trips DESC, route LIMIT 25
     "summer_weekend_casual": f"""
 SELECT start_station_name AS station, COUNT(*) AS trips, {_AVG_MIN} AS avg_duration_min
 FROM trips WHERE season = 'Summer' AND is_weekend AND member_casual = 'casual'
-GROUP BY start_station_name ORDER BY trips DESC, station LIMIT 25
+GROUP BY start_station_name ORDER BY trips DESC, station
 """,
     "clean_trips": """
 SELECT ride_id, rideable_type, started_at, ended_at, start_station_name, start_station_id,

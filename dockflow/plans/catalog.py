@@ -20,6 +20,7 @@ TRIP_QUERIES: dict[str, Callable[..., DataFrame]] = {
     "monthly_volume": analyses.monthly_volume,
     "usage_by_bike_type": analyses.usage_by_bike_type,
     "member_vs_casual": analyses.member_vs_casual,
+    "member_vs_casual_approx": partial(analyses.member_vs_casual, median_accuracy=1_000_000),
     "trip_patterns_by_dow": analyses.trip_patterns_by_dow,
     "hourly_demand": analyses.hourly_demand,
     "time_of_day_demand": analyses.time_of_day_demand,

@@ -6,7 +6,7 @@ from one analysis, so it can be collected or exported safely.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import schema
@@ -80,22 +80,19 @@ def top_stations_chart(trips: DataFrame, k: int = 15) -> DataFrame:
 
 
 def imbalance_extremes_from(imbalance: DataFrame, k: int = 10) -> DataFrame:
-    """``k`` strongest sources plus ``k`` strongest sinks of an imbalance table.
+    """``k`` strongest sources plus ``k`` strongest sinks of an imbalance table (any order).
 
-    One pass: both ranks are computed over the per-station table (bounded by
-    the number of stations) and each station is emitted once per end it
-    belongs to, so a station can appear at both ends when fewer than ``2k``
-    stations qualify. ``direction`` is ``source`` when net outflow > 0.
+    Two ordered takes over the same per-station exchange, so no task sorts all
+    stations. A station can appear at both ends when fewer than ``2k`` stations
+    qualify. ``direction`` is ``source`` when net outflow > 0.
     """
-    top = F.row_number().over(Window.orderBy(F.desc("net_outflow"), "station"))
-    bottom = F.row_number().over(Window.orderBy("net_outflow", F.desc("station")))
-    ranked = imbalance.select("station", "net_outflow", top.alias("_top"), bottom.alias("_bottom"))
-    sides = F.array(F.when(F.col("_top") <= k, F.lit("top")), F.when(F.col("_bottom") <= k, F.lit("bottom")))
-    both = ranked.select("station", "net_outflow", F.explode(sides).alias("side")).filter(F.col("side").isNotNull())
+    net = imbalance.select("station", "net_outflow")
+    top = net.orderBy(F.desc("net_outflow"), "station").limit(k).withColumn("side", F.lit("top"))
+    bottom = net.orderBy("net_outflow", F.desc("station")).limit(k).withColumn("side", F.lit("bottom"))
     direction = F.when(F.col("net_outflow") > 0, "source").otherwise("sink")
-    return both.select("station", "net_outflow", "side", direction.alias("direction")).orderBy("net_outflow", "station", "side")
+    return top.unionByName(bottom).withColumn("direction", direction).orderBy("net_outflow", "station", "side")
 
 
 def imbalance_extremes(trips: DataFrame, k: int = 10, min_activity: int = flows.DEFAULT_MIN_ACTIVITY) -> DataFrame:
     """``k`` strongest sources plus ``k`` strongest sinks of the imbalance table."""
-    return imbalance_extremes_from(flows.station_imbalance(trips, min_activity), k)
+    return imbalance_extremes_from(flows.net_outflow(flows.station_flow(trips), min_activity), k)

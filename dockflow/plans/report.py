@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow import schema
@@ -47,13 +47,19 @@ def demand_ratios(trips: DataFrame) -> DataFrame:
 
 
 def concentration_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:
-    """Share of all trip endpoints held by the ``k`` busiest stations of a flow."""
+    """Share of all trip endpoints held by the ``k`` busiest stations of a flow.
+
+    An ordered take for the busiest and a plain sum for all, brought together by
+    one aggregation of their partial sums.
+    """
     act = flow.select("station", (F.col("departures") + F.col("arrivals")).alias("activity"))
-    ranked = act.withColumn("_rank", F.row_number().over(Window.orderBy(F.desc("activity"), "station")))
-    agg = ranked.agg(
-        F.sum(F.when(F.col("_rank") <= k, F.col("activity")).otherwise(0)).alias("top_activity"),
+    none = F.lit(0).cast("long")
+    busiest = act.orderBy(F.desc("activity"), "station").limit(k).select(F.col("activity").alias("top"), none.alias("activity"), none.alias("n"))
+    everyone = act.select(none.alias("top"), "activity", F.lit(1).cast("long").alias("n"))
+    agg = busiest.unionByName(everyone).agg(
+        F.sum("top").alias("top_activity"),
         F.sum("activity").alias("total_activity"),
-        F.count(F.lit(1)).alias("stations"),
+        F.coalesce(F.sum("n"), none).alias("stations"),
     )
     return agg.select(
         F.lit(k).alias("top_k"),
@@ -69,27 +75,34 @@ def station_concentration(trips: DataFrame, k: int = 15) -> DataFrame:
     return concentration_from_flow(flows.station_flow(trips), k)
 
 
-def commuter_from_routes(routes: DataFrame, min_member_pct: float = 90.0, k: int = 25) -> DataFrame:
-    """Busiest routes of a route-statistics table whose member share exceeds ``min_member_pct``."""
-    return routes.filter(F.col("member_pct") > F.lit(float(min_member_pct))).orderBy(F.desc("trips"), "route").limit(k)
+def _first(df: DataFrame, k: int | None) -> DataFrame:
+    return df if k is None else df.limit(k)
 
 
-def commuter_routes(trips: DataFrame, min_member_pct: float = 90.0, k: int = 25) -> DataFrame:
-    """Busiest routes whose member share exceeds ``min_member_pct``."""
+def commuter_from_routes(routes: DataFrame, min_member_pct: float = 90.0, k: int | None = 25) -> DataFrame:
+    """Routes of a route-statistics table whose member share exceeds ``min_member_pct``, busiest first.
+
+    ``k`` keeps the busiest of those that qualify; ``None`` keeps all.
+    """
+    kept = routes.filter(F.col("member_pct") > F.lit(float(min_member_pct)))
+    return _first(kept.orderBy(F.desc("trips"), "route", "start_station_name", "end_station_name"), k)
+
+
+def commuter_routes(trips: DataFrame, min_member_pct: float = 90.0, k: int | None = 25) -> DataFrame:
+    """Routes whose member share exceeds ``min_member_pct`` (see :func:`commuter_from_routes`)."""
     return commuter_from_routes(analyses.route_stats(trips), min_member_pct, k)
 
 
-def summer_weekend_casual(trips: DataFrame, k: int = 25) -> DataFrame:
-    """Start stations with most casual summer-weekend trips."""
+def summer_weekend_casual(trips: DataFrame, k: int | None = None) -> DataFrame:
+    """Casual summer-weekend trips by start station, most first; ``k`` keeps the first only."""
     sel = trips.filter(
         (F.col("season") == "Summer") & F.col("is_weekend") & (F.col("member_casual") == schema.CASUAL)
     )
-    return (
-        sel.groupBy(F.col("start_station_name").alias("station"))
-        .agg(F.count(F.lit(1)).alias("trips"), mean_minutes(F.sum(whole_seconds(F.col("trip_duration_min"))), F.count("trip_duration_min")).alias("avg_duration_min"))
-        .orderBy(F.desc("trips"), "station")
-        .limit(k)
+    per_station = sel.groupBy(F.col("start_station_name").alias("station")).agg(
+        F.count(F.lit(1)).alias("trips"),
+        mean_minutes(F.sum(whole_seconds(F.col("trip_duration_min"))), F.count("trip_duration_min")).alias("avg_duration_min"),
     )
+    return _first(per_station.orderBy(F.desc("trips"), "station"), k)
 
 
 def virtual_zones(raw: DataFrame, step_deg: float = 0.01, box: BBox = SERVICE_AREA, tz: str | None = None) -> DataFrame:

@@ -20,8 +20,9 @@ partially aggregated before one shuffle) produces five summaries at once:
 Every summary is bounded by category domains and the number of stations (or
 station pairs), never by the number of trips.
 
-The combined summary is checkpointed once into ``spark.checkpoint.dir``
-(lineage cut, survives executor loss); the report queries read only it.
+The combined summary is written once as Parquet partitioned by its grouping set
+under ``spark.checkpoint.dir`` (lineage cut, survives executor loss); each report
+query reads the parts it needs only.
 
 Sums are whole seconds and metres, so means and shares equal the direct
 queries' exactly (see ``functions.exact``).
@@ -48,7 +49,7 @@ from dockflow.functions import (
 )
 from dockflow.operators import analyses, flows
 from dockflow.plans import feeds, report
-from dockflow.session import ensure_checkpoint_dir
+from dockflow.session import scratch_path
 
 CUBE_KEYS = ["trip_month", "rideable_type", "member_casual", "day_of_week", "is_weekend", "hour", "time_of_day", "season"]
 ROUTE_KEYS = ["start_station_name", "end_station_name"]
@@ -245,16 +246,13 @@ def intraday_counts(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
     return dep.unionByName(arr)
 
 
-def summer_weekend_casual(departures: DataFrame, k: int = 25) -> DataFrame:
+def summer_weekend_casual(departures: DataFrame, k: int | None = None) -> DataFrame:
     sel = departures.filter(
         (F.col("season") == "Summer") & F.col("is_weekend") & (F.col("member_casual") == schema.CASUAL)
     )
-    return (
-        sel.groupBy(F.col("start_station_name").alias("station"))
-        .agg(_n().alias("trips"), _mean_duration())
-        .orderBy(F.desc("trips"), "station")
-        .limit(k)
-    )
+    per_station = sel.groupBy(F.col("start_station_name").alias("station")).agg(_n().alias("trips"), _mean_duration())
+    ordered = per_station.orderBy(F.desc("trips"), "station")
+    return ordered if k is None else ordered.limit(k)
 
 
 # Queries the report produces; the literal join forms are left to the catalog.
@@ -280,8 +278,8 @@ def run_report(
 
     ``params`` holds per-query keyword parameters, as for
     ``plans.catalog.run_catalog``; ``min_activity`` sets the station threshold
-    of every station query at once. The summary is checkpointed eagerly (one
-    job: one scan, one shuffle); the returned results are lazy queries over it.
+    of every station query at once. The summary is written eagerly (one job: one
+    scan, one shuffle); the returned results are lazy queries over it.
     """
     selected = list(names) if names is not None else list(CORE_QUERIES)
     unknown = [n for n in selected if n not in REPORT_QUERIES]
@@ -294,8 +292,9 @@ def run_report(
             return min_activity
         return params.get(name, {}).get(key, default)
 
-    ensure_checkpoint_dir(trips.sparkSession)
-    summary = report_summary(trips).checkpoint(eager=True)
+    spark, path = trips.sparkSession, scratch_path(trips.sparkSession, "report-summary")
+    report_summary(trips).write.partitionBy("gid").parquet(path)
+    summary = spark.read.parquet(path)
     cube, routes, durations = split_summary(summary)
     departures, arrivals = summary_part(summary, DEPARTURE_KEYS), summary_part(summary, ARRIVAL_KEYS)
     flow = station_flow(routes)
@@ -303,7 +302,7 @@ def run_report(
     dflt = flows.DEFAULT_MIN_ACTIVITY
 
     def imbalance(name: str) -> DataFrame:
-        return flows.imbalance_from_flow(flow, p(name, "min_activity", dflt))
+        return flows.net_outflow(flow, p(name, "min_activity", dflt))
 
     builders = {
         "monthly_volume": lambda: monthly_volume(cube),
@@ -315,7 +314,7 @@ def run_report(
         "top_routes": lambda: route_table.orderBy(F.desc("trips"), "route", "start_station_name", "end_station_name")
         .limit(p("top_routes", "k", 25)),
         "top_stations": lambda: flows.top_stations_from_flow(flow, p("top_stations", "k", 25)),
-        "station_imbalance": lambda: imbalance("station_imbalance"),
+        "station_imbalance": lambda: flows.imbalance_from_flow(flow, p("station_imbalance", "min_activity", dflt)),
         "seasonal_demand": lambda: seasonal_demand(cube),
         "monthly_trips": lambda: monthly_trips(cube),
         "top_draining_stations": lambda: flows.draining_from_flow(
@@ -338,6 +337,6 @@ def run_report(
         "commuter_routes": lambda: report.commuter_from_routes(
             route_table, p("commuter_routes", "min_member_pct", 90.0), p("commuter_routes", "k", 25)
         ),
-        "summer_weekend_casual": lambda: summer_weekend_casual(departures, p("summer_weekend_casual", "k", 25)),
+        "summer_weekend_casual": lambda: summer_weekend_casual(departures, p("summer_weekend_casual", "k", None)),
     }
     return {name: builders[name]() for name in selected}
