@@ -10,7 +10,7 @@
 * ``land``    incremental landing: new ZIP archives -> raw zone (``--landing``),
   then new raw files -> cleaned rides appended to the curated zone; both are
   catch-up streams with checkpoints under ``--checkpoint``, so a re-run only
-  processes what arrived since.
+  processes what arrived since; the curated zone then equals cleaning all files.
 
 Cluster settings come from ``spark-submit``; ``--local`` builds a local
 session for a laptop run.
@@ -35,7 +35,7 @@ from dockflow.session import local_session  # noqa: E402
 from dockflow.sources.archives import read_archived_trips  # noqa: E402
 from dockflow.sources.curated import read_trips, write_trips  # noqa: E402
 from dockflow.sources.raw_csv import month_paths, read_raw_trips  # noqa: E402
-from dockflow.sources.results import export_all, export_result, preview  # noqa: E402
+from dockflow.sources.results import export_all, export_result, preview, read_result  # noqa: E402
 from dockflow.streaming.landing import land_archives, land_trips, run_to_completion  # noqa: E402
 
 
@@ -53,8 +53,9 @@ def clean_job(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         raw = read_raw_trips(spark, args.raw, check_header=args.check_header)
     funnel = quality_funnel(raw, tz=args.tz, blank_names_as_missing=args.blank_names_as_missing)
-    export_result(funnel, f"{args.out.rstrip('/')}/quality_funnel")
-    preview(funnel)
+    out = f"{args.out.rstrip('/')}/quality_funnel"
+    export_result(funnel, out)
+    preview(read_result(spark, out, funnel.schema))
     write_trips(clean_trips(raw, tz=args.tz, blank_names_as_missing=args.blank_names_as_missing), args.curated)
 
 
@@ -63,10 +64,9 @@ def analyze_job(spark: SparkSession, args: argparse.Namespace) -> None:
     results = run_report(trips, REPORT_QUERIES if args.all else None, min_activity=args.min_activity)
     if args.sql_dir:
         results.update(run_sql_files(spark, trips, args.sql_dir))
-    for name, df in results.items():
+    for name, path in zip(results, export_all(results, args.out), strict=True):  # each result is computed once
         print(f"[{name}]")
-        preview(df)
-    export_all(results, args.out)
+        preview(read_result(spark, path, results[name].schema))
 
 
 def lake_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,7 +87,6 @@ def land_job(spark: SparkSession, args: argparse.Namespace) -> None:
             f"{ckpt}/trips",
             tz=args.tz,
             max_files_per_trigger=args.max_files_per_trigger,
-            dedupe_all_months=args.dedupe_all_months,
         )
     )
 
@@ -109,7 +108,6 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--landing", default=None, help="land: folder of new ZIP archives")
     p.add_argument("--checkpoint", default=None, help="land: checkpoint folder of the landing streams")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
-    p.add_argument("--dedupe-all-months", action="store_true")
     p.add_argument("--local", action="store_true")
     args = p.parse_args(argv)
     if args.job in ("clean", "land") and not args.raw:

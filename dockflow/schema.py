@@ -10,6 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+# ---------------------------------------------------------------------------
+# Fixed values. These must stay equal to the source pipeline's definitions for
+# results to match: column names and types, timestamp text format, required fields, the duration
+# window in minutes (both ends exclusive), the service-area bounding box
+# (inclusive), the earth radius used for distances, season months and the
+# daypart hour ranges with their labels.
+# ---------------------------------------------------------------------------
 RAW_SCHEMA = StructType(
     [
         StructField("ride_id", StringType()),
@@ -49,13 +56,6 @@ CURATED_COLUMNS = RAW_COLUMNS + DERIVED_COLUMNS
 
 PARTITION_COLUMN = "trip_month"
 
-# ---------------------------------------------------------------------------
-# Fixed values. These must stay equal to the source pipeline's definitions for
-# results to match: timestamp text format, required fields, the duration
-# window in minutes (both ends exclusive), the service-area bounding box
-# (inclusive), the earth radius used for distances, season months and the
-# daypart hour ranges with their labels.
-# ---------------------------------------------------------------------------
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TS_TEXT_LENGTH = 19
 

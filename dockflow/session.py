@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -66,15 +66,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
 
 
-def scale_conf(input_bytes: int, total_cores: int, *, scan_split_bytes: int = 256 << 20,
-               shuffle_target_bytes: int = 256 << 20) -> dict[str, str]:
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the checkpoint folder and read back: it outlives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scale_conf(input_bytes: int, total_cores: int, *, scan_split_bytes: int = 2 << 30,
+               shuffle_target_bytes: int = 2 << 30) -> dict[str, str]:
     """Partition settings for a cluster run, from input size and core count.
 
     Scan splits of ``scan_split_bytes``; the initial shuffle partition count
     sized so the largest shuffle (de-duplication carries about the whole
     projected input) gets ``shuffle_target_bytes`` per partition and at least
     two waves of tasks, leaving AQE to coalesce small stages and split skewed
-    ones. Pass the result to ``SparkSession.builder.config(map=...)`` or
+    ones. A shuffle of M map and R reduce tasks moves M x R blocks, so both
+    sizes grow with the input: at 100 TB the defaults give 51,200 x 51,200 = 2.6
+    billion blocks of about 40 KB; splits of 256 MB would give 168 billion of
+    600 bytes, which no shuffle service survives. A task sorts 2 GB by spilling.
+    Pass the result to ``SparkSession.builder.config(map=...)`` or
     ``spark.conf.set``.
     """
     shuffle_parts = max(2 * total_cores, -(-input_bytes // shuffle_target_bytes))

@@ -2,11 +2,11 @@
 
 Each archive is one row of the ``binaryFile`` source, so archives are spread
 over tasks (one archive is expanded by exactly one task, never the driver).
-The per-archive Python step only opens the ZIP and streams the lines of its
-CSV member in bounded chunks; the CSV parsing itself is Spark's ``from_csv``
-with the declared raw schema. Member choice: the first entry whose name ends
-in ``.csv`` (any case) outside ``__MACOSX``; an archive without one fails the
-job with its path in the message. Quoted fields spanning lines are not
+The per-archive Python step only inflates its CSV member in blocks of a fixed
+size; lines are split and parsed (``from_csv`` with the declared raw schema) in
+the JVM. Member choice: the first file ending in ``.csv`` (any case) that is no
+macOS by-product; an archive without one fails the job with its path in the
+message. Quoted fields spanning lines are not
 supported (trip files have none).
 
 Memory: ``binaryFile`` packs whole files into read partitions of about
@@ -18,73 +18,78 @@ archive data (or one archive, if larger); a single archive must stay under
 from __future__ import annotations
 
 import io
-import posixpath
 import zipfile
 from collections.abc import Iterator
 from functools import partial
+from pathlib import PurePosixPath
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow import schema
 
-LINES_SCHEMA = "archive string, member string, line_no long, line string"
-CHUNK_LINES = 50_000
+BLOCK_SCHEMA = "archive string, member string, first_line long, text string"
+BLOCK_BYTES = 4 << 20
 
 
-def pick_csv_member(names: list[str]) -> str | None:
-    """First ``*.csv`` entry that is not macOS metadata."""
-    for n in names:
-        if n.lower().endswith(".csv") and "__MACOSX" not in n:
-            return n
-    return None
+def is_trip_file(entry: zipfile.ZipInfo) -> bool:
+    """A CSV file that is no macOS by-product: those lie in a ``__MACOSX`` folder or are ``._`` files."""
+    path = PurePosixPath(entry.filename)
+    return not entry.is_dir() and path.suffix.lower() == ".csv" and "__MACOSX" not in path.parent.parts and not path.name.startswith("._")
 
 
-def _archive_lines(batches: Iterator[pd.DataFrame], expected_header: str | None = None) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
+def pick_csv_member(entries: list[zipfile.ZipInfo]) -> zipfile.ZipInfo | None:
+    """The first trip file of an archive."""
+    return next(filter(is_trip_file, entries), None)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], expected_header: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Inflated text in blocks of about ``BLOCK_BYTES``, cut after a line end."""
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                member = pick_csv_member(zf.namelist())
+                member = pick_csv_member(zf.infolist())
                 if member is None:
                     raise ValueError(f"no CSV member inside {path}")
-                flat = posixpath.basename(member)
+                name, line, rest = PurePosixPath(member.filename).name, 0, b""
                 with zf.open(member) as fh:
-                    text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline="")
-                    buf: list[str] = []
-                    start = 0
-                    for i, line in enumerate(text):
-                        line = line.rstrip("\r\n")
-                        if i == 0 and expected_header is not None and line.lstrip("\ufeff") != expected_header:
-                            raise ValueError(f"unexpected CSV header in {path}: {line[:200]!r}")
-                        buf.append(line)
-                        if len(buf) >= CHUNK_LINES:
-                            yield _chunk(path, flat, start, buf)
-                            start, buf = i + 1, []
-                    if buf:
-                        yield _chunk(path, flat, start, buf)
-
-
-def _chunk(path: str, member: str, start: int, lines: list[str]) -> pd.DataFrame:
-    n = len(lines)
-    return pd.DataFrame(
-        {
-            "archive": [path] * n,
-            "member": [member] * n,
-            "line_no": range(start, start + n),
-            "line": lines,
-        }
-    )
+                    while data := fh.read(BLOCK_BYTES):
+                        data = rest + data
+                        cut = data.rfind(b"\n") + 1
+                        block, rest = data[:cut], data[cut:]
+                        if block:
+                            _check_header(block, line, path, expected_header)
+                            yield _block(path, name, line, block)
+                            line += block.count(b"\n")
+                if rest:
+                    _check_header(rest, line, path, expected_header)
+                    yield _block(path, name, line, rest)
+
+
+def _check_header(block: bytes, line: int, path: str, expected: str | None) -> None:
+    if line == 0 and expected is not None:
+        first = block.split(b"\n", 1)[0].rstrip(b"\r").decode(errors="replace")
+        if first.lstrip("\ufeff") != expected:
+            raise ValueError(f"unexpected CSV header in {path}: {first[:200]!r}")
+
+
+def _block(path: str, member: str, line: int, block: bytes) -> pa.RecordBatch:
+    text = block.removesuffix(b"\n").decode(errors="replace")
+    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([member]), pa.array([line]), pa.array([text])], ["archive", "member", "first_line", "text"])
 
 
 def archive_lines(files: DataFrame, check_header: bool = False) -> DataFrame:
-    """``binaryFile`` rows (``path``, ``content``) -> one row per CSV line.
+    """``binaryFile`` rows (``path``, ``content``) -> one row per CSV line: ``archive, member, line_no, line``.
 
-    With ``check_header`` a member whose first line is not the raw schema's
-    column list fails the job.
+    Python inflates the archive and hands on text blocks; lines are split in
+    the JVM. With ``check_header`` a member whose first line is not the raw
+    schema's column list fails the job.
     """
     expected = ",".join(schema.RAW_COLUMNS) if check_header else None
-    return files.select("path", "content").mapInPandas(partial(_archive_lines, expected_header=expected), LINES_SCHEMA)
+    blocks = files.select("path", "content").mapInArrow(partial(_blocks, expected_header=expected), BLOCK_SCHEMA)
+    lines = blocks.select("archive", "member", "first_line", F.posexplode(F.split("text", "\r?\n", -1)).alias("_at", "line"))
+    return lines.select("archive", "member", (F.col("first_line") + F.col("_at")).alias("line_no"), F.rtrim(F.col("line"), F.lit("\r")).alias("line"))
 
 
 def parse_trip_lines(lines: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def write_trips(
     path: str,
     *,
     mode: str = "overwrite",
-    dynamic_overwrite: bool = True,
+    dynamic_overwrite: bool = False,
     max_records_per_file: int | None = 5_000_000,
 ) -> None:
     """Write curated trips partitioned by month.
@@ -29,13 +29,12 @@ def write_trips(
     clustered by month; a month far larger than the rest is split across
     several tasks instead of funnelling into one (as ``repartition(month)``
     would). Sorting by ``started_at`` inside each file makes row-group
-    statistics selective for time filters. With ``dynamic_overwrite`` an
-    overwrite replaces only the months present in ``trips``.
+    statistics selective for time filters. An overwrite replaces the whole
+    dataset; with ``dynamic_overwrite`` only the months present in ``trips``.
     """
     out = trips.hint("rebalance", schema.PARTITION_COLUMN).sortWithinPartitions(schema.PARTITION_COLUMN, "started_at")
     writer = out.write.mode(mode).partitionBy(schema.PARTITION_COLUMN)
-    if dynamic_overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.parquet(path)
@@ -57,7 +56,7 @@ def register_trips(spark: SparkSession, trips: DataFrame, name: str = "trips") -
 
 
 def publish_trips(trips: DataFrame, uri: str) -> None:
-    """Publish the curated zone to another store (same layout)."""
+    """Publish the curated zone to another store (same layout), replacing what is there."""
     write_trips(trips, uri, mode="overwrite")
 
 

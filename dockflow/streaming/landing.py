@@ -5,39 +5,59 @@ Two file-source streams, each with its own checkpoint, run as catch-up jobs
 once, a re-run processes only files that arrived since, and an interrupted
 run resumes from its checkpoint.
 
-* :func:`land_archives`: ZIP archives in a landing folder -> raw-zone CSV
-  (file sink, exactly once per archive).
-* :func:`land_trips`: raw-zone CSV -> cleaned trips appended to the curated
-  zone. A month re-delivered in a new file does not duplicate rides: each
-  micro-batch is anti-joined on ``(trip_month, ride_id)`` against the curated
-  months it touches (partition-pruned), so rides already landed are skipped.
-  The same holds when a batch is retried after a failure.
+* :func:`land_archives`: ZIP archives in a landing folder -> raw-zone CSV, one
+  subfolder per batch, so that files dropped beside them stay visible.
+* :func:`land_trips`: raw-zone CSV -> cleaned trips in the curated zone. The
+  result equals ``clean_trips`` over all files so far, in whatever order they
+  arrived: a ride delivered again, in any month, keeps the row that batch
+  cleaning would keep, and only months that lose a row are rewritten.
+
+Rides whose winning row fails a later rule are no trips, but they still win over
+other copies. Those rows are kept in a table beside the curated zone
+(``<curated>-rejected``).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from dockflow import schema
-from dockflow.operators.clean import clean_trips
-from dockflow.session import scratch_path
+from dockflow.operators.clean import candidate_rides, derive_columns, passes, ride_winners
+from dockflow.operators.quality import default_rules
+from dockflow.session import settled
 from dockflow.sources.archives import archive_lines, parse_trip_lines
 from dockflow.sources.curated import write_trips
+from dockflow.sources.raw_csv import write_raw_trips
 
 
 # Fixed schema of Spark's binaryFile source (streams need it declared).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _landed(spark: SparkSession, curated_dir: str) -> DataFrame | None:
-    """The curated table if it exists yet (works on any Hadoop-compatible path)."""
+#: The curated columns' types, so that a zone without a file yet can be read.
+CURATED_SCHEMA = (
+    "ride_id string, rideable_type string, started_at timestamp_ntz, ended_at timestamp_ntz, start_station_name string, "
+    "start_station_id string, end_station_name string, end_station_id string, start_lat double, start_lng double, end_lat double, "
+    "end_lng double, member_casual string, trip_duration_min double, trip_date date, trip_year int, hour int, day_of_week string, "
+    "is_weekend boolean, season string, time_of_day string, trip_distance_km double, route string, is_round_trip boolean, trip_month string"
+)
+ROW_COLUMNS = [*schema.RAW_COLUMNS, "trip_duration_min"]
+
+
+def _landed(spark: SparkSession, path: str, kind: StructType | str) -> DataFrame | None:
+    """The table at ``path`` if it is there yet (works on any Hadoop-compatible path)."""
     try:
-        return spark.read.parquet(curated_dir)
-    except AnalysisException:
+        return spark.read.schema(kind).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -55,44 +75,71 @@ def land_archives(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(archive_dir)
-    rows = parse_trip_lines(archive_lines(files, check_header=check_header)).select(*schema.RAW_COLUMNS)
-    return (
-        rows.writeStream.format("csv")
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(raw_dir)
-    )
 
-
-def _append_new_trips(curated_dir: str, tz: str | None, dedupe_all_months: bool):
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # The cleaned batch is read twice (month list, write); keep it instead
-        # of re-reading the batch files. Lost blocks are recomputed from them.
-        trips = clean_trips(batch, tz=tz).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            landed = _landed(batch.sparkSession, curated_dir)
-            out = trips
-            if landed is not None and dedupe_all_months:
-                # Exact across months: reads only the ride_id column of the table.
-                out = trips.join(landed.select("ride_id"), "ride_id", "left_anti")
-            elif landed is not None:
-                # Months in this batch: a handful of values, used to prune the
-                # existing table to the touched partitions only.
-                months = [r[0] for r in trips.select(schema.PARTITION_COLUMN).distinct().collect()]
-                if not months:
-                    return
-                landed = landed.filter(F.col(schema.PARTITION_COLUMN).isin(months)).select(
-                    schema.PARTITION_COLUMN, "ride_id"
-                )
-                out = trips.join(landed, [schema.PARTITION_COLUMN, "ride_id"], "left_anti")
-            write_trips(out, curated_dir, mode="append", dynamic_overwrite=False)
-        finally:
-            trips.unpersist()
-
-    return write_batch
+        rows = parse_trip_lines(archive_lines(batch, check_header=check_header)).select(*schema.RAW_COLUMNS)
+        # A retried batch writes the same folder again.
+        write_raw_trips(rows, f"{raw_dir.rstrip('/')}/archives/batch-{batch_id:06d}")
+
+    return files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merge_trips(new_raw: DataFrame, curated_dir: str, *, tz: str | None = None) -> None:
+    """Bring the curated zone to what cleaning all files together would give, adding ``new_raw``.
+
+    The rows known so far for the rides of the batch (one column of the curated
+    zone is read to find them) and the batch's own compete by the order of
+    ``ride_winners``. New winners that pass the rules are appended; months that
+    hold a row which lost are rewritten without it. Running it again with the
+    same rows changes nothing, so a retried batch is harmless.
+    """
+    spark = new_raw.sparkSession
+    own = settled(ride_winners(candidate_rides(new_raw, tz=tz)).select(*ROW_COLUMNS), "landing-candidates")
+    rides = own.select("ride_id")
+    curated = _landed(spark, curated_dir, CURATED_SCHEMA)
+    refused = _landed(spark, _rejected(curated_dir), own.schema)
+    known = own.limit(0).withColumn("_month", F.lit(None).cast("string"))
+    if curated is not None:
+        known = known.unionByName(curated.select(*ROW_COLUMNS, F.col(schema.PARTITION_COLUMN).alias("_month")).join(rides, "ride_id", "left_semi"))
+    if refused is not None:
+        known = known.unionByName(refused.join(rides, "ride_id", "left_semi").withColumn("_month", F.lit(None).cast("string")))
+    known = settled(known, "landing-known")
+    winners = settled(ride_winners(known.drop("_month").unionByName(own)), "landing-winners")
+
+    ok = passes(default_rules())
+    trips, others = known.where("_month is not null"), known.where("_month is null")
+    beaten = settled(_without(trips, winners.where(ok)).select("ride_id", "_month"), "landing-beaten")
+    stays = trips.select("ride_id").join(beaten.select("ride_id"), "ride_id", "left_anti")
+    added = derive_columns(winners.where(ok).join(stays, "ride_id", "left_anti")).select(*schema.CURATED_COLUMNS)
+    added = settled(added, "landing-added")
+    months = [r[0] for r in beaten.select("_month").distinct().collect()]  # a handful
+    if months:
+        kept = curated.where(F.col(schema.PARTITION_COLUMN).isin(months)).join(beaten.select("ride_id"), "ride_id", "left_anti")
+        rewritten = settled(kept.select(*schema.CURATED_COLUMNS).unionByName(added.where(F.col(schema.PARTITION_COLUMN).isin(months))), "landing-months")
+        _replace_months(spark, rewritten, curated_dir, months)
+        added = added.where(~F.col(schema.PARTITION_COLUMN).isin(months))
+    if not added.isEmpty():
+        write_trips(added, curated_dir, mode="append")
+    _without(winners.where(~ok), others).write.mode("append").parquet(_rejected(curated_dir))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` that ``gone`` doesn't hold, nulls being equal."""
+    return rows.join(gone, reduce(and_, [rows[c].eqNullSafe(gone[c]) for c in ROW_COLUMNS]), "left_anti")
+
+
+def _rejected(curated_dir: str) -> str:
+    return f"{curated_dir.rstrip('/')}-rejected"
+
+
+def _replace_months(spark: SparkSession, rows: DataFrame, curated_dir: str, months: list[str]) -> None:
+    """Overwrite ``months`` with ``rows``; a month without a row left goes."""
+    write_trips(rows, curated_dir, dynamic_overwrite=True)
+    left = {r[0] for r in rows.select(schema.PARTITION_COLUMN).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    for month in set(months) - left:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{curated_dir.rstrip('/')}/{schema.PARTITION_COLUMN}={month}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def land_trips(
@@ -104,27 +151,24 @@ def land_trips(
     tz: str | None = None,
     max_files_per_trigger: int | None = None,
     file_glob: str = "*.csv*",
-    dedupe_all_months: bool = False,
 ) -> StreamingQuery:
-    """Clean every new raw CSV file and append its new rides to ``curated_dir``.
+    """Merge every new raw CSV file under ``raw_dir`` (subfolders too) into ``curated_dir``, see :func:`merge_trips`.
 
-    Rides already landed are skipped by ``(trip_month, ride_id)`` within the
-    months a batch touches (partition-pruned). A re-delivered ride whose start
-    moved to another month is only caught with ``dedupe_all_months=True``,
-    which anti-joins on ``ride_id`` against every month (reading that one
-    column of the whole table per batch).
+    ``max_files_per_trigger`` bounds a batch; a backlog is then worked off in
+    several.
     """
     reader = (
         spark.readStream.schema(schema.RAW_SCHEMA)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", file_glob)
+        .option("recursiveFileLookup", True)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(raw_dir)
     return (
-        stream.writeStream.foreachBatch(_append_new_trips(curated_dir, tz, dedupe_all_months))
+        stream.writeStream.foreachBatch(lambda batch, _: merge_trips(batch, curated_dir, tz=tz))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -132,10 +176,17 @@ def land_trips(
 
 
 def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
-    """Block until an ``availableNow`` query has drained its input."""
-    query.awaitTermination(timeout_s)
+    """Block until an ``availableNow`` query has drained its input.
+
+    After ``timeout_s`` the query is stopped and ``TimeoutError`` raised: what
+    has landed so far stays, and the next run goes on from the checkpoint.
+    """
+    ended = query.awaitTermination(timeout_s)
     if query.exception() is not None:
         raise query.exception()
+    if ended is False:
+        query.stop()
+        raise TimeoutError(f"the landing query was not done after {timeout_s} s")
     return query
 
 
@@ -150,32 +201,18 @@ def land_new_files_batch(
 ) -> None:
     """Batch form of :func:`land_trips`: a manifest table of processed files.
 
-    1. the raw files not yet in the manifest (``_metadata.file_path`` anti-join;
-       the manifest holds one row per file) are written to a staging table
-       under ``spark.checkpoint.dir``;
-    2. their rows are cleaned, rides already in the touched curated months are
-       dropped (anti-join), the rest appended;
-    3. the staged file names are appended to the manifest.
-    A failure between steps re-processes the same files next time; step 2's
-    anti-join keeps that idempotent.
+    The raw files are listed without reading them; those not in the manifest
+    (one row per file) are read, merged and then added to it. A failure in
+    between takes the same files again next time, which changes nothing.
     """
-    raw = (
-        spark.read.schema(schema.RAW_SCHEMA)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", file_glob)
-        .csv(raw_dir)
-        .withColumn("_file", F.col("_metadata.file_path"))
-    )
-    files = raw.select("_file").distinct()
-    done = _landed(spark, manifest_dir)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).option("recursiveFileLookup", True).load(raw_dir)
+    files = listing.select(F.col("path").alias("_file"))
+    done = _landed(spark, manifest_dir, "_file string")
     if done is not None:
-        files = files.join(done.select("_file"), "_file", "left_anti")
-    staging = scratch_path(spark, "landing-files")
-    files.write.mode("overwrite").parquet(staging)
-    new_files = spark.read.parquet(staging)
-    if new_files.isEmpty():
+        files = files.join(done, "_file", "left_anti")
+    paths = [r[0] for r in files.collect()]  # the listing of one run's new files
+    if not paths:
         return
-    batch = raw.join(new_files, "_file", "left_semi").drop("_file")
-    _append_new_trips(curated_dir, tz, dedupe_all_months=False)(batch, 0)
-    new_files.write.mode("append").parquet(manifest_dir)
+    raw = spark.read.schema(schema.RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    merge_trips(raw, curated_dir, tz=tz)
+    spark.createDataFrame([(p,) for p in paths], "_file string").write.mode("append").parquet(manifest_dir)
