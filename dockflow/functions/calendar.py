@@ -50,7 +50,10 @@ def duration_min(start, end, tz: str | None = None) -> Column:
     if tz is not None:
         s = F.convert_timezone(F.lit(tz), F.lit("UTC"), s)
         e = F.convert_timezone(F.lit(tz), F.lit("UTC"), e)
-    return F.timestamp_diff("SECOND", s, e) / F.lit(60.0)
+    # Not timestamp_diff: it places both values in the session zone first.
+    gap = e - s
+    part = lambda unit, size: F.extract(F.lit(unit), gap).cast("long") * F.lit(size)
+    return (part("DAY", 86_400) + part("HOUR", 3_600) + part("MINUTE", 60) + part("SECOND", 1)) / F.lit(60.0)
 
 
 def season(ts) -> Column:

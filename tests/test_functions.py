@@ -151,3 +151,11 @@ def test_default_format_shape_check_equals_strict_parser(spark):
     reference = F.when(F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull(), t.try_cast("timestamp_ntz"))
     rows = df.select(fast.alias("a"), reference.cast("string").alias("b")).collect()
     assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def test_duration_does_not_depend_on_the_session_zone(spark):
+    """A wall-clock gap across a daylight-saving change is the plain difference unless a zone is named."""
+    df = spark.sql("SELECT timestamp_ntz'2024-03-10 01:30:00' s, timestamp_ntz'2024-03-10 03:30:10' e, timestamp_ntz'2024-03-09 00:00:05' b")
+    row = df.select(duration_min("s", "e").alias("x"), duration_min("e", "s").alias("y"), duration_min("b", "e").alias("z"),
+                    duration_min("s", "e", "America/New_York").alias("t")).first()
+    assert row.x == 7210 / 60 and row.y == -7210 / 60 and row.z == (86_400 + 3 * 3600 + 1805) / 60 and row.t == 3610 / 60

@@ -11,6 +11,7 @@ from dockflow import schema
 from dockflow.operators.clean import clean_trips, quality_funnel
 from dockflow.sources.archives import pick_csv_member, read_archived_trips
 from dockflow.sources.curated import read_trips
+from dockflow.sources.raw_csv import read_raw_trips
 from dockflow.streaming.landing import land_archives, land_trips, run_to_completion
 
 from .conftest import MINI_CSV
@@ -23,8 +24,13 @@ def _zip(path, members):
 
 
 def test_pick_csv_member():
-    assert pick_csv_member(["__MACOSX/._a.csv", "x/readme.txt", "x/202401-trips.CSV"]) == "x/202401-trips.CSV"
-    assert pick_csv_member(["a.txt"]) is None
+    def pick(*names):
+        found = pick_csv_member([zipfile.ZipInfo(n) for n in names])
+        return found and found.filename
+
+    assert pick("__MACOSX/._a.csv", "x/readme.txt", "x/202401-trips.CSV") == "x/202401-trips.CSV"
+    assert pick("._a.csv", "dir.csv/", "not__MACOSX.csv") == "not__MACOSX.csv"
+    assert pick("a.txt") is None
 
 
 def test_archives_expand_to_same_rows_as_csv(spark, mini_raw, tmp_dir):
@@ -81,19 +87,80 @@ def test_incremental_landing_is_idempotent(spark, tmp_dir):
     assert out.count() == expected
 
 
-def test_landing_dedupe_across_months(spark, tmp_dir):
+HEADER = ",".join(schema.RAW_COLUMNS)
+RIDE = "{r},classic_bike,{s},{e},Beta Ave,S2,Alpha St,S1,{lat},-87.64,41.90,-87.63,member"
+DELIVERIES = [
+    [RIDE.format(r="Z1", s="2024-01-31 23:50:00", e="2024-02-01 00:10:00", lat="41.91"),
+     RIDE.format(r="Z2", s="2024-01-05 10:00:00", e="2024-01-05 10:20:00", lat="41.91"),
+     RIDE.format(r="Z5", s="2024-01-07 10:00:00", e="2024-01-07 10:20:00", lat="41.91")],
+    # Z1 again in the next month; Z2 with an earlier start that fails the duration rule; Z3 with a NaN copy.
+    [RIDE.format(r="Z1", s="2024-02-01 00:00:05", e="2024-02-01 00:20:00", lat="41.91"),
+     RIDE.format(r="Z2", s="2023-12-05 10:00:00", e="2024-01-05 10:20:00", lat="41.91"),
+     RIDE.format(r="Z3", s="2024-03-01 10:00:00", e="2024-03-01 10:20:00", lat="41.92")],
+    [RIDE.format(r="Z3", s="2024-02-29 10:00:00", e="2024-03-01 10:20:00", lat="NaN"),
+     RIDE.format(r="Z5", s="2024-01-07 10:00:00", e="2024-01-07 10:20:00", lat="41.90"),
+     RIDE.format(r="Z4", s="2024-03-02 10:00:00", e="2024-03-02 10:20:00", lat="41.92")],
+]
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(*schema.CURATED_COLUMNS).collect()), key=str)
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 0, 2)])
+def test_landing_equals_batch_cleaning_in_any_order(spark, tmp_dir, order):
+    raw, curated, ck = (os.path.join(tmp_dir, d) for d in ("raw", "curated", "ck"))
+    os.makedirs(raw)
+    for n, k in enumerate(order):
+        with open(os.path.join(raw, f"{n}.csv"), "w") as fh:
+            fh.write("\n".join([HEADER, *DELIVERIES[k]]) + "\n")
+        run_to_completion(land_trips(spark, raw, curated, ck), 300)
+        assert _rows(read_trips(spark, curated)) == _rows(clean_trips(read_raw_trips(spark, raw)))
+    assert read_trips(spark, curated).count() == 4
+
+
+def test_merging_the_same_rows_twice_changes_nothing(spark, tmp_dir):
+    from dockflow.streaming.landing import merge_trips
+
     raw, curated = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "curated")
     os.makedirs(raw)
-    header = ",".join(schema.RAW_COLUMNS)
-    row = "Z1,classic_bike,{s},{e},Beta Ave,S2,Alpha St,S1,41.91,-87.64,41.90,-87.63,member"
-    with open(os.path.join(raw, "a.csv"), "w") as fh:
-        fh.write(header + "\n" + row.format(s="2024-01-31 23:50:00", e="2024-02-01 00:10:00") + "\n")
-    run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck1"), dedupe_all_months=True), 300)
-    # Re-delivered with a start in the next month.
-    with open(os.path.join(raw, "b.csv"), "w") as fh:
-        fh.write(header + "\n" + row.format(s="2024-02-01 00:00:05", e="2024-02-01 00:20:00") + "\n")
-    run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck1"), dedupe_all_months=True), 300)
-    assert read_trips(spark, curated).count() == 1
+    for n, rows in enumerate(DELIVERIES):
+        with open(os.path.join(raw, f"{n}.csv"), "w") as fh:
+            fh.write("\n".join([HEADER, *rows]) + "\n")
+    for _ in range(2):
+        merge_trips(read_raw_trips(spark, raw), curated)
+        assert _rows(read_trips(spark, curated)) == _rows(clean_trips(read_raw_trips(spark, raw)))
+
+
+def test_a_plain_file_beside_landed_archives_lands(spark, tmp_dir):
+    landing, raw, curated = (os.path.join(tmp_dir, d) for d in ("landing", "raw", "curated"))
+    os.makedirs(landing)
+    _zip(os.path.join(landing, "a.zip"), [("a.csv", "\n".join([HEADER, *DELIVERIES[0]]) + "\n")])
+    run_to_completion(land_archives(spark, landing, raw, os.path.join(tmp_dir, "ck_a")), 300)
+    with open(os.path.join(raw, "plain.csv"), "w") as fh:
+        fh.write("\n".join([HEADER, *DELIVERIES[2]]) + "\n")
+    run_to_completion(land_trips(spark, raw, curated, os.path.join(tmp_dir, "ck_t")), 300)
+    assert {r.ride_id for r in read_trips(spark, curated).collect()} == {"Z1", "Z2", "Z4", "Z5"}
+    assert read_raw_trips(spark, raw, recursive=True).count() == 6
+
+
+def test_a_timeout_raises():
+    class Slow:
+        stopped = False
+
+        def awaitTermination(self, timeout):
+            return False
+
+        def exception(self):
+            return None
+
+        def stop(self):
+            self.stopped = True
+
+    slow = Slow()
+    with pytest.raises(TimeoutError):
+        run_to_completion(slow, 0.1)
+    assert slow.stopped
 
 
 def test_landing_across_micro_batches(spark, tmp_dir):

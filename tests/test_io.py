@@ -50,12 +50,23 @@ def test_curated_round_trip_and_dynamic_overwrite(spark, mini_raw, tmp_dir):
     back = read_trips(spark, path)
     assert back.count() == 6
     assert set(back.columns) == set(schema.CURATED_COLUMNS)
-    # Rewriting one month leaves the others untouched.
-    write_trips(trips.filter("trip_month = '2024-01'"), path)
+    # Rewriting one month dynamically leaves the others untouched.
+    write_trips(trips.filter("trip_month = '2024-01'"), path, dynamic_overwrite=True)
     assert read_trips(spark, path).count() == 6
     assert read_trips(spark, path, months=["2024-01"]).count() == 2
 
 
+def test_a_full_rewrite_leaves_no_stale_month(spark, mini_raw, tmp_dir):
+    path = os.path.join(tmp_dir, "trips")
+    trips = clean_trips(mini_raw)
+    write_trips(trips, path)
+    write_trips(trips.filter("trip_month <> '2024-01'"), path)
+    assert read_trips(spark, path).count() == 4
+    assert not os.path.exists(os.path.join(path, "trip_month=2024-01"))
+    publish_trips(trips.filter("trip_month = '2024-01'"), path)
+    assert [r[0] for r in read_trips(spark, path).select("trip_month").distinct().collect()] == ["2024-01"]
+
+
 def test_publish_raw_and_curated(spark, mini_raw, tmp_dir):
     raw_uri = "file://" + os.path.join(tmp_dir, "lake", "raw")
     cur_uri = "file://" + os.path.join(tmp_dir, "lake", "curated", "trips")
@@ -109,7 +120,7 @@ def test_scale_conf():
     from dockflow.session import scale_conf
 
     conf = scale_conf(100 * (1 << 40), 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 51200
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
