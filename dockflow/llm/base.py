@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dockflow.session import scratch_path
+from dockflow.session import settled as settle  # noqa: F401  a written table outlives lost executors
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,14 +31,12 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH")) if x)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
-
-    Cuts the lineage with a table that outlives lost executors.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _release() -> None:
+    """Hand memory that a task has freed back to the system: idle workers would keep it from the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
@@ -49,6 +48,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+            del batch, out
+        _release()
 
     return df.mapInArrow(run, schema)
 
@@ -56,7 +57,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 def map_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` on the stream of Arrow batches of each partition."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        yield from fn(batches)
+        _release()
+
+    return df.mapInArrow(run, schema)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

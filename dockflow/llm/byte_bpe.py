@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from dockflow.llm.base import id_text, map_batches
 
 #: Distinct pieces of at most so many bytes are remembered; the store is emptied when it is full.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 MEMO_BYTES = 64
 PIECES = 1 << 16
 
@@ -64,7 +64,7 @@ class ByteBPE:
         self.auto.make_automaton()
         self.size = {i: len(b) for b, i in ranks.items()}
         self.shorter: dict[int, int | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.memo: dict[str, list[int]] = {}
 
     def _shorter(self, token: int) -> int | None:
@@ -75,12 +75,13 @@ class ByteBPE:
         return self.shorter[token]
 
     def _fits(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is None:
             known = merge(self.ranks, self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            if len(self.pairs) >= 4 * MEMO_PIECES:
+            if len(self.pairs) >= MEMO_PIECES:
                 self.pairs.clear()
-            self.pairs[a, b] = known
+            self.pairs[key] = known
         return known
 
     def encode_bytes(self, data: bytes) -> list[int]:
