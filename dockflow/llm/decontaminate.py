@@ -2,8 +2,8 @@
 
 Test items are a stated query set that is held against all documents in blocks
 of bounded size. Per block one pass counts the items' word n-grams over all
-documents; the rarer half of each item's n-grams are its seeds. A second pass
-finds seeds in every document, gathers those of one item on nearby diagonals
+documents; an item's seeds are those that are rare in the corpus, and its rarer
+half in any case. A second pass finds seeds in every document, gathers those of one item on nearby diagonals
 into a passage and aligns passage and item word by word. All of it happens where
 the document is read, so a passage that many documents share makes no hot key.
 """
@@ -28,6 +28,8 @@ THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Items are compared in blocks of about so many bytes.
 BLOCK_BYTES = 8 << 20
+#: An n-gram is rare if it occurs no more often than so many times, or in this share of the documents.
+RARE_COUNT, RARE_SHARE = 16, 0.0005
 JOB_CELLS = 1 << 19
 #: ASCII letters in lower case, digits, and other bytes of UTF-8 letters are words; the rest parts them.
 PARTS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -90,14 +92,15 @@ class Items:
         ok = own[no] == h[at]
         return at[ok], no[ok]
 
-    def choose_seeds(self, counts: dict[int, np.ndarray], n: int = N) -> None:
-        """Per item the grams no more frequent than its median one; posting lists by gram."""
+    def choose_seeds(self, counts: dict[int, np.ndarray], docs: int, n: int = N) -> None:
+        """Per item the rare grams, and those no more frequent than its median one; posting lists by gram."""
+        rare = max(RARE_COUNT, RARE_SHARE * docs)
         post: dict[int, list[tuple[int, int, int]]] = {k: [] for k in self.lengths}
         for i, t in enumerate(self.tokens):
             k = min(n, len(t))
             no = np.searchsorted(self.grams[k], _gram_hashes(t, k))
             c = counts[k][no]
-            post[k] += [(int(no[p]), i, int(p)) for p in np.flatnonzero(c <= np.median(c))]
+            post[k] += [(int(no[p]), i, int(p)) for p in np.flatnonzero(c <= max(rare, np.median(c)))]
         self.posts = []
         for k in self.lengths:
             rows = np.array(sorted(post[k]), np.int64).reshape(-1, 3)
@@ -184,12 +187,13 @@ def _align_all(items: Items, jobs: list[tuple[int, int, np.ndarray]]) -> list[tu
 HIT = StructType([StructField("item_id", LongType()), StructField("score", DoubleType()), StructField("first_word", LongType()), StructField("end_word", LongType())])
 
 
-def _count_grams(docs: DataFrame, items: Items, text_col: str) -> dict[int, np.ndarray]:
-    """Occurrences of the block's grams over all documents; as many rows as it has grams at most."""
+def _count_grams(docs: DataFrame, items: Items, text_col: str) -> tuple[dict[int, np.ndarray], int]:
+    """Occurrences of the block's grams over all documents, as many rows as it has grams at most, and the documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        sums = {k: np.zeros(len(g), np.int64) for k, g in items.grams.items()}
+        sums = {k: np.zeros(len(g), np.int64) for k, g in items.grams.items()} | {0: np.zeros(1, np.int64)}
         for batch in batches:
+            sums[0] += batch.num_rows
             for text in batch.column(0).to_pylist():
                 ids = items.doc_ids(text)
                 for k in items.lengths:
@@ -204,7 +208,7 @@ def _count_grams(docs: DataFrame, items: Items, text_col: str) -> dict[int, np.n
     for k in items.lengths:
         own = rows[rows.k == k]
         out[k][own.no.to_numpy()] = own.c.to_numpy()
-    return out
+    return out, int(rows[rows.k == 0].c.sum())
 
 
 def _add_block(docs: DataFrame, items: Items, text_col: str, hits_col: str, threshold: float) -> DataFrame:
@@ -256,7 +260,7 @@ def add_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
         block = Items.build([(r.i, r.t) for r in rows])
         if not block.tokens:
             continue
-        block.choose_seeds(_count_grams(docs, block, text_col))
+        block.choose_seeds(*_count_grams(docs, block, text_col))
         name = f"{hits_col}__{b}"
         out = _add_block(out, block, text_col, name, threshold)
         parts.append(name)
