@@ -86,7 +86,6 @@ class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
     weights: list[float] = field(default_factory=list)
-    prior: float = 0.0
 
     def compressors(self) -> tuple[zs.ZstdCompressor, zs.ZstdCompressor]:
         params = zs.ZstdCompressionParameters(window_log=17, hash_log=17, chain_log=17, search_log=7, min_match=4, target_length=64, strategy=zs.STRATEGY_LAZY2, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -107,7 +106,7 @@ class Model:
 
     def probability(self, features: list[list[float]]) -> np.ndarray:
         if not self.weights or not features:
-            return np.full(len(features), self.prior)
+            return np.zeros(len(features))
         x = np.c_[np.array(features), np.ones(len(features))]
         return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights), -30, 30)))
 
@@ -130,21 +129,20 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
 def train(rows: list[tuple[bytes, int]], counts: dict[int, int]) -> Model:
     """Dictionaries from the first half of each class, calibration on the second.
 
-    ``counts``: labelled documents of each class in all, for the prior. Without
-    documents of both classes every score is that prior.
+    ``counts``: labelled documents of each class in all, which the calibration
+    restores. Without two documents of each class nothing is known to be toxic,
+    and every score is 0.
     """
-    total = sum(counts.values())
-    prior = counts.get(1, 0) / total if total else 0.0
     by = {c: [b.translate(SPACES) for b, y in rows if y == c] for c in (0, 1)}
     fit = {c: x[: (len(x) + 1) // 2] for c, x in by.items()}
     check = {c: x[(len(x) + 1) // 2:] for c, x in by.items()}
     if not check[0] or not check[1]:
-        return Model(prior=prior)
+        return Model()
     rng = np.random.default_rng(1)
     words = [w for b in fit[0] for w in b.split()]
     base = b" ".join(words[i] for i in rng.permutation(len(words))[:BASE_BYTES])[:BASE_BYTES]
     runs = typical_runs(fit[1], enriched(fit[1], fit[0]))
-    model = Model(b" " + runs + b" " + base + b" " + MARK, base + b" " + MARK, prior=prior)
+    model = Model(b" " + runs + b" " + base + b" " + MARK, base + b" " + MARK)
     pair = model.compressors()
     x = np.array([model.features(b, pair) for c in (0, 1) for b in check[c]])
     y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
