@@ -49,7 +49,7 @@ CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 8192
 BLOCK_BITS = 20
 PIECE = 1 << 19
 #: Documents of an anchor from which its windows are dealt by digest.
-HOT_DOCS = 4096
+HOT_DOCS = 1024
 SAMPLES = 64
 LAST = np.int64((1 << 63) - 1)
 C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
