@@ -104,3 +104,38 @@ def test_write_splits_a_hot_month(spark, trips_medium, tmp_path):
     files = _glob.glob(f"{path}/trip_month=2024-06/*.parquet")
     assert len(files) > 1
     assert read_trips(spark, path).count() == trips_medium.count()
+
+def _exchanges(plan: str) -> int:
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count("Exchange SinglePartition")
+
+
+def test_no_task_ranks_all_stations(spark, curated):
+    """Extremes, concentration and pairs: no window over one partition, no sort below a window."""
+    from dockflow.plans import feeds, report
+
+    trips = read_trips(spark, curated)
+    for df in (feeds.imbalance_extremes(trips, min_activity=1), report.station_concentration(trips)):
+        plan = _plan(df)
+        assert "Window" not in plan and "TakeOrderedAndProject" in plan
+    pairs = _plan(flows.rebalancing_pairs(trips, min_activity=1))
+    assert _exchanges(pairs) <= 4
+    assert "Exchange SinglePartition" not in pairs
+
+
+def test_segment_profile_has_one_large_shuffle(spark, curated):
+    from dockflow.plans import feeds
+
+    trips = read_trips(spark, curated)
+    plan = _plan(analyses.member_vs_casual(trips))
+    assert "Expand" not in plan
+    comparison = _plan(feeds.segment_comparison(trips))
+    assert _exchanges(comparison) <= 4 and "rangepartitioning" not in comparison and "Expand" not in comparison
+
+
+def test_report_queries_read_their_part_of_the_summary(spark, trips_small):
+    from dockflow.plans.rollup import REPORT_QUERIES, run_report
+
+    for name, df in run_report(trips_small, [q for q in REPORT_QUERIES if q != "rebalancing_pairs"], min_activity=1).items():
+        plan = _plan(df)
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert scans and all("PartitionFilters: [isnotnull(gid" in line for line in scans), name
