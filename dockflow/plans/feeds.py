@@ -6,7 +6,7 @@ from one analysis, so it can be collected or exported safely.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow import schema
@@ -82,15 +82,18 @@ def top_stations_chart(trips: DataFrame, k: int = 15) -> DataFrame:
 def imbalance_extremes_from(imbalance: DataFrame, k: int = 10) -> DataFrame:
     """``k`` strongest sources plus ``k`` strongest sinks of an imbalance table (any order).
 
-    Two ordered takes over the same per-station exchange, so no task sorts all
-    stations. A station can appear at both ends when fewer than ``2k`` stations
-    qualify. ``direction`` is ``source`` when net outflow > 0.
+    Each station stands once for either end; ``row_number() <= k`` per end is a
+    group limit that every task applies before the shuffle, so the two tasks after
+    it see ``k`` rows of each. A station can appear at both ends when fewer than
+    ``2k`` stations qualify. ``direction`` is ``source`` when net outflow > 0.
     """
-    net = imbalance.select("station", "net_outflow")
-    top = net.orderBy(F.desc("net_outflow"), "station").limit(k).withColumn("side", F.lit("top"))
-    bottom = net.orderBy("net_outflow", F.desc("station")).limit(k).withColumn("side", F.lit("bottom"))
-    direction = F.when(F.col("net_outflow") > 0, "source").otherwise("sink")
-    return top.unionByName(bottom).withColumn("direction", direction).orderBy("net_outflow", "station", "side")
+    net, top = F.col("net_outflow"), F.col("side") == "top"
+    ends = imbalance.select("station", "net_outflow", F.explode(F.array(F.lit("top"), F.lit("bottom"))).alias("side"))
+    order = [F.when(top, -net).otherwise(net), F.when(top, F.col("station")), F.when(~top, F.col("station")).desc()]
+    rank = F.row_number().over(Window.partitionBy("side").orderBy(*order))
+    first = ends.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
+    direction = F.when(net > 0, "source").otherwise("sink")
+    return first.select("station", "net_outflow", "side", direction.alias("direction")).orderBy("net_outflow", "station", "side")
 
 
 def imbalance_extremes(trips: DataFrame, k: int = 10, min_activity: int = flows.DEFAULT_MIN_ACTIVITY) -> DataFrame:

@@ -10,6 +10,7 @@ from dockflow.functions import BBox, SERVICE_AREA, grid_cell, mean_minutes, perc
 from dockflow.operators import analyses, flows
 from dockflow.operators.clean import parse_raw
 from dockflow.operators.quality import first_per_key
+from dockflow.session import settled
 
 SUMMER_MONTHS = (6, 7, 8)
 WINTER_MONTHS = (12, 1, 2)
@@ -71,8 +72,12 @@ def concentration_from_flow(flow: DataFrame, k: int = 15) -> DataFrame:
 
 
 def station_concentration(trips: DataFrame, k: int = 15) -> DataFrame:
-    """Share of all trip endpoints held by the ``k`` busiest stations."""
-    return concentration_from_flow(flows.station_flow(trips), k)
+    """Share of all trip endpoints held by the ``k`` busiest stations.
+
+    The station flow is written to the checkpoint folder when this is called:
+    the result reads it twice, the trips once.
+    """
+    return concentration_from_flow(settled(flows.station_flow(trips), "station-flow"), k)
 
 
 def _first(df: DataFrame, k: int | None) -> DataFrame:

@@ -110,13 +110,15 @@ def _exchanges(plan: str) -> int:
 
 
 def test_no_task_ranks_all_stations(spark, curated):
-    """Extremes, concentration and pairs: no window over one partition, no sort below a window."""
+    """Extremes, concentration and pairs: a limit before the shuffle, no window over all stations, no sort below a window."""
     from dockflow.plans import feeds, report
 
     trips = read_trips(spark, curated)
-    for df in (feeds.imbalance_extremes(trips, min_activity=1), report.station_concentration(trips)):
-        plan = _plan(df)
-        assert "Window" not in plan and "TakeOrderedAndProject" in plan
+    extremes = _plan(feeds.imbalance_extremes(trips, min_activity=1))
+    assert extremes.count("WindowGroupLimit") == 2 and extremes.count("FileScan") == 1 and "SinglePartition" not in extremes
+    assert "rangepartitioning" not in extremes[extremes.index("WindowGroupLimit"):]
+    concentration = _plan(report.station_concentration(trips))
+    assert "Window" not in concentration and "TakeOrderedAndProject" in concentration
     pairs = _plan(flows.rebalancing_pairs(trips, min_activity=1))
     assert _exchanges(pairs) <= 4
     assert "Exchange SinglePartition" not in pairs
