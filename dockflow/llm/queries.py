@@ -88,5 +88,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+OP3_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d WHERE n >= 50)),
+first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN first USING (s) WHERE first.least < w.doc_id),
+run AS (
+  SELECT doc_id, p, SUM(CASE WHEN p - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS r
+  FROM (SELECT doc_id, p, LAG(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM hit)
+),
+span AS (SELECT doc_id, MIN(p) AS a, MAX(p) + 50 AS b FROM run GROUP BY doc_id, r),
+piece AS (
+  SELECT doc_id, COALESCE(LAG(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since, a AS until FROM span
+  UNION ALL SELECT d.doc_id, COALESCE((SELECT MAX(b) FROM span WHERE span.doc_id = d.doc_id), 0), d.n FROM d
+),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (until - since)), '' ORDER BY since) AS k FROM piece JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - length(k) // 2 AS BIGINT) AS n_removed,
+  (SELECT COUNT(*) FROM span WHERE span.doc_id = d.doc_id) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)
+"""
+
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x, embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0 AS ok
+  FROM embeddings
+),
+u AS (SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS norm FROM v WHERE ok),
+link AS (
+  SELECT a.vec_id AS p, b.vec_id AS q FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93
+),
+reach AS (SELECT vec_id AS p, vec_id AS q FROM v UNION SELECT reach.p, link.q FROM reach JOIN link ON reach.q = link.p),
+least AS (SELECT p, MIN(q) AS component_id FROM reach GROUP BY p),
+n AS (SELECT p, COUNT(*) AS n FROM link GROUP BY p)
+SELECT v.vec_id, COALESCE(n.n, 0) AS n_links, least.component_id, v.vec_id = least.component_id AS kept
+FROM v JOIN least ON least.p = v.vec_id LEFT JOIN n ON n.p = v.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express; the others are tested by brute force in tests/llm."""
+    return {"op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL}
