@@ -38,8 +38,8 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("events",):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t + '.parquet')}')")
+    for f in sorted(os.listdir(SF_SMALL)):
+        con.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, f)}')")
     return con
 
 
