@@ -8,8 +8,10 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dockflow.llm import byte_bpe, page_text, token_files, url_templates, vector_links
-from dockflow.llm.queries import URL_RULES
+from dockflow.llm.queries import URL_RULES, op1_sql
 
 from ..conftest import SF_SMALL
 
@@ -68,7 +70,12 @@ def test_templates_generalise_merge_and_reject(spark):
     rows = [f"http://shop.com/item/{i}" for i in range(200)] + [f"http://shop.com/ads/{i}/x" for i in range(60)]
     rows += [f"http://shop.com/promo/{i}/x" for i in range(60)] + [f"http://shop.com/new/{i}/x" for i in range(3)] + ["http://shop.com/" + "/".join("abcdefghijkl")]
     rules = [("allow", "shop.com/item/1"), ("block", "shop.com/ads/1"), ("block", "shop.com/promo/1"), ("block", "shop.com/ads/2"), ("block", "shop.com/promo/2")]
-    got = url_templates.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()
+    judged = url_templates.judge(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules)
+    got = judged.collect()
+    con = duckdb.connect()
+    con.register("pages", pa.table({"page_id": list(range(len(rows))), "url": rows}))
+    want = con.sql(op1_sql(rules)).fetchall()
+    assert sorted(want) == sorted((r.page_id, r.host, r.path, r.rule, r.verdict, r.template) for r in got)
     of = {r.path: r for r in got}
     assert of["/item/77"].template == "/item/*" and of["/ads/7/x"].template == "/ads/*/x"
     assert of["/item/77"].verdict == "allow" and of["/ads/7/x"].verdict == "block" and of["/promo/7/x"].verdict == "block"
