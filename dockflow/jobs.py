@@ -107,7 +107,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--all", action="store_true", help="analyze: every report query, not only the ten core ones")
     p.add_argument("--landing", default=None, help="land: folder of new ZIP archives")
     p.add_argument("--checkpoint", default=None, help="land: checkpoint folder of the landing streams")
-    p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="land: raw files in one batch")
     p.add_argument("--local", action="store_true")
     args = p.parse_args(argv)
     if args.job in ("clean", "land") and not args.raw:

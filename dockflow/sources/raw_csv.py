@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dockflow import schema
 
 DEFAULT_FILE_PATTERN = "{month}-*.csv*"  # plain or compressed (.csv.gz, .csv.bz2)
+CSV_FILES = "*.{csv,csv.gz,csv.bz2,csv.zst,csv.deflate}"  # what Spark reads by itself, not .csv.zip
 
 
 def month_paths(raw_dir: str, months: Iterable[str], pattern: str = DEFAULT_FILE_PATTERN) -> list[str]:
@@ -25,7 +26,7 @@ def read_raw_trips(
     paths: str | Sequence[str],
     *,
     check_header: bool = False,
-    glob_filter: str | None = "*.csv*",
+    glob_filter: str | None = CSV_FILES,
     recursive: bool = False,
 ) -> DataFrame:
     """Read raw trip CSVs as one table with ``schema.RAW_SCHEMA``.

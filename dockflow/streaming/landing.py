@@ -34,7 +34,7 @@ from dockflow.operators.quality import default_rules
 from dockflow.session import settled
 from dockflow.sources.archives import archive_lines, parse_trip_lines
 from dockflow.sources.curated import write_trips
-from dockflow.sources.raw_csv import write_raw_trips
+from dockflow.sources.raw_csv import CSV_FILES, write_raw_trips
 
 
 # Fixed schema of Spark's binaryFile source (streams need it declared).
@@ -149,8 +149,8 @@ def land_trips(
     checkpoint: str,
     *,
     tz: str | None = None,
-    max_files_per_trigger: int | None = None,
-    file_glob: str = "*.csv*",
+    max_files_per_trigger: int | None = 1000,
+    file_glob: str = CSV_FILES,
 ) -> StreamingQuery:
     """Merge every new raw CSV file under ``raw_dir`` (subfolders too) into ``curated_dir``, see :func:`merge_trips`.
 
@@ -197,7 +197,7 @@ def land_new_files_batch(
     manifest_dir: str,
     *,
     tz: str | None = None,
-    file_glob: str = "*.csv*",
+    file_glob: str = CSV_FILES,
 ) -> None:
     """Batch form of :func:`land_trips`: a manifest table of processed files.
 

@@ -129,6 +129,8 @@ def test_compressed_raw_csv(spark, tmp_dir):
 
     with open(MINI_CSV, "rb") as src, gzip.open(os.path.join(tmp_dir, "202401-trips.csv.gz"), "wb") as dst:
         dst.write(src.read())
+    with open(os.path.join(tmp_dir, "202401-trips.csv.zip"), "wb") as fh:
+        fh.write(b"PK not for the CSV reader")
     df = read_raw_trips(spark, month_paths(tmp_dir, ["202401"]))
     assert df.count() == 13
 
