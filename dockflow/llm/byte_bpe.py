@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from dockflow.llm.base import id_text, map_batches
 
-#: Distinct pieces of at most so many bytes are remembered; the store is emptied when it is full.
-MEMO_PIECES = 200_000
+#: Pieces of at most so many bytes are remembered, and pairs of tokens. A store that
+#: is full becomes the older generation; what is used again moves to the new one.
+MEMO_PIECES, MEMO_PAIRS = 200_000, 150_000
 MEMO_BYTES = 64
 PIECES = 1 << 16
 
@@ -65,7 +66,9 @@ class ByteBPE:
         self.size = {i: len(b) for b, i in ranks.items()}
         self.shorter: dict[int, int | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.memo: dict[str, list[int]] = {}
+        self.old_pairs: dict[int, bool] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
+        self.old_memo: dict[str, tuple[int, ...]] = {}
 
     def _shorter(self, token: int) -> int | None:
         """The longest token that is a proper prefix of ``token``."""
@@ -78,9 +81,11 @@ class ByteBPE:
         key = a << 32 | b
         known = self.pairs.get(key)
         if known is None:
-            known = merge(self.ranks, self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            if len(self.pairs) >= MEMO_PIECES:
-                self.pairs.clear()
+            known = self.old_pairs.get(key)
+            if known is None:
+                known = merge(self.ranks, self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            if len(self.pairs) >= MEMO_PAIRS:
+                self.pairs, self.old_pairs = {}, self.pairs
             self.pairs[key] = known
         return known
 
@@ -95,33 +100,40 @@ class ByteBPE:
             longest[end - k + 1] = token  # later matches from one start are longer
         out: list[int] = []
         given_up = bytearray(n + 1)
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
+        size, shorter, pairs, fits = self.size, self.shorter, self.pairs.get, self._fits
         while True:
-            while token is not None and (given_up[at + self.size[token]] or (out and not self._fits(out[-1], token))):
-                token = self._shorter(token)
+            while token is not None:
+                if not given_up[at + size[token]]:
+                    if last < 0:
+                        break
+                    ok = pairs(last << 32 | token)
+                    if ok or (ok is None and fits(last, token)):
+                        break
+                token = shorter[token] if token in shorter else self._shorter(token)
             if token is not None:
                 out.append(token)
-                at += self.size[token]
+                at += size[token]
                 if at == n:
                     return out
-                token = longest[at]
+                last, token = token, longest[at]
             else:
                 if not out:
                     raise ValueError("the ranks don't cover every byte")
                 given_up[at] = 1
                 back = out.pop()
-                at -= self.size[back]
+                at -= size[back]
+                last = out[-1] if out else -1
                 token = self._shorter(back)
 
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.memo.get(piece)
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        ids = self.memo.get(piece) or self.old_memo.get(piece)
         if ids is None:
-            data = piece.encode()
-            ids = self.encode_bytes(data)
-            if len(data) <= MEMO_BYTES:
-                if len(self.memo) >= MEMO_PIECES:
-                    self.memo.clear()
-                self.memo[piece] = ids
+            ids = tuple(self.encode_bytes(piece.encode()))
+        if len(piece) <= MEMO_BYTES:
+            if len(self.memo) >= MEMO_PIECES:
+                self.memo, self.old_memo = {}, self.memo
+            self.memo[piece] = ids
         return ids
 
     def encode_stream(self, text: str) -> Iterator[list[int]]:
