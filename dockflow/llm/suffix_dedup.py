@@ -9,7 +9,7 @@ one record: the bytes they cover, and where the anchor is.
 
 1. Anchors are compared by hash over all documents; only windows whose anchor is
    in two documents or more go on.
-2. Their records are range-partitioned by the leading bytes of the suffix at the
+2. Their records are range-partitioned by 16 leading bytes of the suffix at the
    anchor; splitters are quantiles of a sample of all anchors.
 3. A bucket sorts the windows of its records by multikey quicksort, eight bytes
    a symbol: groups that are equal so far are split by their next symbol, and
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.base import grouped, id_text, map_batches, map_stream, settle, text_bytes
@@ -238,9 +238,20 @@ def _spread(values: np.ndarray, buckets: int) -> np.ndarray:
     return ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _lead(r: Records) -> np.ndarray:
-    """The leading bytes of the suffix at the anchor, in the order of bytes, as a signed number."""
-    return (r.words[r.anchor].byteswap() ^ np.uint64(1 << 63)).view(np.int64)
+def _lead(r: Records) -> tuple[np.ndarray, np.ndarray]:
+    """The 16 leading bytes of the suffix at the anchor as two numbers in the order of bytes."""
+    return r.words[r.anchor].byteswap(), r.words[r.anchor + 8].byteswap()
+
+
+def _bucket_of(splitters: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The number of splitters (rows of two numbers, in order) at or below each pair."""
+    first = splitters[:, 0]
+    to = np.searchsorted(first, one, side="left")
+    for value in np.unique(first):  # pairs that share a splitter's first number go by their second
+        at = np.flatnonzero(one == value)
+        a, b = np.searchsorted(first, value, side="left"), np.searchsorted(first, value, side="right")
+        to[at] = a + np.searchsorted(splitters[a:b, 1], two[at], side="right")
+    return to
 
 
 def _anchor_rows(buckets: int):
@@ -249,15 +260,16 @@ def _anchor_rows(buckets: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for chunk, _, texts, _ in _each_chunk(batch):
-            grams, docs, leads = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            grams, docs, leads = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((2, 0), np.uint64)]
             for r in records(texts):
                 grams.append(r.gram)
                 docs.append(r.doc)
-                leads.append(_lead(r))
-            g, d, lead = np.concatenate(grams), np.concatenate(docs), np.concatenate(leads)
+                leads.append(np.stack(_lead(r)))
+            g, d, lead = np.concatenate(grams), np.concatenate(docs), np.concatenate(leads, axis=1)
             if not len(g):
                 continue
-            out.append((-1 - chunk % 64, chunk, _pack(lead[np.argsort(g)[:: max(1, len(g) // SAMPLES)]])))
+            some = np.argsort(g)[:: max(1, len(g) // SAMPLES)]
+            out.append((-1 - chunk % 64, chunk, _pack(lead[0, some], lead[1, some])))
             order = np.lexsort((d, g))
             g, d = g[order], d[order]
             new = np.ones(len(g), bool)
@@ -328,18 +340,18 @@ def _record_rows(splitters: np.ndarray, buckets: int):
                 warm = ok & (hot[no] == 0)
                 if warm.any():
                     w = r.pick(warm)
-                    parts.append((w, w.digest(), ids[w.doc], _lead(w)))
+                    parts.append((w, w.digest(), ids[w.doc], *_lead(w)))
                 if (ok & ~warm).any():
                     w = r.pick(ok & ~warm)
                     of, at = w.windows()
                     one, two = window_digests(w.words, at)
                     wins.append((one, two, ids[w.doc][of], w.gram[of]))
             if parts:
-                digest, doc, lead = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
-                to = np.searchsorted(splitters, lead, side="right")
+                digest, doc, lead, more = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
+                to = _bucket_of(splitters, lead, more)
                 block = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
                 inner = np.concatenate([np.arange(len(p[1])) for p in parts])
-                order = np.lexsort((doc, digest, lead, to))
+                order = np.lexsort((doc, digest, more, lead, to))
                 new = np.ones(len(order), bool)
                 new[1:] = (digest[order][1:] != digest[order][:-1]) | (lead[order][1:] != lead[order][:-1])
                 first = np.flatnonzero(new)
@@ -554,15 +566,17 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _splitters(spark: SparkSession, sample: DataFrame, buckets: int) -> np.ndarray:
-    """Quantiles of the sampled leading bytes: at most ``buckets`` - 1 numbers."""
+def _splitters(sample: DataFrame, buckets: int) -> np.ndarray:
+    """Quantiles of the leading bytes of sampled anchors, from at most ``SAMPLES`` for each bucket."""
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([_unpack(p, "<i8")[0] for p in batch.column(0).to_pylist()]))], ["lead"])
+        cells = [_unpack(p, "<u8", "<u8") for p in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([c[k] for c in cells]).view(np.int64)) for k in (0, 1)], ["one", "two"])
 
-    leads = map_batches(sample.select("payload"), run, "lead long")
-    shares = [F.lit(k / buckets) for k in range(1, buckets)]
-    found = leads.agg(F.percentile_approx("lead", F.array(*shares), F.lit(10 * buckets)).alias("q")).first().q if shares else None
-    return np.unique(np.array(found or [], np.int64))
+    some = map_batches(sample.select("payload"), run, "one long, two long").orderBy(F.xxhash64("one", "two"), "one", "two").limit(SAMPLES * buckets).toPandas()
+    pairs = some.to_numpy(np.int64).view(np.uint64).reshape(-1, 2)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    return np.unique(pairs[len(pairs) * np.arange(1, buckets) // buckets], axis=0) if len(pairs) else pairs
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_docs: int = HOT_DOCS) -> DataFrame:
@@ -582,7 +596,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = map_batches(chunks, _anchor_rows(buckets), parts)
     dealt = anchors.repartition(buckets // 2, "bucket").sortWithinPartitions("bucket")
     told = settle(map_stream(dealt, _shared_anchors(hot_docs), parts), "shared-anchors")
-    splitters = _splitters(spark, told.where("bucket < 0"), buckets)
+    splitters = _splitters(told.where("bucket < 0"), buckets)
     own = told.where("bucket >= 0").groupBy("chunk").agg(F.collect_list("payload").alias("told"))  # a chunk's own anchors
     rows = map_batches(chunks.join(own, "chunk").select("chunk", "ids", "sizes", "data", "told"), _record_rows(splitters, buckets), parts)
     sorted_rows = rows.repartition(buckets // 2, "bucket").sortWithinPartitions("bucket")
