@@ -333,3 +333,13 @@ def test_pipeline_stages_on_odd_rows(spark, odd_docs, tmp_path):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert rows.columns == corpus_pipeline.COLUMNS, name
         assert (rows.count() > 0) == (start is docs)
+
+
+def test_a_hot_id_is_spread_and_stays_in_order(spark, tmp_path):
+    rows = [(7 if i % 3 else i, f"text {i}") for i in range(600)] + [(None, "n")] * 50
+    path = str(tmp_path / "hot")
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, WORDS, end_id=1)
+    got = token_files.read_token_files(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda x: (x is not None, x or 0))
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+    assert spark.read.parquet(path).where(F.array_contains("doc_ids", 7)).count() > 4
