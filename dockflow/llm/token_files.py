@@ -28,21 +28,22 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from dockflow.llm.base import id_text, map_batches, map_stream, settle, text_bytes
+from dockflow.llm.base import id_text, map_batches, map_stream, text_bytes
 
 MAGIC = b"EFID"
 HEAD = struct.Struct("<4sBBHQQQQ")
 SAMPLE = 64
 SHARD_IDS = 1 << 20
-#: Distinct words and pieces that a worker remembers; a store that is full is emptied.
-MEMO_WORDS, MEMO_PIECES = 600_000, 900_000
+FIRST = -(1 << 63)
+#: Distinct words and pieces that a worker remembers. A store that is full becomes
+#: the older generation; what is used again moves to the new one.
+MEMO_WORDS, MEMO_PIECES = 350_000, 450_000
 PLAIN = re.compile(rb"[!-~]+").fullmatch
-SHARD_SCHEMA = "part int, seq int, start long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
+SHARD_SCHEMA = "part long, seq int, start long, n_docs long, n_ids long, doc_ids array<long>, payload binary"
 
 
 class EliasFano:
@@ -135,7 +136,9 @@ class WordEncoder:
         splits = json.loads(self.tok.to_str())["pre_tokenizer"]["pretokenizers"]
         self.pieces_of = regex.compile(splits[0]["pattern"]["Regex"]).findall
         self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
         self.pieces: dict[bytes | str, bytes] = {}
+        self.old_pieces: dict[bytes | str, bytes] = {}
 
     def _pack(self, ids: Iterable[int]) -> bytes:
         return array(self.kind, ids).tobytes()
@@ -143,12 +146,15 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            known = self.pieces[piece] = self._pack([t.id for t in self.model.tokenize(piece)])
+            known = self.old_pieces.get(piece)
+            if known is None:
+                known = self._pack([t.id for t in self.model.tokenize(piece)])
+            self.pieces[piece] = known
         return known
 
     def _learn(self, words: set[bytes]) -> None:
         if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
+            self.pieces, self.old_pieces = {}, self.pieces
         rest = []
         for w in words:
             core = w.rstrip(b".,")
@@ -159,6 +165,9 @@ class WordEncoder:
                 self.words[w] = b"".join(map(self._piece, self.pieces_of(w.decode().lower())))
             else:
                 rest.append((w, core if core and core.decode()[-1].lower()[-1].isalpha() else w))
+        for _, c in rest:
+            if c not in self.pieces and c in self.old_pieces:
+                self.pieces[c] = self.old_pieces[c]
         new = list({c for _, c in rest if c not in self.pieces})
         for c, e in zip(new, self.tok.encode_batch_fast([c.decode() for c in new], add_special_tokens=False), strict=True):
             self.pieces[c] = self._pack(e.ids)
@@ -168,14 +177,18 @@ class WordEncoder:
     def encode(self, text: bytes) -> bytes:
         """Packed ids of a whole text."""
         words = text.split()
-        known = self.words
-        new = set(words).difference(known)
-        if new:
-            if len(known) > MEMO_WORDS:
-                known.clear()
-                new = set(words)
-            self._learn(new)
-        return b"".join(map(known.__getitem__, words))
+        ids = list(map(self.words.get, words))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            new = {words[i] for i in missing}
+            if len(self.words) > MEMO_WORDS:
+                self.words, self.old_words = {}, self.words
+            known = {w: self.old_words[w] for w in new if w in self.old_words}
+            self.words.update(known)
+            self._learn(new.difference(known))
+            for i in missing:
+                ids[i] = self.words[words[i]]
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
@@ -188,55 +201,71 @@ def id_width(path: str, end_id: int) -> int:
     return 2 if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
 
-def token_ids(docs: DataFrame, path: str, end_id: int, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids)``: little-endian ids of each text and the end id."""
+def _buckets(bounds: np.ndarray, ids: pa.Array, rows: np.ndarray) -> np.ndarray:
+    """Ranges of ids in their order; rows of an id that is several bounds are spread over all its ranges."""
+    own = np.array([FIRST if x is None else x for x in ids.to_pylist()], np.int64)
+    low, high = np.searchsorted(bounds, own, side="left"), np.searchsorted(bounds, own, side="right")
+    some = (rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    return low + (some % (high - low + 1).astype(np.uint64)).astype(np.int64)
+
+
+def token_ids(docs: DataFrame, path: str, end_id: int, width: int, bounds: np.ndarray) -> DataFrame:
+    """``(doc_id, row, bucket, ids)`` of ``(doc_id, text, row)``: little-endian ids of each text and the end id."""
     end = int(end_id).to_bytes(width, "little")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         encode = _encoder(path, width).encode
         out = [encode(t) + end for t in text_bytes(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
+        bucket = _buckets(bounds, batch.column(0), batch.column(2).to_numpy())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bucket), pa.array(out, pa.binary())], ["doc_id", "row", "bucket", "ids"])
 
-    return map_batches(id_text(docs, id_col, text_col), run, "doc_id long, ids binary")
+    return map_batches(docs, run, "doc_id long, row long, bucket long, ids binary")
 
 
 def write_token_files(docs: DataFrame, out_path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> None:
     """Write ``docs`` as shards in ascending id order under ``out_path``.
 
     Null and empty texts are documents of the end id alone; null ids come first;
-    rows of one id keep the order in which they were read. A text longer than
-    ``shard_ids`` is a shard of its own. No rows write an empty dataset. Extra
-    columns are not read.
+    rows of one id come in an arbitrary order. A text longer than ``shard_ids`` is
+    a shard of its own. No rows write an empty dataset. Extra columns are not read.
+
+    Texts are encoded once and shuffled once, as ids: the ranges are quantiles of
+    the ids, taken beforehand (range partitioning would encode to sample).
     """
     width = id_width(tokenizer_path, end_id)
-    # Settled first: range partitioning samples its input, and would encode twice.
-    encoded = settle(token_ids(docs, tokenizer_path, end_id, width, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = id_text(docs, id_col, text_col)
+    ranges = 4 * tasks  # several a task, so that tasks are even though ranges are dealt by hash
+    shares = F.array(*(F.lit(k / ranges) for k in range(1, ranges)))
+    found = rows.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(FIRST)), shares, F.lit(10 * ranges)).alias("q")).first().q
+    encoded = token_ids(rows.withColumn("row", F.monotonically_increasing_id()), tokenizer_path, end_id, width, np.array(found or [], np.int64))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        part, seq, start = TaskContext.get().partitionId(), 0, 0
+        bucket, seq, start, size = -1, 0, 0, 0
         ids: list[bytes] = []
         own: list[int | None] = []
-        size = 0
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([start]), pa.array([len(ids)]), pa.array([size]), pa.array([own], pa.list_(pa.int64())), pa.array([pack_shard(ids, width)], pa.binary())],
+                [pa.array([bucket]), pa.array([seq], pa.int32()), pa.array([start]), pa.array([len(ids)]), pa.array([size]), pa.array([own], pa.list_(pa.int64())), pa.array([pack_shard(ids, width)], pa.binary())],
                 ["part", "seq", "start", "n_docs", "n_ids", "doc_ids", "payload"])
 
         for batch in batches:
-            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for b, doc, data in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 n = len(data) // width
-                if ids and size + n > shard_ids:
+                if ids and (b != bucket or size + n > shard_ids):
                     yield flush()
                     seq, start = seq + 1, start + size
                     ids, own, size = [], [], 0
+                if b != bucket:
+                    bucket, seq, start = b, 0, 0
                 ids.append(data)
                 own.append(doc)
                 size += n
         if ids:
             yield flush()
 
-    ordered = encoded.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "ids")
+    ordered = encoded.repartition(tasks, "bucket").sortWithinPartitions("bucket", "doc_id", "row").select("bucket", "doc_id", "ids")
     map_stream(ordered, shards, SHARD_SCHEMA).write.option("compression", "zstd").parquet(out_path)
 
 
@@ -259,12 +288,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             rows[2] += (starts + base).tolist()
             rows[3] += (ends - starts).tolist()
             rows[4] += [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        kinds = [pa.int64()] * 5
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], ["doc_id", "part", "at", "n_tokens", "ids_crc32"])
 
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    own = map_batches(shards.select("part", "start", "doc_ids", "payload"), run, "doc_id long, part int, at long, n_tokens long, ids_crc32 long")
-    # One row for each task that wrote: small, whatever the number of documents.
+    own = map_batches(shards.select("part", "start", "doc_ids", "payload"), run, "doc_id long, part long, at long, n_tokens long, ids_crc32 long")
+    # One row for each range of ids: a few times the number of tasks, whatever the number of documents.
     sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     bases = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     return own.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
