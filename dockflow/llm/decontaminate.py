@@ -2,10 +2,13 @@
 
 Test items are a stated query set that is held against all documents in blocks
 of bounded size. Per block one pass counts the items' word n-grams over all
-documents; an item's seeds are those that are rare in the corpus, and its rarer
-half in any case. A second pass finds seeds in every document, gathers those of one item on nearby diagonals
-into a passage and aligns passage and item word by word. All of it happens where
-the document is read, so a passage that many documents share makes no hot key.
+documents. A second pass finds all grams of the items in every document and
+gathers those of one item on nearby diagonals into a passage. A passage with a gram
+that is rare in the corpus is aligned with the item word by word; one of common
+grams alone is, unless it shares too few words with the item to reach the threshold
+whatever their order, so that nothing is lost by a gram's being common. All of it
+happens where the document is read, so a passage that many documents share makes
+no hot key.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ BLOCK_BYTES = 8 << 20
 #: An n-gram is rare if it occurs no more often than so many times, or in this share of the documents.
 RARE_COUNT, RARE_SHARE = 16, 0.0005
 JOB_CELLS = 1 << 19
+#: Words of passages whose bounds are taken at a time.
+BOUND_WORDS = 1 << 20
 #: ASCII letters in lower case, digits, and other bytes of UTF-8 letters are words; the rest parts them.
 PARTS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -64,7 +69,8 @@ class Items:
     vocabulary: dict[bytes, int]
     lengths: list[int]  # the gram lengths in use: N, and shorter ones of shorter items
     grams: dict[int, np.ndarray]  # length -> sorted distinct hashes
-    posts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None
+    posts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] | None = None
+    bag: tuple[np.ndarray, np.ndarray] | None = None  # item and word in one number, sorted, and the word's count in the item
 
     @classmethod
     def build(cls, rows: list[tuple[int | None, str | None]], n: int = N) -> Items:
@@ -77,7 +83,8 @@ class Items:
                 tokens.append(np.array([vocabulary.setdefault(x, len(vocabulary) + 1) for x in w], np.uint64))
         lengths = sorted({min(n, len(t)) for t in tokens})
         grams = {k: np.unique(np.concatenate([_gram_hashes(t, k) for t in tokens if min(n, len(t)) == k])) for k in lengths}
-        return cls(ids, tokens, vocabulary, lengths, grams)
+        pairs = [np.uint64(i << 32) | t for i, t in enumerate(tokens)]
+        return cls(ids, tokens, vocabulary, lengths, grams, bag=np.unique(np.concatenate(pairs), return_counts=True) if pairs else None)
 
     def doc_ids(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
@@ -93,30 +100,30 @@ class Items:
         return at[ok], no[ok]
 
     def choose_seeds(self, counts: dict[int, np.ndarray], docs: int, n: int = N) -> None:
-        """Per item the rare grams, and those no more frequent than its median one; posting lists by gram."""
+        """Posting lists by gram; rare are those in few places, and those no more frequent than their item's median one."""
         rare = max(RARE_COUNT, RARE_SHARE * docs)
-        post: dict[int, list[tuple[int, int, int]]] = {k: [] for k in self.lengths}
+        post: dict[int, list[tuple[int, int, int, bool]]] = {k: [] for k in self.lengths}
         for i, t in enumerate(self.tokens):
             k = min(n, len(t))
             no = np.searchsorted(self.grams[k], _gram_hashes(t, k))
             c = counts[k][no]
-            post[k] += [(int(no[p]), i, int(p)) for p in np.flatnonzero(c <= max(rare, np.median(c)))]
+            post[k] += zip(no.tolist(), [i] * len(no), range(len(no)), (c <= max(rare, np.median(c))).tolist(), strict=True)
         self.posts = []
         for k in self.lengths:
-            rows = np.array(sorted(post[k]), np.int64).reshape(-1, 3)
+            rows = np.array(sorted(post[k]), np.int64).reshape(-1, 4)
             start = np.searchsorted(rows[:, 0], np.arange(len(self.grams[k]) + 1))
-            self.posts.append((start, rows[:, 1], rows[:, 2]))
+            self.posts.append((start, rows[:, 1], rows[:, 2], rows[:, 3]))
 
-    def passages(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """``(item, from, to)``: parts of a document that hold seeds of an item on near diagonals."""
+    def passages(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
+        """``(item, from, to)``: parts of a document that hold grams of an item on near diagonals and can reach ``threshold``."""
         found = []
-        for k, (start, item, place) in zip(self.lengths, self.posts or [], strict=True):
+        for k, (start, item, place, rare) in zip(self.lengths, self.posts or [], strict=True):
             at, no = self.hits(ids, k)
             many = start[no + 1] - start[no]
             if not many.sum():
                 continue
             rows = np.repeat(start[no], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            found.append(np.stack([item[rows], np.repeat(at, many) - place[rows]], axis=1))
+            found.append(np.stack([item[rows], np.repeat(at, many) - place[rows], rare[rows]], axis=1))
         if not found:
             return []
         hits = np.unique(np.concatenate(found), axis=0)
@@ -125,11 +132,30 @@ class Items:
         new[1:] = (hits[1:, 0] != hits[:-1, 0]) | (np.diff(hits[:, 1]) > size[1:] // 2)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(hits)) - 1
-        out = []
-        for a, b in zip(first.tolist(), last.tolist(), strict=True):
-            i, m = int(hits[a, 0]), int(size[a])
-            slack = m // 4 + 2
-            out.append((i, max(0, int(hits[a, 1]) - slack), min(len(ids), int(hits[b, 1]) + m + slack)))
+        item, m = hits[first, 0], size[first]
+        slack = m // 4 + 2
+        a, b = np.maximum(0, hits[first, 1] - slack), np.minimum(len(ids), hits[last, 1] + m + slack)
+        ok = np.maximum.reduceat(hits[:, 2], first) > 0
+        common = np.flatnonzero(~ok)
+        ok[common] = self.most_matches(ids, item[common], a[common], b[common]) >= threshold * m[common]
+        return list(zip(item[ok].tolist(), a[ok].tolist(), b[ok].tolist(), strict=True))
+
+    def most_matches(self, ids: np.ndarray, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Words that item and passage share, repeats counted: no alignment can match more of them."""
+        out = np.zeros(len(item), np.int64)
+        whole = np.cumsum(b - a)
+        for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(whole // BOUND_WORDS)) + 1):
+            if not len(part):
+                continue
+            n = b[part] - a[part]
+            who = np.repeat(part, n)
+            word = ids[np.repeat(a[part] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            pairs, c = np.unique(who[word != 0].astype(np.uint64) << np.uint64(32) | word[word != 0], return_counts=True)
+            who = (pairs >> np.uint64(32)).astype(np.int64)
+            asked = item[who].astype(np.uint64) << np.uint64(32) | (pairs & np.uint64(0xFFFFFFFF))
+            own, of = self.bag
+            at = np.minimum(np.searchsorted(own, asked), len(own) - 1)
+            np.add.at(out, who, np.where(own[at] == asked, np.minimum(c, of[at]), 0))
         return out
 
 
@@ -171,12 +197,13 @@ def _align_all(items: Items, jobs: list[tuple[int, int, np.ndarray]]) -> list[tu
         for k, r in zip(some, align([(items.tokens[jobs[k][1]].astype(np.int64), jobs[k][2]) for k in some]), strict=True):
             out[k] = r
 
-    cells = 0
+    cells = wide = 0
     for k in order:
         m = len(items.tokens[jobs[k][1]])
-        if some and cells + m > JOB_CELLS // 8:
+        wide = max(wide, len(jobs[k][2]))
+        if some and (cells + m > JOB_CELLS // 8 or (len(some) + 1) * wide > JOB_CELLS):
             flush()
-            some, cells = [], 0
+            some, cells, wide = [], 0, len(jobs[k][2])
         some.append(k)
         cells += m
     if some:
@@ -220,7 +247,7 @@ def _add_block(docs: DataFrame, items: Items, text_col: str, hits_col: str, thre
         jobs, spans = [], []
         for r, text in enumerate(batch.column(at).to_pylist()):
             ids = own.doc_ids(text)
-            for i, a, b in own.passages(ids):
+            for i, a, b in own.passages(ids, threshold):
                 jobs.append((r, i, ids[a:b]))
                 spans.append(a)
         hits: list[list[dict]] = [[] for _ in range(batch.num_rows)]

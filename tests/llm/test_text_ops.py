@@ -172,6 +172,33 @@ def test_planted_copies_are_found_and_clean_texts_are_not(spark):
         decontaminate.BLOCK_BYTES = split
 
 
+def test_edited_copies_of_a_much_copied_item_are_found(spark):
+    """A copy counts whichever of its trigrams are intact, also if these are the item's commoner half."""
+    rng = random.Random(11)
+    item = [f"i{k}" for k in range(15)]
+    copies = [" ".join(w if rng.random() < 0.75 else f"x{rng.randrange(9999)}" for w in item) for _ in range(3000)]
+    number = {w.encode(): k + 1 for k, w in enumerate(item)}
+    trigram = lambda c: any(item[k:k + 3] == c[k:k + 3] for k in range(13))
+    want = set()
+    for d, c in enumerate(copies):
+        words = c.split()
+        if trigram(words) and smith_waterman(list(range(1, 16)), [number.get(w.encode(), 0) for w in words]) >= 15:
+            want.add(d)
+    docs = [(d, f"before {c} after") for d, c in enumerate(copies)] + [(9000 + i, "i0 i1 i2 and no more") for i in range(50)]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert len(want) > 1000 and {r.doc_id for r in got} == want
+
+
+def test_shared_words_bound_the_matches():
+    rng = np.random.default_rng(4)
+    items = decontaminate.Items.build([(i, " ".join(f"w{w}" for w in rng.integers(0, 9, 7))) for i in range(5)])
+    ids = items.doc_ids(" ".join(f"w{w}" for w in rng.integers(0, 12, 300)))
+    item, a = rng.integers(0, 5, 40), rng.integers(0, 280, 40)
+    b = a + rng.integers(0, 20, 40)
+    want = [sum(min(np.sum(items.tokens[i] == w), np.sum(ids[p:q] == w)) for w in set(items.tokens[i].tolist())) for i, p, q in zip(item, a, b, strict=True)]
+    assert items.most_matches(ids, item, a, b).tolist() == want
+
+
 def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "quick brown stone of the river"), (1, "quick brown stone of the river"), (None, "a row without an id")], "item_id long, text string")
     got = decontaminate.add_hits(odd_docs, bench)
