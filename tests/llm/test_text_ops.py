@@ -291,6 +291,23 @@ def test_battery_tells_random_tokens_from_words(spark):
     assert len(set(found) & set(keys)) >= 54 and not set(found) & {*words, *names}
 
 
+def test_few_keys_are_found_without_words_and_among_many_slugs(spark):
+    rng = random.Random(8)
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(5)]
+    slug = lambda i: f"the-release-note-of-the-{rng.choice(['river', 'stone', 'cloud'])}-page-{i:06d}"
+    name = lambda: "".join(rng.choice(["an", "er", "th", "re", "on", "ti", "es", "al"]) for _ in range(7)) + str(rng.randint(10, 99))
+
+    def found(texts):
+        rows = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        return {texts[r.doc_id][x.s:x.e] for r in rows for x in r.random}
+
+    assert all(found([f"a lone {k} here"]) == {k} for k in keys[:2])
+    slugs = [" ".join(slug(20 * i + j) for j in range(20)) for i in range(200)]
+    assert found([*slugs, *keys]) == set(keys)
+    names = [" ".join(name() for _ in range(20)) for _ in range(100)]
+    assert found([*names, keys[0]]) == {keys[0]}  # 2,000 names of 16 letters and digits, some pass by chance
+
+
 def test_secrets_use_no_python(odd_docs):
     plan = secret_scan.scan(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
