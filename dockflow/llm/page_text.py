@@ -7,8 +7,10 @@ page shares with a neighbour outside a marked article are template and go.
 
 Differencing alone can't tell a passage that two articles both quote from a
 template line, nor see a menu or advert that changes with each page. Structure
-settles these: lines inside ``article`` (else ``main``) stay, and lines inside
-menus, footers, asides, forms and the like go.
+settles these: lines inside ``article`` or ``main`` are no template, and lines
+inside menus, footers, asides, forms and the like go. Of what is left the articles
+stay alone unless ``main`` has more text beside them, and these stay alone unless
+the rest of the page has more, so that a small card doesn't displace the text.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.llm.base import map_batches, map_stream, settle
@@ -33,7 +35,8 @@ PARTS = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<""",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|\b(hidden)\b(?!\s*=\s*["']?until)""", re.I)
+#: Name and value of an attribute.
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 WORDS = re.compile(r"[^a-z0-9]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -51,10 +54,12 @@ def _aside(tag: str, attributes: str, level: int) -> bool:
     if not attributes or tag in HOLDERS - {"article"}:
         return False
     words = set()
-    for kind, *values, hidden in ATTRIBUTE.findall(attributes):
-        if hidden:
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        if name == "hidden" and not value.startswith("until"):
             return tag not in HOLDERS
-        words.update(WORDS.split("".join(values).lower()))
+        if name in ("class", "id", "role"):
+            words.update(WORDS.split(value))
     if tag == "article":
         return bool(words & {"comment", "comments"})
     return bool(words & MARKS)
@@ -240,20 +245,30 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     found = template_lines(page.select("key", "host", "path", "html"))
 
     def blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, hashes = [], []
+        texts, levels, hashes = [], [], []
         for p in batch.column("html").to_pylist():
             lines = [x for x in lines_of(p) if not x[2]]
-            top = max((level for _, level, _ in lines), default=0)
-            own = [t for t, level, _ in lines if level == top]
-            texts.append(own)
-            hashes.append([] if top else [xxhash.xxh64_intdigest(t) - (1 << 63) for t in own])
+            texts.append([t for t, _, _ in lines])
+            levels.append([level for _, level, _ in lines])
+            hashes.append([None if level else xxhash.xxh64_intdigest(t) - (1 << 63) for t, level, _ in lines])
         return pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), batch.column("key"), pa.array(texts, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))],
-            ["page_id", "url", "key", "blocks", "hashes"])
+            [batch.column("page_id"), batch.column("url"), batch.column("key"), pa.array(texts, pa.list_(pa.string())), pa.array(levels, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
+            ["page_id", "url", "key", "blocks", "levels", "hashes"])
 
     kind = dict(page.dtypes)["page_id"]
-    cut = map_batches(page.select("page_id", "url", "html", "key"), blocks, f"page_id {kind}, url string, key long, blocks array<string>, hashes array<long>")
+    cut = map_batches(page.select("page_id", "url", "html", "key"), blocks, f"page_id {kind}, url string, key long, blocks array<string>, levels array<int>, hashes array<long>")
     joined = cut.join(found, "key", "left")
-    kept = F.transform(F.filter(F.arrays_zip("blocks", "hashes"), lambda x: x["hashes"].isNull() | ~F.array_contains("shared", x["hashes"])), lambda x: x["blocks"])
-    text = F.array_join(F.when(F.col("shared").isNull(), F.col("blocks")).otherwise(kept), "\n")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    lines = F.arrays_zip("blocks", "levels", "hashes")
+    kept = F.when(F.col("shared").isNull(), lines).otherwise(F.filter(lines, lambda x: x["hashes"].isNull() | ~F.array_contains("shared", x["hashes"])))
+
+    def chars(level: int) -> Column:
+        return F.aggregate(F.filter("kept", lambda x: x["levels"] == level), F.lit(0), lambda n, x: n + F.length(x["blocks"]))
+
+    sized = joined.select("page_id", "url", kept.alias("kept")).select("*", F.array(*map(chars, range(3))).alias("held"))
+    rest, main, article = (F.col("held")[k] for k in range(3))
+    top = F.when((article > 0) & (article >= main), 2).otherwise(1)
+    least = F.when(rest > F.when(top == 2, article).otherwise(article + main), 0).otherwise(top)
+    least = F.when(article + main > 0, least).otherwise(0)
+    chosen = sized.select("page_id", "url", "kept", least.alias("least"))
+    text = F.array_join(F.transform(F.filter("kept", lambda x: x["levels"] >= F.col("least")), lambda x: x["blocks"]), "\n")
+    return chosen.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

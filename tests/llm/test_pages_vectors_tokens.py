@@ -144,6 +144,24 @@ def test_neighbours_lose_shared_lines_but_not_article_ones(spark):
     assert got[201].startswith("Site name") and got[300].startswith("Site name")
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<main><p>the long main text</p><p>goes on here</p><article>card</article></main>", "the long main text\ngoes on here\ncard"),
+    ("<div><p>the long plain text</p></div><article>card</article><nav>menu</nav>", "the long plain text\ncard"),
+    ("<main><p>by A</p><article>a long article's text</article></main><p>rest</p>", "a long article's text"),
+    ("<div style='overflow:hidden' aria-hidden=\"false\"><article><p>kept</p></article></div>", "kept"),
+    ("<div aria-hidden=false data-x='nav hidden'>kept</div><div class=x HIDDEN>gone</div><div hidden=''>gone</div><div hidden='until-found'>found</div>", "kept\nfound"),
+])
+def test_main_text_is_where_most_text_is(spark, page, want):
+    df = spark.createDataFrame([(1, "http://h.net/x", page)], "page_id long, url string, html string")
+    assert [r.text for r in page_text.main_text(df).collect()] == [want]
+
+
+def test_lines_shared_with_neighbours_dont_outweigh_an_article(spark):
+    rows = [(n, f"http://h.net/{n}", f"<div>a long unmarked menu that all pages of the host have</div><article>text {n}</article>") for n in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in page_text.main_text(df).collect()} == {n: f"text {n}" for n in range(4)}
+
+
 # --- Vectors ---------------------------------------------------------------
 
 def links_brute(rows, threshold):
