@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from dockflow.llm import url_templates
 from dockflow.llm.base import table
 from dockflow.llm.byte_bpe import round_trip
+from dockflow.llm.conversation_repair import repair
 from dockflow.llm.decontaminate import contaminated
 from dockflow.llm.page_text import main_text
 from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
+from dockflow.llm.sql import OP12_SQL, op13_sql
 from dockflow.llm.suffix_dedup import remove_repeats
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
 from dockflow.llm.url_templates import judge
+from dockflow.llm.vector_codes import vector_codes
 from dockflow.llm.vector_links import near_vectors
 from dockflow.session import scratch_path
 
@@ -78,6 +81,33 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(KINDS[:3]).cast("binary"), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` rows with the faults that the repair query is about, set by a checksum of ``conv_id:turn``."""
+    word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(word("conv_id"), F.lit(":"), word("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(word("text"), "[.!?]", "")).otherwise(word("text"))
+    role = F.when(kind == 4, F.lit("user")).otherwise(word("role"))
+    copies = F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))
+    return rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("_copy")).drop("_copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    done = repair(damaged(rows))
+    key = lambda df, name: df.withColumnRenamed("conv_id", name)
+    out = rows.select("conv_id").distinct()
+    out = out.join(key(done.summary(), "_a"), F.col("conv_id").eqNullSafe(F.col("_a")), "left")
+    out = out.join(key(done.digests(), "_b"), F.col("conv_id").eqNullSafe(F.col("_b")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,7 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery, pipeline)
+    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery, op12_conversation_repair, op13_orchard_codes, pipeline)
     return {f.__name__: f for f in found}
 
 
@@ -190,4 +220,4 @@ FROM placed JOIN judged ON judged.host = placed.host AND judged.t = placed.t
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are tested by brute force in tests/llm."""
-    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL}
+    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL, "op12_conversation_repair": OP12_SQL, "op13_orchard_codes": op13_sql()}
