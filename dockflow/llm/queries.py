@@ -14,9 +14,10 @@ from dockflow.llm.byte_bpe import round_trip
 from dockflow.llm.conversation_repair import repair
 from dockflow.llm.decontaminate import contaminated
 from dockflow.llm.page_text import main_text
+from dockflow.llm.phrase_automata import remove_passages
 from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
-from dockflow.llm.sql import OP12_SQL, op13_sql
+from dockflow.llm.sql import OP11_SQL, OP12_SQL, op13_sql
 from dockflow.llm.suffix_dedup import remove_repeats
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
@@ -81,6 +82,12 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(KINDS[:3]).cast("binary"), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
 
 
+def op11_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_passages(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed")
+    return cut.select("doc_id", "n_words", removed, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """``conversations`` rows with the faults that the repair query is about, set by a checksum of ``conv_id:turn``."""
     word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -115,7 +122,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery, op12_conversation_repair, op13_orchard_codes, pipeline)
+    found = (op1_url_templates, op2_token_files, op3_suffix_dedup, op4_page_difference, op5_embedding_dups, op6_toxicity, op7_decontaminate, op8_byte_bpe, op9_simhash, op10_secret_battery, op11_phrase_automata, op12_conversation_repair, op13_orchard_codes, pipeline)
     return {f.__name__: f for f in found}
 
 
@@ -220,4 +227,4 @@ FROM placed JOIN judged ON judged.host = placed.host AND judged.t = placed.t
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are tested by brute force in tests/llm."""
-    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL, "op12_conversation_repair": OP12_SQL, "op13_orchard_codes": op13_sql()}
+    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL, "op11_phrase_automata": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_orchard_codes": op13_sql()}

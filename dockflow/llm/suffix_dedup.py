@@ -27,32 +27,26 @@ steps 2 and 4 read it where it lies. Digests have 64 bits (windows dealt by dige
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import grouped, id_text, map_batches, map_stream, settle, text_bytes
-from dockflow.session import scratch_path
+from dockflow.llm.base import grouped, id_text, map_batches, map_stream, settle
+from dockflow.llm.chunks import LAST, batch_of, chunk_table, each_chunk, from_planes, ids_of, mix, pack, planes, spread, texts_of, unpack
 
 MATCH = 50
 GRAM = 20
 SPAN = MATCH - GRAM + 1
-#: Bytes of a chunk of documents (a longer document is one), and positions handled at once.
-CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 8192
+#: Positions handled at once.
 BLOCK_BITS = 20
 PIECE = 1 << 19
 #: Documents of an anchor from which its windows are dealt by digest.
 HOT_DOCS = 1024
 SAMPLES = 64
-LAST = np.int64((1 << 63) - 1)
-C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
 def _words(data: bytes) -> np.ndarray:
@@ -61,15 +55,6 @@ def _words(data: bytes) -> np.ndarray:
     return np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
 
 
-def _mix(words: list[np.ndarray], salt: int = 0) -> np.ndarray:
-    h = np.full(len(words[0]), C[salt], np.uint64)
-    for w in words:
-        h = (h ^ w) * C[(salt + 1) % 4]
-        h ^= h >> np.uint64(29)
-    h *= C[(salt + 2) % 4]
-    return h ^ (h >> np.uint64(32))
-
-
 @dataclass
 class Records:
     """Runs of windows with one anchor, in one block of text."""
@@ -89,7 +74,7 @@ class Records:
         """One hash for a record's bytes and its anchor's place; words from both ends cover all bytes."""
         end = self.at + self.count + MATCH - 1
         some = [self.words[self.at + k] for k in (0, 8, 16, 24, 32, 40, MATCH - 8)] + [self.words[end - k] for k in (8, 16, 24, 32)]
-        return _mix([*some, (self.count * 64 + self.anchor - self.at).astype(np.uint64)], 1)
+        return mix([*some, (self.count * 64 + self.anchor - self.at).astype(np.uint64)], 1)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Record number and place of each window."""
@@ -99,7 +84,7 @@ class Records:
 
 def window_digests(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     some = [words[at + k] for k in (0, 8, 16, 24, 32, 40, MATCH - 8)]
-    return _mix(some, 2), _mix(some, 3)
+    return mix(some, 2), mix(some, 3)
 
 
 def _least_owner(key: np.ndarray) -> np.ndarray:
@@ -132,7 +117,7 @@ def _block(pieces: list[tuple[int, int]], texts: list[bytes]) -> Records:
     starts = np.cumsum(sizes) - sizes
     n = int(sizes.sum())
     words = _words(b"".join(parts))
-    gram = _mix([words[:n], words[8:n + 8], words[np.minimum(np.arange(GRAM - 8, n + GRAM - 8), n + 8)]])
+    gram = mix([words[:n], words[8:n + 8], words[np.minimum(np.arange(GRAM - 8, n + GRAM - 8), n + 8)]])
     place = np.arange(n, dtype=np.uint64)
     low = np.uint64((1 << BLOCK_BITS) - 1)
     best = _least_owner((gram & ~low) | place)
@@ -149,95 +134,6 @@ def _block(pieces: list[tuple[int, int]], texts: list[bytes]) -> Records:
     return Records(words, numbers[own], ok[first], count, owner[first], gram[owner[first]], shift[own])
 
 
-# Arrays travel as zstandard frames; sorted hashes as the byte planes of their differences.
-
-def _pack(*arrays: np.ndarray | bytes) -> bytes:
-    parts = [x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes() for x in arrays]
-    head = np.array([len(parts), *map(len, parts)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(parts))
-
-
-def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    sizes = np.frombuffer(raw, "<i8", n, 8)
-    at, out = 8 * (n + 1), []
-    for size, kind in zip(sizes.tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw, np.dtype(kind), size // np.dtype(kind).itemsize, at))
-        at += size
-    return out
-
-
-def _planes(values: np.ndarray) -> np.ndarray:
-    gaps = np.diff(values, prepend=np.uint64(0)) if len(values) else values
-    return np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-
-
-def _from_planes(planes: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
-
-
-def _ids(cell: list) -> np.ndarray:
-    """Ids as they are ordered: null ones after all others."""
-    return np.array([LAST if x is None else x for x in cell], np.int64)
-
-
-def _texts(row_sizes: list[int], data: bytes) -> list[bytes]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    ends = np.cumsum(row_sizes).tolist()
-    return [raw[e - n:e] for n, e in zip(row_sizes, ends, strict=True)]
-
-
-CHUNK_SCHEMA = "chunk long, ids array<long>, sizes array<int>, data binary"
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
-    ids: list[int | None] = []
-    texts: list[bytes] = []
-    size = 0
-
-    def flush() -> pa.RecordBatch:
-        data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-        cells = [([number], pa.int64()), ([ids], pa.list_(pa.int64())), ([[len(t) for t in texts]], pa.list_(pa.int32())), ([data], pa.binary())]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in cells], ["chunk", "ids", "sizes", "data"])
-
-    for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-            if ids and (size + len(text) > CHUNK_BYTES or len(ids) >= CHUNK_DOCS):
-                yield flush()
-                number, ids, texts, size = number + 1, [], [], 0
-            ids.append(doc)
-            texts.append(text)
-            size += len(text)
-    if ids:
-        yield flush()
-
-
-def _chunk_table(docs: DataFrame, buckets: int) -> tuple[str, DataFrame]:
-    """The documents in compressed chunks, in an external table bucketed by chunk."""
-    spark = docs.sparkSession
-    name = f"dockflow_chunks_{os.urandom(6).hex()}"
-    rows = map_stream(docs, _chunks, CHUNK_SCHEMA)
-    rows.write.bucketBy(buckets, "chunk").option("path", scratch_path(spark, "chunks")).option("compression", "uncompressed").saveAsTable(name)
-    return name, spark.table(name)
-
-
-def _each_chunk(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[bytes], list]]:
-    for i in range(batch.num_rows):
-        row = [batch.column(c)[i].as_py() for c in range(batch.num_columns)]
-        yield row[0], _ids(row[1]), _texts(row[2], row[3]), row[4:]
-
-
-def _rows(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
-
-
-def _spread(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets of equal ranges of hashes."""
-    return ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
 def _lead(r: Records) -> tuple[np.ndarray, np.ndarray]:
     """The 16 leading bytes of the suffix at the anchor as two numbers in the order of bytes."""
     return r.words[r.anchor].byteswap(), r.words[r.anchor + 8].byteswap()
@@ -259,7 +155,7 @@ def _anchor_rows(buckets: int):
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for chunk, _, texts, _ in _each_chunk(batch):
+        for chunk, _, texts, _ in each_chunk(batch):
             grams, docs, leads = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty((2, 0), np.uint64)]
             for r in records(texts):
                 grams.append(r.gram)
@@ -269,7 +165,7 @@ def _anchor_rows(buckets: int):
             if not len(g):
                 continue
             some = np.argsort(g)[:: max(1, len(g) // SAMPLES)]
-            out.append((-1 - chunk % 64, chunk, _pack(lead[0, some], lead[1, some])))
+            out.append((-1 - chunk % 64, chunk, pack(lead[0, some], lead[1, some])))
             order = np.lexsort((d, g))
             g, d = g[order], d[order]
             new = np.ones(len(g), bool)
@@ -279,11 +175,11 @@ def _anchor_rows(buckets: int):
             first = np.flatnonzero(new)
             count = np.minimum(np.add.reduceat(pair.astype(np.int64), first), 65535).astype("<u2")
             own = g[first]
-            to = _spread(own, buckets)
+            to = spread(own, buckets)
             cut = np.flatnonzero(np.diff(to, prepend=-1))
             for a, b in zip(cut, np.append(cut[1:], len(own)), strict=True):
-                out.append((int(to[a]), chunk, _pack(_planes(own[a:b]), count[a:b])))
-        return _rows(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
+                out.append((int(to[a]), chunk, pack(planes(own[a:b]), count[a:b])))
+        return batch_of(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
 
     return run
 
@@ -295,12 +191,12 @@ def _shared_anchors(hot_docs: int):
         for (bucket,), t in grouped(batches, ["bucket"]):
             chunks, payloads = t.column("chunk").to_numpy(), t.column("payload").to_pylist()
             if bucket < 0:  # the sample of leading bytes
-                yield _rows(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], [(bucket, c, p) for c, p in zip(chunks.tolist(), payloads, strict=True)])
+                yield batch_of(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], [(bucket, c, p) for c, p in zip(chunks.tolist(), payloads, strict=True)])
                 continue
             grams, counts = [], []
             for p in payloads:
-                planes, count = _unpack(p, "u1", "<u2")
-                grams.append(_from_planes(planes))
+                gaps, count = unpack(p, "u1", "<u2")
+                grams.append(from_planes(gaps))
                 counts.append(count)
             size = [len(g) for g in grams]
             g, n = np.concatenate(grams), np.concatenate(counts).astype(np.int64)
@@ -314,10 +210,10 @@ def _shared_anchors(hot_docs: int):
                 many = docs[at:at + k]
                 keep = many > 1
                 if keep.any():
-                    out.append((bucket, c, _pack(_planes(own[keep]), (many[keep] >= hot_docs).astype(np.uint8))))
+                    out.append((bucket, c, pack(planes(own[keep]), (many[keep] >= hot_docs).astype(np.uint8))))
                 at += k
             if out:
-                yield _rows(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
+                yield batch_of(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
 
     return run
 
@@ -327,9 +223,9 @@ def _record_rows(splitters: np.ndarray, buckets: int):
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for chunk, ids, texts, (told,) in _each_chunk(batch):
-            known = [_unpack(p, "u1", "u1") for p in told]
-            shared = np.concatenate([_from_planes(p) for p, _ in known])
+        for chunk, ids, texts, (told,) in each_chunk(batch):
+            known = [unpack(p, "u1", "u1") for p in told]
+            shared = np.concatenate([from_planes(p) for p, _ in known])
             hot = np.concatenate([h for _, h in known])
             order = np.argsort(shared)
             shared, hot = shared[order], hot[order]
@@ -368,7 +264,7 @@ def _record_rows(splitters: np.ndarray, buckets: int):
                         length.append(n)
                         off.append(int(r.anchor[i]) - s)
                         text.append(buffers[block[k]][s:s + n + MATCH - 1])
-                    out.append((int(to_first[a]), chunk, _pack(np.array(length, np.uint8), np.array(off, np.uint8), low[a:b], high[a:b], b"".join(text))))
+                    out.append((int(to_first[a]), chunk, pack(np.array(length, np.uint8), np.array(off, np.uint8), low[a:b], high[a:b], b"".join(text))))
             if wins:
                 one, two, doc, gram = (np.concatenate([w[k] for w in wins]) for k in range(4))
                 order = np.lexsort((doc, two, one))
@@ -378,12 +274,12 @@ def _record_rows(splitters: np.ndarray, buckets: int):
                 first = np.flatnonzero(new)
                 low, high = doc[first], doc[np.append(first[1:], len(one)) - 1]
                 one, two, gram = one[first], two[first], gram[first]
-                to = _spread(one, buckets)
+                to = spread(one, buckets)
                 cut = np.flatnonzero(np.diff(to, prepend=-1))
                 for a, b in zip(cut, np.append(cut[1:], len(one)), strict=True):
                     s = slice(a, b)
-                    out.append((buckets + int(to[a]), chunk, _pack(_planes(one[s]), two[s], low[s], high[s], gram[s])))
-        return _rows(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
+                    out.append((buckets + int(to[a]), chunk, pack(planes(one[s]), two[s], low[s], high[s], gram[s])))
+        return batch_of(["bucket", "chunk", "payload"], [pa.int64(), pa.int64(), pa.binary()], out)
 
     return run
 
@@ -418,7 +314,7 @@ def _bucket_answers(buckets: int):
         chunks = t.column("chunk").to_pylist()
         count, off, low, high, texts = [], [], [], [], []
         for p in t.column("payload").to_pylist():
-            a, b, c, d, e = _unpack(p, "u1", "u1", "<i8", "<i8", "u1")
+            a, b, c, d, e = unpack(p, "u1", "u1", "<i8", "<i8", "u1")
             count.append(a)
             off.append(b)
             low.append(c)
@@ -460,12 +356,12 @@ def _bucket_answers(buckets: int):
         cut = np.flatnonzero(np.diff(src, prepend=-1))
         for a, b in zip(cut, np.append(cut[1:], len(head)), strict=True):
             h, e = head[a:b], tail[a:b]
-            out.append((chunks[src[a]], 0, _pack(digest[of[h]], k[h].astype(np.uint8), k[e].astype(np.uint8), value[h])))
+            out.append((chunks[src[a]], 0, pack(digest[of[h]], k[h].astype(np.uint8), k[e].astype(np.uint8), value[h])))
         return out
 
     def by_digest(t: pa.Table) -> list[tuple]:
-        chunks, cells = t.column("chunk").to_pylist(), [_unpack(p, "u1", "<u8", "<i8", "<i8", "<u8") for p in t.column("payload").to_pylist()]
-        one = np.concatenate([_from_planes(c[0]) for c in cells])
+        chunks, cells = t.column("chunk").to_pylist(), [unpack(p, "u1", "<u8", "<i8", "<i8", "<u8") for p in t.column("payload").to_pylist()]
+        one = np.concatenate([from_planes(c[0]) for c in cells])
         two, low, high, gram = (np.concatenate([c[k] for c in cells]) for k in (1, 2, 3, 4))
         order = np.lexsort((two, one))
         a, b = one[order], two[order]
@@ -480,7 +376,7 @@ def _bucket_answers(buckets: int):
             s = slice(at, at + len(c[1]))
             keep = best[s] < high[s]
             if keep.any():
-                out.append((chunk, 1, _pack(one[s][keep], two[s][keep], best[s][keep], np.unique(gram[s][keep]))))
+                out.append((chunk, 1, pack(one[s][keep], two[s][keep], best[s][keep], np.unique(gram[s][keep]))))
             at += len(c[1])
         return out
 
@@ -488,15 +384,15 @@ def _bucket_answers(buckets: int):
         for (bucket,), t in grouped(batches, ["bucket"]):
             rows = by_bytes(t) if bucket < buckets else by_digest(t)
             if rows:
-                yield _rows(["chunk", "kind", "payload"], [pa.int64(), pa.int32(), pa.binary()], rows)
+                yield batch_of(["chunk", "kind", "payload"], [pa.int64(), pa.int32(), pa.binary()], rows)
 
     return run
 
 
 def _intervals(ids: np.ndarray, texts: list[bytes], told: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document number, start and end of each run of windows that starts in a smaller id too."""
-    cells = [_unpack(x["payload"], "<u8", "u1", "u1", "<i8") for x in told if x["kind"] == 0]
-    wins = [_unpack(x["payload"], "<u8", "<u8", "<i8", "<u8") for x in told if x["kind"] == 1]
+    cells = [unpack(x["payload"], "<u8", "u1", "u1", "<i8") for x in told if x["kind"] == 0]
+    wins = [unpack(x["payload"], "<u8", "<u8", "<i8", "<u8") for x in told if x["kind"] == 1]
     digest, since, until, least = (np.concatenate([c[k] for c in cells]) if cells else np.empty(0, np.uint64 if not k else np.int64) for k in range(4))
     order = np.argsort(digest, kind="stable")
     digest, since, until, least = digest[order], since[order].astype(np.int64), until[order].astype(np.int64), least[order]
@@ -545,8 +441,8 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
     ids, spans, kept, sizes = [], [], [], []
     for i in range(batch.num_rows):
         _, own, lengths, data, told = (batch.column(c)[i].as_py() for c in range(5))
-        texts = _texts(lengths, data)
-        doc, start, end = _intervals(_ids(own), texts, told or [])
+        texts = texts_of(lengths, data)
+        doc, start, end = _intervals(ids_of(own), texts, told or [])
         order = np.lexsort((start, doc))
         doc, start, end = doc[order], start[order], end[order]
         at = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -570,7 +466,7 @@ def _splitters(sample: DataFrame, buckets: int) -> np.ndarray:
     """Quantiles of the leading bytes of sampled anchors, from at most ``SAMPLES`` for each bucket."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cells = [_unpack(p, "<u8", "<u8") for p in batch.column(0).to_pylist()]
+        cells = [unpack(p, "<u8", "<u8") for p in batch.column(0).to_pylist()]
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([c[k] for c in cells]).view(np.int64)) for k in (0, 1)], ["one", "two"])
 
     some = map_batches(sample.select("payload"), run, "one long, two long").orderBy(F.xxhash64("one", "two"), "one", "two").limit(SAMPLES * buckets).toPandas()
@@ -592,7 +488,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     buckets = max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = "bucket long, chunk long, payload binary"
-    name, chunks = _chunk_table(id_text(docs, id_col, text_col), buckets // 2)
+    chunks = chunk_table(id_text(docs, id_col, text_col), buckets // 2)
     anchors = map_batches(chunks, _anchor_rows(buckets), parts)
     dealt = anchors.repartition(buckets // 2, "bucket").sortWithinPartitions("bucket")
     told = settle(map_stream(dealt, _shared_anchors(hot_docs), parts), "shared-anchors")
