@@ -155,7 +155,8 @@ def train_codebooks(rows: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
         return [], 0
     dims = len(least[0].x)
     rows = rows.where(F.size("x") == dims)
-    first = np.array([r.x for r in rows.orderBy(*order).limit(entries).collect()], np.int64).reshape(-1, dims)
+    first = rows.orderBy(*order).limit(entries).collect()
+    first = np.array([r.x for r in first], np.int64).reshape(len(first), dims)
     edges = edges_of(dims, parts)
     books = [first[:, a:b].copy() for a, b in zip(edges, edges[1:])]
     for _ in range(rounds):
