@@ -383,7 +383,7 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(" "))
     own = rows.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit(" ")).alias("role"),
-        text.alias("text"), F.sha2(text, 256).alias("digest"))
+        text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
     own = settle(own.withColumn("uid", F.monotonically_increasing_id()), "turns")
     order = settle(_ordered(own), "turn-faults")
     head = F.min(F.struct("pos", *PLACE)).alias("head")
