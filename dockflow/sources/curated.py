@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow import schema
+from dockflow.sources import zone
 
 
 def write_trips(
@@ -40,12 +41,20 @@ def write_trips(
     writer.parquet(path)
 
 
-def read_trips(spark: SparkSession, path: str, months: Iterable[str] | None = None) -> DataFrame:
-    """Read curated trips; ``months`` (``yyyy-MM``) prunes partitions."""
-    df = spark.read.parquet(path)
-    if months is not None:
-        months = list(months)
-        df = df.filter(F.col(schema.PARTITION_COLUMN).isin(months))
+def read_trips(spark: SparkSession, path: str, months: Iterable[str] | DataFrame | None = None) -> DataFrame:
+    """Read curated trips, from a plain folder of months or a zone with a manifest.
+
+    ``months`` (``yyyy-MM``) prunes partitions: a list as a filter, a table with a
+    column ``trip_month`` as a semi-join, whose months Spark finds at run time and
+    then lists only their folders (dynamic partition pruning).
+    """
+    listed = None if months is None or isinstance(months, DataFrame) else list(months)
+    manifest = zone.read_manifest(spark, path)
+    df = spark.read.parquet(path) if manifest is None else zone.read_zone(spark, path, manifest, listed)
+    if listed is not None:
+        df = df.filter(F.col(schema.PARTITION_COLUMN).isin(listed))
+    if isinstance(months, DataFrame):
+        df = df.join(months.select(schema.PARTITION_COLUMN), schema.PARTITION_COLUMN, "left_semi").select(*df.columns)
     return df
 
 

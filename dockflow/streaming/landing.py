@@ -10,55 +10,39 @@ run resumes from its checkpoint.
 * :func:`land_trips`: raw-zone CSV -> cleaned trips in the curated zone. The
   result equals ``clean_trips`` over all files so far, in whatever order they
   arrived: a ride delivered again, in any month, keeps the row that batch
-  cleaning would keep, and only months that lose a row are rewritten.
+  cleaning would keep, and only month folders that lose a row are rewritten.
 
-Rides whose winning row fails a later rule are no trips, but they still win over
-other copies. Those rows are kept in a table beside the curated zone
-(``<curated>-rejected``).
+The curated zone has a manifest (:mod:`dockflow.sources.zone`): readers see a batch
+whole or not at all. A ride index in it (:mod:`dockflow.streaming.ride_index`) tells
+where each known ride lies. Rides whose winning row fails a later rule are no trips,
+but they still win over other copies; those rows are kept under ``rejected``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from dockflow import schema
 from dockflow.operators.clean import candidate_rides, derive_columns, passes, ride_winners
 from dockflow.operators.quality import default_rules
 from dockflow.session import settled
+from dockflow.sources import zone
 from dockflow.sources.archives import archive_lines, parse_trip_lines
 from dockflow.sources.curated import write_trips
 from dockflow.sources.raw_csv import CSV_FILES, write_raw_trips
+from dockflow.sources.zone import Manifest
+from dockflow.streaming import ride_index
 
 
 # Fixed schema of Spark's binaryFile source (streams need it declared).
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-#: The curated columns' types, so that a zone without a file yet can be read.
-CURATED_SCHEMA = (
-    "ride_id string, rideable_type string, started_at timestamp_ntz, ended_at timestamp_ntz, start_station_name string, "
-    "start_station_id string, end_station_name string, end_station_id string, start_lat double, start_lng double, end_lat double, "
-    "end_lng double, member_casual string, trip_duration_min double, trip_date date, trip_year int, hour int, day_of_week string, "
-    "is_weekend boolean, season string, time_of_day string, trip_distance_km double, route string, is_round_trip boolean, trip_month string"
-)
 ROW_COLUMNS = [*schema.RAW_COLUMNS, "trip_duration_min"]
-
-
-def _landed(spark: SparkSession, path: str, kind: StructType | str) -> DataFrame | None:
-    """The table at ``path`` if it is there yet (works on any Hadoop-compatible path)."""
-    try:
-        return spark.read.schema(kind).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+REJECTED = "rejected"
 
 
 def land_archives(
@@ -84,62 +68,83 @@ def land_archives(
     return files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def merge_trips(new_raw: DataFrame, curated_dir: str, *, tz: str | None = None) -> None:
+def merge_trips(new_raw: DataFrame, curated_dir: str, *, tz: str | None = None, index_buckets: int = ride_index.BUCKETS) -> None:
     """Bring the curated zone to what cleaning all files together would give, adding ``new_raw``.
 
-    The rows known so far for the rides of the batch (one column of the curated
-    zone is read to find them) and the batch's own compete by the order of
-    ``ride_winners``. New winners that pass the rules are appended; months that
-    hold a row which lost are rewritten without it. Running it again with the
-    same rows changes nothing, so a retried batch is harmless.
+    The rides of the batch are looked up in the zone's ride index, and only the
+    month folders that hold one are read. What is known for a ride and the batch's
+    own rows compete by the order of ``ride_winners``. New winners that pass the
+    rules go into new folders, together with what is left of folders that hold a
+    row which lost; winners that fail a rule are kept beside the zone, since they
+    beat other copies too. Readers see all of it at once, with the next manifest
+    version. Running it again with the same rows changes nothing, so a retried batch is harmless.
+    ``index_buckets``: for the zone's first batch, buckets of the ride index.
     """
     spark = new_raw.sparkSession
-    own = settled(ride_winners(candidate_rides(new_raw, tz=tz)).select(*ROW_COLUMNS), "landing-candidates")
-    rides = own.select("ride_id")
-    curated = _landed(spark, curated_dir, CURATED_SCHEMA)
-    refused = _landed(spark, _rejected(curated_dir), own.schema)
-    known = own.limit(0).withColumn("_month", F.lit(None).cast("string"))
-    if curated is not None:
-        known = known.unionByName(curated.select(*ROW_COLUMNS, F.col(schema.PARTITION_COLUMN).alias("_month")).join(rides, "ride_id", "left_semi"))
-    if refused is not None:
-        known = known.unionByName(refused.join(rides, "ride_id", "left_semi").withColumn("_month", F.lit(None).cast("string")))
-    known = settled(known, "landing-known")
-    winners = settled(ride_winners(known.drop("_month").unionByName(own)), "landing-winners")
+    before = zone.read_manifest(spark, curated_dir) or Manifest()
+    own = ride_winners(candidate_rides(new_raw, tz=tz)).select(*ROW_COLUMNS)
+    own = settled(own, "landing-candidates")
+    known = known_rows(spark, curated_dir, before, own)
+    rows = own.withColumns({"_new": F.lit(True), "_batch": F.lit(None).cast("string"), "_month": F.lit(None).cast("string")})
+    if known is not None:
+        rows = known.unionByName(rows)  # of equal rows the known one wins: false comes before true
+    changed = settled(ride_winners(rows).where("_new").select(*ROW_COLUMNS), "landing-changed")
+    if changed.isEmpty():
+        return
 
     ok = passes(default_rules())
-    trips, others = known.where("_month is not null"), known.where("_month is null")
-    beaten = settled(_without(trips, winners.where(ok)).select("ride_id", "_month"), "landing-beaten")
-    stays = trips.select("ride_id").join(beaten.select("ride_id"), "ride_id", "left_anti")
-    added = derive_columns(winners.where(ok).join(stays, "ride_id", "left_anti")).select(*schema.CURATED_COLUMNS)
-    added = settled(added, "landing-added")
-    months = [r[0] for r in beaten.select("_month").distinct().collect()]  # a handful
-    if months:
-        kept = curated.where(F.col(schema.PARTITION_COLUMN).isin(months)).join(beaten.select("ride_id"), "ride_id", "left_anti")
-        rewritten = settled(kept.select(*schema.CURATED_COLUMNS).unionByName(added.where(F.col(schema.PARTITION_COLUMN).isin(months))), "landing-months")
-        _replace_months(spark, rewritten, curated_dir, months)
-        added = added.where(~F.col(schema.PARTITION_COLUMN).isin(months))
-    if not added.isEmpty():
-        write_trips(added, curated_dir, mode="append")
-    _without(winners.where(~ok), others).write.mode("append").parquet(_rejected(curated_dir))
-
-
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """``rows`` that ``gone`` doesn't hold, nulls being equal."""
-    return rows.join(gone, reduce(and_, [rows[c].eqNullSafe(gone[c]) for c in ROW_COLUMNS]), "left_anti")
-
-
-def _rejected(curated_dir: str) -> str:
-    return f"{curated_dir.rstrip('/')}-rejected"
-
-
-def _replace_months(spark: SparkSession, rows: DataFrame, curated_dir: str, months: list[str]) -> None:
-    """Overwrite ``months`` with ``rows``; a month without a row left goes."""
-    write_trips(rows, curated_dir, dynamic_overwrite=True)
-    left = {r[0] for r in rows.select(schema.PARTITION_COLUMN).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    for month in set(months) - left:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{curated_dir.rstrip('/')}/{schema.PARTITION_COLUMN}={month}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    token = before.next_token()
+    trips = derive_columns(changed.where(ok)).select(*schema.CURATED_COLUMNS)
+    entries = {(k, b, m) for k, b, m in before.entries if k != ride_index.KIND}
+    if known is not None:
+        beaten = known.where("_month is not null").join(changed.select("ride_id"), "ride_id", "left_semi").select("ride_id", "_batch", "_month")
+        beaten = settled(beaten, "landing-beaten")
+        folders = [(r[0], r[1]) for r in beaten.select("_batch", "_month").distinct().collect()]  # month folders
+        if folders:
+            stay = zone.read_folders(spark, curated_dir, folders).join(beaten.select("ride_id"), "ride_id", "left_anti")
+            trips = stay.select(*schema.CURATED_COLUMNS).unionByName(trips)
+            entries -= {(zone.DATA, b, m) for b, m in folders}
+    write_trips(trips, zone.folder(curated_dir, token))
+    months = zone.written_months(spark, curated_dir, token)
+    entries |= {(zone.DATA, token, m) for m in months}
+    refused = changed.where(~ok)
+    refused.write.mode("overwrite").parquet(_rejected(curated_dir, token))
+    if not refused.isEmpty():
+        entries.add((REJECTED, token, None))
+
+    lies = zone.read_folders(spark, curated_dir, [(token, m) for m in months]).select("ride_id", "batch", F.col(schema.PARTITION_COLUMN).alias("month"))
+    lies = lies.unionByName(refused.select("ride_id", F.lit(token).alias("batch"), F.lit(None).cast("string").alias("month")))
+    entries |= set(ride_index.append(spark, curated_dir, before, token, lies, index_buckets))
+    zone.commit(spark, curated_dir, before, entries)
+
+
+def known_rows(spark: SparkSession, curated_dir: str, manifest: Manifest, rides: DataFrame) -> DataFrame | None:
+    """What the zone holds for ``rides``: ``ROW_COLUMNS``, ``_new`` (false), ``_batch``, ``_month`` (null: refused by a rule).
+
+    The index tells the folders; only their partitions are read, and joined with
+    the places found, which Spark broadcasts if they are few.
+    """
+    found = ride_index.look_up(spark, curated_dir, manifest, rides)
+    if found is None:
+        return None
+    found = settled(found, "landing-known-places")
+    places = [(r.batch, r.month) for r in found.select("batch", "month").distinct().collect()]  # folders
+    live, refused = [(b, m) for b, m in places if m is not None], sorted(b for b, m in places if m is None)
+    place = found.select("ride_id", "batch", F.col("month").alias(schema.PARTITION_COLUMN))
+    trips = zone.read_folders(spark, curated_dir, live).where(F.col(schema.PARTITION_COLUMN).isin(sorted({m for _, m in live})))
+    trips = trips.join(place, ["ride_id", "batch", schema.PARTITION_COLUMN], "left_semi")
+    known = trips.select(*ROW_COLUMNS, F.lit(False).alias("_new"), F.col("batch").alias("_batch"), F.col(schema.PARTITION_COLUMN).alias("_month"))
+    if refused:
+        kind = StructType([*rides.select(*ROW_COLUMNS).schema.fields, StructField("batch", StringType())])
+        base = f"{curated_dir.rstrip('/')}/{REJECTED}"
+        rows = spark.read.schema(kind).option("basePath", base).parquet(*[_rejected(curated_dir, b) for b in refused])
+        rows = rows.join(found.where("month is null").select("ride_id", "batch"), ["ride_id", "batch"], "left_semi")
+        known = known.unionByName(rows.select(*ROW_COLUMNS, F.lit(False).alias("_new"), F.col("batch").alias("_batch"), F.lit(None).cast("string").alias("_month")))
+    return settled(known, "landing-known")
+
+
+def _rejected(curated_dir: str, batch: str) -> str:
+    return f"{curated_dir.rstrip('/')}/{REJECTED}/batch={batch}"
 
 
 def land_trips(
@@ -207,7 +212,7 @@ def land_new_files_batch(
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", file_glob).option("recursiveFileLookup", True).load(raw_dir)
     files = listing.select(F.col("path").alias("_file"))
-    done = _landed(spark, manifest_dir, "_file string")
+    done = zone.landed(spark, manifest_dir, "_file string")
     if done is not None:
         files = files.join(done, "_file", "left_anti")
     paths = [r[0] for r in files.collect()]  # the listing of one run's new files
