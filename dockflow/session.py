@@ -60,6 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or path
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from any folder.
+
+    On a cluster the package is installed or passed with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder for an intermediate table."""
     base = ensure_checkpoint_dir(spark)

@@ -1,93 +1,63 @@
 """Monthly ZIP archives -> raw trip rows, as a Spark job.
 
-Each archive is one row of the ``binaryFile`` source, so archives are spread
-over tasks (one archive is expanded by exactly one task, never the driver).
-The per-archive Python step only inflates its CSV member in blocks of a fixed
-size; lines are split and parsed (``from_csv`` with the declared raw schema) in
-the JVM. Member choice: the first file ending in ``.csv`` (any case) that is no
-macOS by-product; an archive without one fails the job with its path in the
-message. Quoted fields spanning lines are not
-supported (trip files have none).
-
-Memory: ``binaryFile`` packs whole files into read partitions of about
-``spark.sql.files.maxPartitionBytes``, so one task holds at most that much
-archive data (or one archive, if larger); a single archive must stay under
-2 GB, the size limit of one binary value.
+Archives are read through the ``trip_archives`` data source
+(:mod:`dockflow.sources.archive_source`): one partition an archive, inflated block by
+block from where it lies, so its size doesn't matter. Paths that only Hadoop opens go
+through ``binaryFile`` instead, where an archive is one value of at most 2 GB. Lines
+are split and parsed (``from_csv`` with the declared raw schema) in the JVM. Member
+choice: the first file ending in ``.csv`` (any case) that is no macOS by-product; an
+archive without one fails the job with its path in the message. Quoted fields
+spanning lines are not supported (trip files have none).
 """
 
 from __future__ import annotations
 
 import io
-import zipfile
 from collections.abc import Iterator
 from functools import partial
-from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow import schema
+from dockflow.session import ship
+from dockflow.sources.archive_source import BLOCK_SCHEMA, TripArchives, can_open, pick_csv_member, text_blocks
 
-BLOCK_SCHEMA = "archive string, member string, first_line long, text string"
-BLOCK_BYTES = 4 << 20
+__all__ = ["archive_lines", "parse_trip_lines", "pick_csv_member", "read_archived_trips", "write_archived_trips"]
 
 
-def is_trip_file(entry: zipfile.ZipInfo) -> bool:
-    """A CSV file that is no macOS by-product: those lie in a ``__MACOSX`` folder or are ``._`` files."""
-    path = PurePosixPath(entry.filename)
-    return not entry.is_dir() and path.suffix.lower() == ".csv" and "__MACOSX" not in path.parent.parts and not path.name.startswith("._")
+def _blocks(batches: Iterator[pa.RecordBatch], expected_header: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Blocks of the archives in ``binaryFile`` rows."""
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            yield from text_blocks(path, io.BytesIO(content), expected_header)
 
 
-def pick_csv_member(entries: list[zipfile.ZipInfo]) -> zipfile.ZipInfo | None:
-    """The first trip file of an archive."""
-    return next(filter(is_trip_file, entries), None)
+def _source(spark: SparkSession) -> None:
+    ship(spark)
+    spark.dataSource.register(TripArchives)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], expected_header: str | None = None) -> Iterator[pa.RecordBatch]:
-    """Inflated text in blocks of about ``BLOCK_BYTES``, cut after a line end."""
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                member = pick_csv_member(zf.infolist())
-                if member is None:
-                    raise ValueError(f"no CSV member inside {path}")
-                name, line, rest = PurePosixPath(member.filename).name, 0, b""
-                with zf.open(member) as fh:
-                    while data := fh.read(BLOCK_BYTES):
-                        data = rest + data
-                        cut = data.rfind(b"\n") + 1
-                        block, rest = data[:cut], data[cut:]
-                        if block:
-                            _check_header(block, line, path, expected_header)
-                            yield _block(path, name, line, block)
-                            line += block.count(b"\n")
-                if rest:
-                    _check_header(rest, line, path, expected_header)
-                    yield _block(path, name, line, rest)
-
-
-def _check_header(block: bytes, line: int, path: str, expected: str | None) -> None:
-    if line == 0 and expected is not None:
-        first = block.split(b"\n", 1)[0].rstrip(b"\r").decode(errors="replace")
-        if first.lstrip("\ufeff") != expected:
-            raise ValueError(f"unexpected CSV header in {path}: {first[:200]!r}")
-
-
-def _block(path: str, member: str, line: int, block: bytes) -> pa.RecordBatch:
-    text = block.removesuffix(b"\n").decode(errors="replace")
-    return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([member]), pa.array([line]), pa.array([text])], ["archive", "member", "first_line", "text"])
+def _header(check: bool) -> str | None:
+    return ",".join(schema.RAW_COLUMNS) if check else None
+
+
+def archive_blocks(spark: SparkSession, paths: list[str], check_header: bool = False) -> DataFrame:
+    """Text blocks of the archives at ``paths``, one partition each."""
+    _source(spark)
+    reader = spark.read.format("trip_archives").option("paths", "\n".join(paths))
+    return (reader.option("header", _header(True)) if check_header else reader).load()
 
 
 def archive_lines(files: DataFrame, check_header: bool = False) -> DataFrame:
-    """``binaryFile`` rows (``path``, ``content``) -> one row per CSV line: ``archive, member, line_no, line``.
+    """``binaryFile`` rows (``path``, ``content``) -> :func:`block_lines`."""
+    ship(files.sparkSession)
+    return block_lines(files.select("path", "content").mapInArrow(partial(_blocks, expected_header=_header(check_header)), BLOCK_SCHEMA))
 
-    Python inflates the archive and hands on text blocks; lines are split in
-    the JVM. With ``check_header`` a member whose first line is not the raw
-    schema's column list fails the job.
-    """
-    expected = ",".join(schema.RAW_COLUMNS) if check_header else None
-    blocks = files.select("path", "content").mapInArrow(partial(_blocks, expected_header=expected), BLOCK_SCHEMA)
+
+def block_lines(blocks: DataFrame) -> DataFrame:
+    """Text blocks -> one row per CSV line: ``archive, member, line_no, line``; lines are split in the JVM."""
     lines = blocks.select("archive", "member", "first_line", F.posexplode(F.split("text", "\r?\n", -1)).alias("_at", "line"))
     return lines.select("archive", "member", (F.col("first_line") + F.col("_at")).alias("line_no"), F.rtrim(F.col("line"), F.lit("\r")).alias("line"))
 
@@ -108,6 +78,23 @@ def parse_trip_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_archived_trips(spark: SparkSession, path: str, check_header: bool = False) -> DataFrame:
-    """Raw trips straight from a folder (or glob) of ZIP archives."""
+    """Raw trips straight from a folder (or glob) of ZIP archives.
+
+    With ``check_header`` a member whose first line is not the raw schema's column
+    list fails the job.
+    """
+    if can_open(path):
+        _source(spark)
+        reader = spark.read.format("trip_archives")
+        blocks = (reader.option("header", _header(True)) if check_header else reader).load(path)
+        return parse_trip_lines(block_lines(blocks))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     return parse_trip_lines(archive_lines(files, check_header=check_header))
+
+
+def write_archived_trips(raw: DataFrame, path: str) -> None:
+    """Raw rows as ZIP archives of CSV files with header, one for each partition of ``raw``."""
+    _source(raw.sparkSession)
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = raw.select(F.to_csv(F.struct(*schema.RAW_COLUMNS), options).alias("line"))
+    lines.write.format("trip_archives").mode("append").option("header", _header(True)).save(path)

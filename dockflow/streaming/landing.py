@@ -20,6 +20,8 @@ but they still win over other copies; those rows are kept under ``rejected``.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,7 +32,8 @@ from dockflow.operators.clean import candidate_rides, derive_columns, passes, ri
 from dockflow.operators.quality import default_rules
 from dockflow.session import settled
 from dockflow.sources import zone
-from dockflow.sources.archives import archive_lines, parse_trip_lines
+from dockflow.sources.archive_source import can_open
+from dockflow.sources.archives import archive_blocks, archive_lines, block_lines, parse_trip_lines
 from dockflow.sources.curated import write_trips
 from dockflow.sources.raw_csv import CSV_FILES, write_raw_trips
 from dockflow.sources.zone import Manifest
@@ -59,9 +62,17 @@ def land_archives(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(archive_dir)
+    streamed = can_open(archive_dir)  # by path: an archive of any size is read from where it lies
+    if streamed:
+        files = files.select("path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_trip_lines(archive_lines(batch, check_header=check_header)).select(*schema.RAW_COLUMNS)
+        if streamed:
+            paths = [unquote(r.path) for r in batch.collect()]  # one trigger's new files
+            lines = block_lines(archive_blocks(batch.sparkSession, paths, check_header=check_header))
+        else:
+            lines = archive_lines(batch, check_header=check_header)
+        rows = parse_trip_lines(lines).select(*schema.RAW_COLUMNS)
         # A retried batch writes the same folder again.
         write_raw_trips(rows, f"{raw_dir.rstrip('/')}/archives/batch-{batch_id:06d}")
 

@@ -199,3 +199,165 @@ def test_batch_landing_with_manifest(spark, tmp_dir):
     out = read_trips(spark, curated)
     assert out.count() == 6 and out.groupBy("ride_id").count().filter("count > 1").count() == 0
     assert spark.read.parquet(manifest).count() == 2
+
+
+class Sparse:
+    """A file whose stretches of zeros are holes."""
+
+    def __init__(self, path):
+        self.fh = open(path, "wb")
+
+    def write(self, data):
+        if len(data) > 4096 and not any(data):
+            self.fh.seek(len(data), os.SEEK_CUR)
+        else:
+            self.fh.write(data)
+        return len(data)
+
+    def __getattr__(self, name):
+        return getattr(self.fh, name)
+
+
+def test_an_archive_of_more_than_two_gigabytes(spark, mini_raw, tmp_dir):
+    out = Sparse(os.path.join(tmp_dir, "big.zip"))
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as zf:
+        with zf.open("photos.bin", "w", force_zip64=True) as fh:
+            for _ in range(140):
+                fh.write(bytes(16 << 20))
+        zf.writestr("202401-trips.csv", open(MINI_CSV).read())
+    out.close()
+    assert os.path.getsize(os.path.join(tmp_dir, "big.zip")) > 1 << 31
+    df = read_archived_trips(spark, tmp_dir, check_header=True)
+    assert df.rdd.getNumPartitions() == 1
+    assert sorted(map(tuple, df.select(*schema.RAW_COLUMNS).collect()), key=str) == sorted(map(tuple, mini_raw.collect()), key=str)
+    raw = os.path.join(tmp_dir, "raw")
+    run_to_completion(land_archives(spark, tmp_dir, raw, os.path.join(tmp_dir, "ck")), 300)
+    assert read_raw_trips(spark, raw, recursive=True).count() == 13
+
+
+def test_a_long_trip_file_comes_in_bounded_blocks(tmp_dir):
+    from dockflow.sources import archive_source
+
+    path = os.path.join(tmp_dir, "long.zip")
+    line = b"x" * 99 + b"\n"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf, zf.open("a.csv", "w") as fh:
+        for _ in range(300):
+            fh.write(line * 1000)
+    sizes, lines = [], 0
+    for batch in archive_source.ArchiveReader({"path": path}).read(archive_source.Archive(path)):
+        assert batch.column("first_line")[0].as_py() == lines
+        text = batch.column("text")[0].as_py()
+        sizes.append(len(text))
+        lines += text.count("\n") + 1
+    assert lines == 300_000 and max(sizes) <= archive_source.BLOCK_BYTES + 100 and len(sizes) > 5
+
+
+def test_archives_written_and_read_again(spark, mini_raw, tmp_dir):
+    from dockflow.sources.archives import write_archived_trips
+
+    path = os.path.join(tmp_dir, "zips")
+    write_archived_trips(mini_raw.repartition(3), path)
+    assert sorted(os.listdir(path)) == ["part-00000.zip", "part-00001.zip", "part-00002.zip"]
+    for where in (path, f"file://{path}", f"file:{path}", f"{path}/part-*.zip"):
+        df = read_archived_trips(spark, where, check_header=True)
+        assert sorted(map(tuple, df.select(*schema.RAW_COLUMNS).collect()), key=str) == sorted(map(tuple, mini_raw.collect()), key=str)
+    with pytest.raises(Exception, match="no archives at"):
+        read_archived_trips(spark, os.path.join(tmp_dir, "nowhere")).collect()
+
+
+def _batches(spark, tmp_dir):
+    """The deliveries as raw tables."""
+    out = []
+    for n, rows in enumerate(DELIVERIES):
+        path = os.path.join(tmp_dir, f"delivery-{n}.csv")
+        with open(path, "w") as fh:
+            fh.write("\n".join([HEADER, *rows]) + "\n")
+        out.append(read_raw_trips(spark, path))
+    return out
+
+
+def test_a_batch_reads_its_rides_months_only(spark, tmp_dir, monkeypatch):
+    """The index is joined as it lies; of the zone only the month folders that hold a ride of the batch are read."""
+    from dockflow.sources import zone
+    from dockflow.streaming import landing
+
+    first, second, third = _batches(spark, tmp_dir)
+    curated = os.path.join(tmp_dir, "curated")
+    landing.merge_trips(third, curated)
+    landing.merge_trips(first, curated)
+    before = zone.read_manifest(spark, curated)
+    assert {m for _, m in before.of(zone.DATA)} == {"2024-01", "2024-02", "2024-03"} or {m for _, m in before.of(zone.DATA)} == {"2024-01", "2024-03"}
+    plans = {}
+    monkeypatch.setattr(landing, "settled", lambda df, name: plans.setdefault(name, df))
+    rides = spark.createDataFrame([("Z2",), ("new",)], "ride_id string")
+    own = first.limit(0).select(*schema.RAW_COLUMNS)
+    known = landing.known_rows(spark, curated, before, landing.ride_winners(landing.candidate_rides(own)).select(*landing.ROW_COLUMNS).unionByName(
+        rides.select("ride_id", *[landing.F.lit(None).cast(t).alias(c) for c, t in landing.ride_winners(landing.candidate_rides(own)).select(*landing.ROW_COLUMNS).dtypes[1:]])))
+    assert [(r.ride_id, r._month) for r in known.collect()] == [("Z2", "2024-01")]
+    text = plans["landing-known"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "(trip_month" in text and "2024-01" in text and "2024-03" not in text
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from dockflow.streaming import ride_index
+
+        look = ride_index.look_up(spark, curated, before, rides)
+        lines = look._jdf.queryExecution().sparkPlan().toString(), look._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in lines[1]
+        assert lines[1].count("Exchange hashpartitioning") == 1  # the rides asked for
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_writer_that_dies_leaves_the_zone_as_it_was(spark, tmp_dir, monkeypatch):
+    from dockflow.sources import zone
+    from dockflow.streaming import landing
+
+    batches = _batches(spark, tmp_dir)
+    curated = os.path.join(tmp_dir, "curated")
+    landing.merge_trips(batches[0], curated)
+    was = _rows(read_trips(spark, curated))
+    with monkeypatch.context() as m:
+        def dies(*_):
+            raise OSError("power cut")
+
+        m.setattr(zone, "commit", dies)
+        for b in batches[1:]:
+            with pytest.raises(OSError):
+                landing.merge_trips(b, curated)
+    assert _rows(read_trips(spark, curated)) == was
+    assert zone.expired_folders(spark, curated)
+    os.makedirs(os.path.join(curated, "_manifest", "version=2", "_temporary"))  # died while it committed
+    for b in batches[1:]:
+        landing.merge_trips(b, curated)
+    together = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    assert _rows(read_trips(spark, curated)) == _rows(clean_trips(together))
+
+
+def test_two_writers_of_one_version(spark, tmp_dir):
+    from dockflow.sources import zone
+
+    path = os.path.join(tmp_dir, "zone")
+    zone.commit(spark, path, zone.Manifest(), [])
+    with pytest.raises(RuntimeError, match="another writer"):
+        zone.commit(spark, path, zone.Manifest(), [("data", "x", "2024-01")])
+    assert zone.read_manifest(spark, path) == zone.Manifest(1)
+
+
+def test_index_generations(spark, tmp_dir, monkeypatch):
+    """After many appends the next generation holds a row for each ride, and landing goes on as before."""
+    from dockflow.sources import zone
+    from dockflow.streaming import landing, ride_index
+
+    monkeypatch.setattr(ride_index, "MOST_APPENDS", 2)
+    batches = _batches(spark, tmp_dir)
+    curated = os.path.join(tmp_dir, "curated")
+    for b in (batches[2], batches[0], batches[1], batches[0]):
+        landing.merge_trips(b, curated, index_buckets=4)
+    manifest = zone.read_manifest(spark, curated)
+    assert len(manifest.of(ride_index.KIND)) <= 2
+    rides = ride_index.rows_of(spark, curated, manifest).groupBy("ride_id").count().collect()
+    assert {r.ride_id for r in rides} == {"Z1", "Z2", "Z3", "Z4", "Z5"}
+    together = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    assert _rows(read_trips(spark, curated)) == _rows(clean_trips(together))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("dockflow_rides")]
