@@ -28,10 +28,10 @@ if __package__ in (None, ""):  # run as a script (spark-submit dockflow/jobs.py
 from pyspark.sql import SparkSession  # noqa: E402
 
 from dockflow.operators import analyses, flows  # noqa: E402
-from dockflow.operators.clean import clean_trips, quality_funnel  # noqa: E402
+from dockflow.operators.clean import clean_and_count  # noqa: E402
 from dockflow.plans.catalog import run_sql_files  # noqa: E402
 from dockflow.plans.rollup import REPORT_QUERIES, run_report  # noqa: E402
-from dockflow.session import local_session  # noqa: E402
+from dockflow.session import local_session, scratch_path  # noqa: E402
 from dockflow.sources.archives import read_archived_trips  # noqa: E402
 from dockflow.sources.curated import read_trips, write_trips  # noqa: E402
 from dockflow.sources.raw_csv import month_paths, read_raw_trips  # noqa: E402
@@ -52,11 +52,12 @@ def clean_job(spark: SparkSession, args: argparse.Namespace) -> None:
         raw = read_raw_trips(spark, month_paths(args.raw, args.months), check_header=args.check_header)
     else:
         raw = read_raw_trips(spark, args.raw, check_header=args.check_header)
-    funnel = quality_funnel(raw, tz=args.tz, blank_names_as_missing=args.blank_names_as_missing)
+    # One read of raw: the funnel is counted while the trips are written aside, before they are dealt to months.
+    trips, funnel = clean_and_count(raw, scratch_path(spark, "cleaned"), tz=args.tz, blank_names_as_missing=args.blank_names_as_missing)
     out = f"{args.out.rstrip('/')}/quality_funnel"
     export_result(funnel, out)
     preview(read_result(spark, out, funnel.schema))
-    write_trips(clean_trips(raw, tz=args.tz, blank_names_as_missing=args.blank_names_as_missing), args.curated)
+    write_trips(trips, args.curated)
 
 
 def analyze_job(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -391,6 +391,50 @@ ORDER BY trips DESC, zone_lat, zone_lng
 }
 
 
+QUERIES |= {
+    # The same rows by another way: through files, archives, landing, an observation, a SQL catalog.
+    "landed_trips": QUERIES["clean_trips"],
+    "archived_trips": QUERIES["clean_trips"],
+    "observed_funnel": QUERIES["quality_funnel"],
+    "sql_station_imbalance": _IMBALANCE,
+    "quarantined_rows": """
+SELECT ride_id, CASE WHEN CAST(ride_id AS BIGINT) % 61 = 0 THEN 'too few fields' WHEN CAST(ride_id AS BIGINT) % 67 = 0 THEN 'too many fields'
+  ELSE 'not a number: end_lat' END AS reason
+FROM raw WHERE CAST(ride_id AS BIGINT) % 61 = 0 OR CAST(ride_id AS BIGINT) % 67 = 0 OR CAST(ride_id AS BIGINT) % 71 = 0
+""",
+    "accepted_trips": QUERIES["clean_trips"].rstrip() + """
+WHERE CAST(ride_id AS BIGINT) % 61 <> 0 AND CAST(ride_id AS BIGINT) % 67 <> 0 AND CAST(ride_id AS BIGINT) % 71 <> 0
+""",
+    "published_months": """
+, ends AS (SELECT MIN(trip_month) AS a, MAX(trip_month) AS z FROM trips)
+SELECT trip_month, COUNT(*) FILTER (WHERE trip_month <> a OR member_casual = 'member') AS trips,
+  CASE trip_month WHEN z THEN 'new' WHEN a THEN 'changed' ELSE 'same' END AS action
+FROM trips, ends GROUP BY trip_month, a, z
+""",
+    "selected_months": """
+SELECT trip_month, COUNT(*) AS trips, COUNT(*) FILTER (WHERE member_casual = 'member') AS member_trips
+FROM trips WHERE trip_month >= '2024-03' GROUP BY trip_month HAVING COUNT(*) >= 20
+""",
+    "median_from_sketches": "SELECT member_casual, COUNT(*) AS trips, true AS within_rank_error FROM trips GROUP BY member_casual",
+    # Central time: six hours behind until the spring gap ends, then five until the second 02:00 of the autumn night.
+    "zoned_durations": """
+, walls AS (
+  SELECT CAST(event_id AS VARCHAR) AS ride_id, night, TIMESTAMP '1970-01-01' + to_seconds(epoch(begin_at)::BIGINT + (event_id * 37) % 12600) AS s, 60 + (event_id * 53) % 9000 AS n
+  FROM events, (VALUES ('spring', TIMESTAMP '2024-03-10 00:30:00'), ('autumn', TIMESTAMP '2024-11-03 00:10:00')) AS v(night, begin_at)
+),
+both_ends AS (SELECT ride_id, night, s AS started_at, s + to_seconds(n) AS ended_at FROM walls),
+zoned AS (
+  SELECT *, CASE WHEN started_at >= TIMESTAMP '2024-03-10 03:00:00' AND started_at < TIMESTAMP '2024-11-03 02:00:00' THEN 5 ELSE 6 END AS so,
+    CASE WHEN ended_at >= TIMESTAMP '2024-03-10 03:00:00' AND ended_at < TIMESTAMP '2024-11-03 02:00:00' THEN 5 ELSE 6 END AS eo
+  FROM both_ends
+)
+SELECT ride_id, night, started_at, ended_at, CAST(date_diff('second', started_at, ended_at) + 3600 * (eo - so) AS DOUBLE) / 60.0 AS elapsed_min,
+  CAST(date_diff('second', started_at, ended_at) AS DOUBLE) / 60.0 AS wall_min
+FROM zoned
+""",
+}
+
+
 def sql_for(name: str) -> str:
     """Full statement for ``name``: shared CTE prefix + query.
 

@@ -6,12 +6,14 @@ default to the values used at full scale; ``run_catalog`` accepts overrides.
 
 from __future__ import annotations
 
-import glob
-import os
+import re
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockflow.operators import analyses, clean, flows
 from dockflow.plans import feeds, report
@@ -93,21 +95,37 @@ def run_catalog(
     return out
 
 
-def load_sql(path: str) -> str:
-    """Text of one ``.sql`` file, without a trailing ``;`` (one statement per file)."""
-    with open(path, encoding="utf-8") as fh:
-        return fh.read().strip().rstrip(";").strip()
+def load_statements(spark: SparkSession, path: str) -> dict[str, str]:
+    """Name -> text of the ``.sql`` statements at ``path``, sorted by name, without a trailing ``;``.
 
+    Spark reads them, so any path it can open will do: a folder of ``name.sql`` files
+    (or folders of that name, as Spark writes a text), or a pattern.
+    """
+    where = path if any(c in path for c in "*?[{") or path.rstrip("/").endswith(".sql") else f"{path.rstrip('/')}/*.sql"
+    try:
+        texts = spark.read.text(where, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no .sql files in {path}") from e
+    parts: dict[str, list[str]] = {}
+    for r in texts.orderBy("file").collect():  # a query catalog: some statements
+        name = next(x for x in reversed(unquote(r.file).split("/")) if x.endswith(".sql")).removesuffix(".sql")
+        parts.setdefault(name, []).append(r.value)
+    return {name: "".join(text).strip().rstrip(";").strip() for name, text in sorted(parts.items())}
+
+
+def run_sql_files(
+    spark: SparkSession, trips: DataFrame, sql_dir: str, view: str = "trips", params: Mapping[str, object] | None = None,
+) -> dict[str, DataFrame]:
+    """Run every statement of :func:`load_statements` against ``trips``, each a lazy result.
 
-def run_sql_files(spark: SparkSession, trips: DataFrame, sql_dir: str, view: str = "trips") -> dict[str, DataFrame]:
-    """Run every ``*.sql`` file of ``sql_dir`` (sorted by name) against ``trips``.
-
-    ``trips`` is registered as the temp view ``view``; each file holds one
-    statement and yields one lazy result named after the file stem. Raises if
-    the folder holds no ``.sql`` file.
+    ``trips`` is registered as the temp view ``view``. ``params`` are values of named
+    markers (``:min_activity``); a statement gets those it names. Raises if the
+    folder holds no ``.sql`` file.
     """
-    paths = sorted(glob.glob(os.path.join(sql_dir, "*.sql")))
-    if not paths:
-        raise FileNotFoundError(f"no .sql files in {sql_dir}")
+    statements = load_statements(spark, sql_dir)
     trips.createOrReplaceTempView(view)
-    return {os.path.splitext(os.path.basename(p))[0]: spark.sql(load_sql(p)) for p in paths}
+    params = dict(params or {})
+    own = lambda text: {k: v for k, v in params.items() if re.search(rf":{re.escape(k)}\b", text)}
+    return {name: spark.sql(text, args=own(text)) if own(text) else spark.sql(text) for name, text in statements.items()}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow import schema
+from dockflow.session import settled
 from dockflow.sources import zone
 
 
@@ -69,6 +70,58 @@ def publish_trips(trips: DataFrame, uri: str) -> None:
     write_trips(trips, uri, mode="overwrite")
 
 
+PUBLISHED = "published"
+FILE_SCHEMA = "trip_month string, file string, length long, modified timestamp"
+
+
+def month_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(trip_month, file, length, modified)`` of a zone's files: a listing, no file is opened."""
+    manifest = zone.read_manifest(spark, path)
+    folders = [path] if manifest is None else [zone.folder(path, b, m) for b, m in manifest.of(zone.DATA)]
+    if not folders:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(folders)
+    month = F.regexp_extract("path", f"/{schema.PARTITION_COLUMN}=([^/]+)/[^/]+$", 1)
+    return listing.select(month.alias(schema.PARTITION_COLUMN), F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length", F.col("modificationTime").alias("modified")).where(month != "")
+
+
+def publish_changes(spark: SparkSession, source: str, target: str, *, remove: bool = False) -> DataFrame:
+    """Bring the zone at ``target`` up to the curated zone at ``source``, and return ``(trip_month, action)``.
+
+    A month is copied (``new`` or ``changed``) if the name, length or time of any of
+    its files differs from what was published last; ``same`` months are neither read
+    nor written. Months that are gone from the source are ``kept``, or ``removed`` if
+    asked for. What is compared are two listings, by anti-joins. Readers of the target
+    see the change at once, with its next manifest version.
+    """
+    before = zone.read_manifest(spark, target) or zone.Manifest()
+    here = settled(month_files(spark, source), "source-files")
+    last = [b for b, _ in before.of(PUBLISHED)]
+    there = spark.read.schema(FILE_SCHEMA).parquet(f"{target.rstrip('/')}/_{PUBLISHED}/batch={last[0]}") if last else spark.createDataFrame([], FILE_SCHEMA)
+    own = here.columns
+    unlike = here.join(there, own, "left_anti").unionByName(there.join(here, own, "left_anti")).select(schema.PARTITION_COLUMN).distinct()
+    month_of = lambda df, name: df.select(schema.PARTITION_COLUMN).distinct().withColumn(name, F.lit(True))
+    months = month_of(here, "_here").join(month_of(there, "_there"), schema.PARTITION_COLUMN, "full").join(unlike.withColumn("_unlike", F.lit(True)), schema.PARTITION_COLUMN, "left")
+    action = (
+        F.when(F.col("_here").isNull(), "removed" if remove else "kept").when(F.col("_there").isNull(), "new").when(F.col("_unlike"), "changed").otherwise("same"))
+    done = settled(months.select(schema.PARTITION_COLUMN, action.alias("action")), "publish-actions")
+    by_action: dict[str, set[str]] = {}
+    for r in done.collect():  # a row for each month
+        by_action.setdefault(r.action, set()).add(r[0])
+    copied = by_action.get("new", set()) | by_action.get("changed", set())
+    gone = by_action.get("removed", set())
+    if copied or gone:
+        token = before.next_token()
+        entries = {e for e in before.entries if e[0] == zone.DATA and e[2] not in copied | gone}
+        if copied:
+            write_trips(read_trips(spark, source, months=sorted(copied)), zone.folder(target, token))
+            entries |= {(zone.DATA, token, m) for m in zone.written_months(spark, target, token)}
+        kept = there.where(F.col(schema.PARTITION_COLUMN).isin(sorted(by_action.get("kept", set()))))
+        here.unionByName(kept).coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}/_{PUBLISHED}/batch={token}")
+        zone.commit(spark, target, before, entries | {(PUBLISHED, token, None)})
+    return done
+
+
 def object_store_conf(endpoint: str | None = None, provider: str | None = None) -> dict[str, str]:
     """Session settings for an ``s3a://`` store; pass to ``SparkSession.builder.config``.
 

@@ -119,6 +119,23 @@ def written_months(spark: SparkSession, zone: str, batch: str) -> list[str]:
     return [] if rows is None else sorted(r[0] for r in rows.select(schema.PARTITION_COLUMN).distinct().collect())
 
 
+def replace_months(trips: DataFrame, zone: str, months: Iterable[str], write) -> Manifest:
+    """Make ``trips`` all that the zone holds of ``months`` (none left: the month is empty); the other months stay.
+
+    ``write(trips, path)`` writes month folders, as :func:`dockflow.sources.curated.write_trips`.
+    Readers see the old months until the new ones are whole.
+    """
+    spark = trips.sparkSession
+    before = read_manifest(spark, zone) or Manifest()
+    if any(k == "rides" for k, _, _ in before.entries):
+        raise ValueError(f"{zone} has a ride index; merge rows into it instead")
+    months = set(months)
+    token = before.next_token()
+    write(trips.where(F.col(schema.PARTITION_COLUMN).isin(sorted(months))), folder(zone, token))
+    kept = {e for e in before.entries if not (e[0] == DATA and e[2] in months)}
+    return commit(spark, zone, before, kept | {(DATA, token, m) for m in written_months(spark, zone, token)})
+
+
 def expired_folders(spark: SparkSession, zone: str) -> list[str]:
     """Month folders that the latest version doesn't list, for a store's clean-up to delete."""
     manifest = read_manifest(spark, zone) or Manifest()
