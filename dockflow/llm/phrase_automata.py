@@ -101,7 +101,7 @@ class Entries:
     doc: np.ndarray  # number of the document in its chunk
     at: np.ndarray  # first window, in the block
     count: np.ndarray  # windows
-    gram: np.ndarray  # hash of the anchor
+    gram: np.ndarray  # number of the anchor, from its hash
     digest: np.ndarray  # hash of the entry's words
     place: np.ndarray  # first word, in the document
 
@@ -140,7 +140,8 @@ def _block(words: list[bytes], parts: list[tuple[int, int, int]], hashes: WordHa
     count = np.diff(np.append(first, len(ok)))
     at, own = ok[first], piece[first]
     digest = mix([window[at], window[at + count - 1], count.astype(np.uint64)], 3)
-    return Entries(words, docs[own], at, count, phrase[owner[first]], digest, at - starts[own] + since[own])
+    # Least hashes are all small: mixed again, they spread evenly over shards.
+    return Entries(words, docs[own], at, count, mix([phrase[owner[first]]], 0), digest, at - starts[own] + since[own])
 
 
 def entry_text(words: list[bytes]) -> bytes:
