@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,23 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dockflow.session import settled as settle  # noqa: F401  a written table outlives lost executors
-
-PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
+from dockflow.session import ship
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark (any path a Spark reader can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers of a local session import this package from any folder.
-
-    On a cluster the package is installed or passed with ``--py-files``.
-    """
-    env = spark.sparkContext.environment
-    if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (PACKAGE_ROOT, env.get("PYTHONPATH")) if x)
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` and some underscores: no column's name in ``df`` whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def _release() -> None:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from dockflow.llm.base import map_batches, map_stream
+from dockflow.llm.base import free_name, map_batches, map_stream
 
 N = 3
 #: Share of an item's perfect alignment score from which a passage counts as a copy.
@@ -115,7 +115,7 @@ class Items:
             self.posts.append((start, rows[:, 1], rows[:, 2], rows[:, 3]))
 
     def passages(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
-        """``(item, from, to)``: parts of a document that hold grams of an item on near diagonals and can reach ``threshold``."""
+        """``(item, from, to)``: parts of a document around grams of an item that can hold an alignment of ``threshold``."""
         found = []
         for k, (start, item, place, rare) in zip(self.lengths, self.posts or [], strict=True):
             at, no = self.hits(ids, k)
@@ -128,12 +128,13 @@ class Items:
             return []
         hits = np.unique(np.concatenate(found), axis=0)
         size = np.array([len(t) for t in self.tokens])[hits[:, 0]]
+        # Words matched score MATCH each and every gap costs, so an alignment of enough score leaves a diagonal by no more than this.
+        slack = np.floor((1 - threshold) * MATCH * size / -GAP).astype(np.int64)
         new = np.ones(len(hits), bool)
-        new[1:] = (hits[1:, 0] != hits[:-1, 0]) | (np.diff(hits[:, 1]) > size[1:] // 2)
+        new[1:] = (hits[1:, 0] != hits[:-1, 0]) | (np.diff(hits[:, 1]) > size[1:] + 2 * slack[1:])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(hits)) - 1
-        item, m = hits[first, 0], size[first]
-        slack = m // 4 + 2
+        item, m, slack = hits[first, 0], size[first], slack[first]
         a, b = np.maximum(0, hits[first, 1] - slack), np.minimum(len(ids), hits[last, 1] + m + slack)
         ok = np.maximum.reduceat(hits[:, 2], first) > 0
         common = np.flatnonzero(~ok)
@@ -288,7 +289,7 @@ def add_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item
         if not block.tokens:
             continue
         block.choose_seeds(*_count_grams(docs, block, text_col))
-        name = f"{hits_col}__{b}"
+        name = free_name(out, f"{hits_col}__{b}")
         out = _add_block(out, block, text_col, name, threshold)
         parts.append(name)
     none = F.array().cast(ArrayType(HIT))
