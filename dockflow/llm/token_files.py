@@ -123,18 +123,21 @@ class WordEncoder:
     between ASCII white space are independent. Words of printable ASCII are cut
     further, by the file's own piece pattern, and their pieces go through the
     library's model; from others a final full stop or comma is cut, and the rest
-    goes through the whole library.
+    goes through the whole library. The library looks for its added tokens
+    (``<|endoftext|>``) before all this, anywhere in a text: a text that holds one
+    goes through it as a whole.
     """
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tok.no_padding()
         self.tok.no_truncation()
         self.model, self.kind = self.tok.model, {2: "H", 4: "I"}[width]
         splits = json.loads(self.tok.to_str())["pre_tokenizer"]["pretokenizers"]
         self.pieces_of = regex.compile(splits[0]["pattern"]["Regex"]).findall
+        added = [t.content.encode().lower() for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
         self.words: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
         self.pieces: dict[bytes | str, bytes] = {}
@@ -176,6 +179,8 @@ class WordEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """Packed ids of a whole text."""
+        if self.added(text):
+            return self._pack(self.tok.encode(text.decode(), add_special_tokens=False).ids)
         words = text.split()
         ids = list(map(self.words.get, words))
         missing = [i for i, x in enumerate(ids) if x is None]
@@ -280,7 +285,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         rows: list[list] = [[], [], [], [], []]
         for part, base, docs, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "start", "doc_ids", "payload")), strict=True):
             ef, ids = open_shard(payload)
-            ends = ef.all()
+            ends = np.array([ef.select(i) for i in range(ef.n)], np.int64)
             starts = np.concatenate([[0], ends[:-1]])
             wide = ids.astype("<u4")
             rows[0] += docs

@@ -219,7 +219,7 @@ def reference_bpe():
 
 def test_byte_bpe_matches_the_library(spark, reference_bpe):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    odd = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*ODD_TEXTS, None])], "doc_id long, text string")
+    odd = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*ODD_TEXTS, *ADDED, None])], "doc_id long, text string")
     rows = docs.unionByName(odd)
     texts = {r.doc_id: r.text or "" for r in rows.collect()}
     for r in byte_bpe.round_trip(rows, RANKS, public_tokenizers.PATTERN).collect():
@@ -256,15 +256,18 @@ def test_elias_fano_selects(gaps):
         assert bits <= 2 + np.log2(max(values[-1], 1) / len(values) + 1) + 1 + 72 / len(values)
 
 
+#: The library finds its added tokens anywhere in a text, in their own case only.
+ADDED = ["a <|endoftext|> b", "x<|startoftext|>y<|endoftext|>", "<|ENDOFTEXT|> <|endof text|>", "<|endoftext|>" * 3, "\n<|startoftext|>.\tÉté <|"]
+
+
 def test_token_files_match_the_library(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    odd = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*ODD_TEXTS, None])], "doc_id long, text string")
+    odd = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*ODD_TEXTS, *ADDED, None])], "doc_id long, text string")
     rows = docs.unionByName(odd).repartition(5)
     path = str(tmp_path / "files")
     token_files.write_token_files(rows, path, WORDS, end_id=1, shard_ids=3000)
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_files.read_token_files(spark, path).collect()}
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     start = 0
     for r in sorted(rows.collect(), key=lambda r: r.doc_id):
         ids = np.array([*tok.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
