@@ -266,7 +266,7 @@ def _entry_rows(buckets: int, most: int):
                 no = np.array([k for _, _, k in own], np.int64)
                 out.append((int(to[order[a]]), chunk, pack(
                     no.astype("<u4"), low[no], high[no], np.array([g for _, g, _ in own], "<u8"), np.array([len(t) for t, _, _ in own], "<u4"), b"".join(t for t, _, _ in own))))
-            out.append((-1 - chunk % 64, chunk, pack(who.astype("<u4"), doc.astype("<u4"), place, single.astype("<u4").ravel())))
+            out.append((-1 - chunk, chunk, pack(who.astype("<u4"), doc.astype("<u4"), place, single.astype("<u4").ravel())))
         return batch_of(PART_NAMES, PART_KINDS, out)
 
     return run

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import settle
+from dockflow.llm.base import free_name, settle
 
 # The patterns and least lengths of the scan's contract.
 KINDS = ("assign", "access", "hex", "random")
@@ -265,14 +265,16 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK) -> DataFra
 
     The text is cut once at the spans that ``scan`` finds in it, overlapping
     ones as one; of assignments the keyword goes too. An assignment whose value
-    is another's keyword (``token:token: value``) goes as well. Null texts stay null.
+    is another's keyword (``token:token: value``) goes as well. Null texts stay
+    null, empty ones empty. Rows that repeat are treated alike; levels come from all
+    rows. Extra columns may have any name; an empty table stays empty.
     """
-    found = levels(settle(scan_spans(docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").select("tokens"), "secret-tokens"))
-    text = F.col(text_col)
+    text, at = F.col(text_col), free_name(docs, "found")
     value = ASSIGN.removesuffix("+)") + f"{{{ASSIGN_VALUE},}})"
-    kinds = (
-        _matches(text, ASSIGN, lambda v: F.length(v) >= ASSIGN_VALUE, group=2), _matches(text, value), _matches(text, ACCESS), _matches(text, HEX),
-        F.filter(_tested(_tokens(text)), lambda x: _is_random(x, found)),
-    )
-    spans = F.array_sort(F.concat(*(F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in kinds)))
-    return docs.withColumn(text_col, F.when(text.isNotNull(), _cut(text, spans, mask)))
+    ends = lambda k: F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    fixed = (_matches(text, ASSIGN, lambda v: F.length(v) >= ASSIGN_VALUE, group=2), _matches(text, value), _matches(text, ACCESS), _matches(text, HEX))
+    # Patterns and tests run once: what they find is written beside the rows before the levels are known.
+    known = settle(docs.withColumn(at, F.struct(F.concat(*map(ends, fixed)).alias("fixed"), _tested(_tokens(text)).alias("tokens"))), "secret-tokens")
+    found = levels(known.select(F.col(f"{at}.tokens").alias("tokens")))
+    spans = F.array_sort(F.concat(F.col(f"{at}.fixed"), ends(F.filter(F.col(f"{at}.tokens"), lambda x: _is_random(x, found)))))
+    return known.withColumn(text_col, F.when(text.isNotNull(), _cut(text, spans, mask))).drop(at)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.base import map_batches, map_stream, settle, text_bytes
+from dockflow.llm.base import free_name, map_batches, map_stream, settle, text_bytes
 from dockflow.llm.graph import components
 
 BITS = 64
@@ -294,9 +294,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     any id, those of one fingerprint are a group. Texts are treated as in
     ``near_duplicates``.
     """
-    whole = docs.withColumn(ROW, F.xxhash64(*docs.columns)).withColumn(ROW_ID, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
-    narrow = settle(fingerprints(whole, id_col, text_col, shingle, (ROW, ROW_ID)), "row-fingerprints")
+    row, own_id = free_name(docs, ROW), free_name(docs, ROW_ID)
+    whole = docs.withColumn(row, F.xxhash64(*docs.columns)).withColumn(own_id, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
+    narrow = settle(fingerprints(whole, id_col, text_col, shingle, (row, own_id)), "row-fingerprints")
     group = F.coalesce("component_id", F.xxhash64("fp", F.lit(1)))
-    first = narrow.join(_classes(narrow, tau), "fp").groupBy(group, F.col("component_id").isNull()).agg(F.min(F.struct(ROW_ID, ROW)).alias("m"))
+    first = narrow.join(_classes(narrow, tau), "fp").groupBy(group, F.col("component_id").isNull()).agg(F.min(F.struct(own_id, row)).alias("m"))
     # The join deals rows by their key, which dropping repeats of one row then uses again.
-    return whole.join(first.select(f"m.{ROW_ID}", f"m.{ROW}"), [ROW_ID, ROW]).dropDuplicates([ROW_ID, ROW]).select(*docs.columns)
+    return whole.join(first.select(f"m.{own_id}", f"m.{row}"), [own_id, row]).dropDuplicates([own_id, row]).select(*docs.columns)
