@@ -177,51 +177,46 @@ def op1_sql(rules: list[tuple[str, str]] = URL_RULES) -> str:
 c{d} AS (SELECT host, t, segs[{d + 1}] AS seg, COUNT(*) AS n FROM p{d} WHERE len(segs) > {d} GROUP BY ALL),
 l{d} AS (
   SELECT host, t, seg FROM (SELECT *, SUM(n) OVER (PARTITION BY host, t) AS total FROM c{d})
-  WHERE n >= {url_templates.SUPPORT} AND n * {url_templates.BRANCHES} >= total
+  WHERE n >= {url_templates.SUPPORT} AND n * n >= total
 ),
 p{d + 1} AS (
   SELECT p.* EXCLUDE (t), CASE WHEN len(segs) > {d} THEN list_append(p.t, COALESCE(l.seg, '*')) ELSE p.t END AS t
   FROM p{d} p LEFT JOIN l{d} l ON p.host = l.host AND p.t = l.t AND p.segs[{d + 1}] = l.seg
-),""" for d in range(url_templates.DEPTH))
-    share = lambda b, n, prior: f"(({b}) + {url_templates.SMOOTHING} * ({prior})) / (({n}) + {url_templates.SMOOTHING})"
+),""" for d in range(url_templates.DEPTH + 1))
+    top = url_templates.DEPTH + 1
+    merges = "".join(f"""
+w{d} AS (
+  SELECT host, unit, SUM(labelled) AS l, SUM(blocked) AS b, list_transform(unit, lambda s, i: CASE WHEN i = {d + 1} THEN '?' ELSE s END) AS shape
+  FROM u{d + 1} WHERE len(unit) > {d} AND unit[{d + 1}] NOT IN ('*', '?') GROUP BY host, unit HAVING SUM(labelled) >= {url_templates.LABELS}
+),
+s{d} AS (SELECT *, SUM(l) OVER (PARTITION BY host, shape) AS tl, SUM(b) OVER (PARTITION BY host, shape) AS tb FROM w{d}),
+k{d} AS (
+  SELECT * FROM s{d}
+  WHERE tl > l AND abs(b / l - (tb - b) / (tl - l)) <= {url_templates.ALIKE} * sqrt(tb / tl * (1 - tb / tl) * (1 / l + 1 / (tl - l)))
+  QUALIFY COUNT(*) OVER (PARTITION BY host, shape) > 1
+),
+u{d} AS (SELECT u.* EXCLUDE (unit), COALESCE(k.shape, u.unit) AS unit FROM u{d + 1} u LEFT JOIN k{d} k ON k.host = u.host AND k.unit = u.unit),""" for d in reversed(range(top)))
     return f"""
 WITH url AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 cut AS (SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS raw_host, rest FROM url),
 hp AS (SELECT page_id, translate(raw_host, '{upper}', '{upper.lower()}') AS host, regexp_extract(substr(rest, length(raw_host) + 1), '^([^?#]*)', 1) AS path FROM cut),
+parts AS (SELECT *, {cases(2)} AS rule, {cases(1)} AS says, list_filter(string_split(path, '/'), lambda s: s <> '') AS whole FROM hp),
 p0 AS (
-  SELECT *, {cases(2)} AS rule, {cases(1)} AS says, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs, CAST([] AS VARCHAR[]) AS t FROM hp
+  SELECT * EXCLUDE (whole), CAST([] AS VARCHAR[]) AS t, CASE WHEN len(whole) > {url_templates.DEPTH}
+    THEN list_append(whole[1:{url_templates.DEPTH}], array_to_string(whole[{url_templates.DEPTH + 1}:], '/')) ELSE whole END AS segs
+  FROM parts
 ),{levels}
-placed AS (SELECT * EXCLUDE (t), CASE WHEN len(segs) > {url_templates.DEPTH} THEN list_append(t, '**') ELSE t END AS t FROM p{url_templates.DEPTH}),
-node AS (
-  SELECT host, t, CAST(COUNT(says) AS DOUBLE) AS labelled, CAST(COUNT(*) FILTER (WHERE says = 'block') AS DOUBLE) AS blocked,
-    COALESCE(list_position(list_transform(t, lambda s: s <> '*'), true), 0) AS f
-  FROM placed GROUP BY host, t
-),
-world AS (SELECT CASE WHEN SUM(labelled) > 0 THEN SUM(blocked) / SUM(labelled) ELSE 0 END AS prior FROM node),
-host_share AS (SELECT host, {share("SUM(blocked)", "SUM(labelled)", "(SELECT prior FROM world)")} AS hs FROM node GROUP BY host),
-known AS (SELECT *, list_transform(t, lambda s, i: CASE WHEN i = f THEN '?' ELSE s END) AS shape FROM node),
-parent AS (
-  SELECT k.host, k.shape, {share("SUM(blocked)", "SUM(labelled)", "ANY_VALUE(hs)")} AS ps FROM known k JOIN host_share h ON h.host = k.host GROUP BY k.host, k.shape
-),
-lagged AS (
-  SELECT *, COALESCE(blocked / NULLIF(labelled, 0), 0) AS rate, labelled > 0 AS has,
-    LAG(blocked) OVER o AS b1, LAG(labelled) OVER o AS n1
-  FROM known WINDOW o AS (PARTITION BY host, shape, labelled > 0 ORDER BY COALESCE(blocked / NULLIF(labelled, 0), 0), CAST(to_json(t) AS VARCHAR))
-),
-spread AS (SELECT *, (blocked + b1) / NULLIF(labelled + n1, 0) AS pooled FROM lagged),
-apart AS (
-  SELECT *, CASE WHEN has AND n1 > 0 AND pooled * (1 - pooled) > 0
-    AND rate - b1 / n1 > {url_templates.ALIKE} * sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / n1)) THEN 1 ELSE 0 END AS new
-  FROM spread
-),
-grouped AS (SELECT *, SUM(new) OVER (PARTITION BY host, shape, has ORDER BY rate, CAST(to_json(t) AS VARCHAR)) AS g FROM apart),
+u{top} AS (
+  SELECT host, t, t AS unit, CAST(COUNT(says) AS DOUBLE) AS labelled, CAST(COUNT(*) FILTER (WHERE says = 'block') AS DOUBLE) AS blocked FROM p{top} GROUP BY host, t
+),{merges}
+world AS (SELECT CASE WHEN SUM(labelled) > 0 THEN SUM(blocked) / SUM(labelled) ELSE 0 END AS prior FROM u0),
 judged AS (
-  SELECT g.host, g.t, {share("SUM(blocked) OVER w", "SUM(labelled) OVER w", "ps")} AS blocked_share
-  FROM grouped g JOIN parent p ON p.host = g.host AND p.shape = g.shape WINDOW w AS (PARTITION BY g.host, g.shape, g.has, g.g)
+  SELECT host, t, (SUM(blocked) OVER w + {url_templates.SMOOTHING} * (SELECT prior FROM world)) / (SUM(labelled) OVER w + {url_templates.SMOOTHING}) AS blocked_share
+  FROM u0 WINDOW w AS (PARTITION BY host, unit)
 )
-SELECT page_id, placed.host, path, rule, COALESCE(says, CASE WHEN blocked_share >= {url_templates.REJECT_AT} THEN 'block' ELSE 'allow' END) AS verdict,
-  '/' || array_to_string(placed.t, '/') AS template
-FROM placed JOIN judged ON judged.host = placed.host AND judged.t = placed.t
+SELECT page_id, p.host, path, rule, COALESCE(says, CASE WHEN blocked_share >= {url_templates.REJECT_AT} THEN 'block' ELSE 'allow' END) AS verdict,
+  '/' || array_to_string(p.t, '/') AS template
+FROM p{top} p JOIN judged ON judged.host = p.host AND judged.t = p.t
 """
 
 

@@ -1,31 +1,35 @@
 """URL filter: rules first, then a path-template tree for each host.
 
-Paths are generalised from the root down: below a template, a segment stays
-literal if it holds a fair share of the template's pages, and becomes ``*``
-otherwise, so that a node has a bounded number of branches. Branches of one node
-that continue alike are merged where their labelled shares don't differ
-significantly. A template is rejected by its share of labelled pages that are
-blocked, smoothed towards its parent's, the host's and the corpus's shares.
+Paths are generalised from the root down. Below a template a segment stays literal
+if it is common there, and becomes ``*`` if it is one of many: a segment of n among
+N pages is common if n is at least the square root of N. So a small section of a
+very large host keeps a template of its own, and a node with N pages has at most the
+square root of N branches. Branches that differ in one literal and go on alike are
+merged, the deepest first, where their labelled shares don't differ significantly
+from the others' together. A template is rejected by the share of its own and its
+merged branches' labelled pages that are blocked, smoothed towards the corpus's.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm.base import settle
 
-#: A segment stays literal with 1/BRANCHES of its parent's pages, and SUPPORT pages, at least.
-BRANCHES = 20
+#: Pages of a segment that stays literal, at least.
 SUPPORT = 3
-#: Segments below this depth are one ``**``.
+#: What follows this many segments counts as one.
 DEPTH = 8
-#: Pages that a parent's share weighs in the smoothing.
+#: Labelled pages from which a branch can be merged with others.
+LABELS = 3
+#: Pages that the corpus's share weighs in the smoothing.
 SMOOTHING = 5.0
 #: Smoothed share of blocked pages from which a template is rejected.
 REJECT_AT = 0.7
-#: Branches are alike below so many standard errors.
+#: Branches are alike up to so many standard errors.
 ALIKE = 1.96
+ANY, MERGED = "*", "?"  # no path has a question mark
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -59,54 +63,67 @@ def templates(paths: DataFrame) -> DataFrame:
 
     One level at a time: counts of segments below each template, partially
     aggregated, then a join on host, template and segment, which Spark splits
-    where a host is large.
+    where a host is large. Segments are cut to ``DEPTH`` and a rest beforehand.
     """
+    tail = F.array_join(F.slice("segments", DEPTH + 1, F.greatest(F.size("segments"), F.lit(1))), "/")
+    paths = paths.withColumn("segments", F.when(F.size("segments") > DEPTH, F.concat(F.slice("segments", 1, DEPTH), F.array(tail))).otherwise(F.col("segments")))
     depth = paths.agg(F.max(F.size("segments"))).first()[0] or 0
     out = paths.withColumn("template", F.array().cast("array<string>"))
-    for d in range(min(depth, DEPTH)):
+    for d in range(depth):
         here = F.get("segments", F.lit(d))
         deeper = out.where(F.size("segments") > d).select("host", "template", here.alias("segment"))
         counts = deeper.groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
         totals = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
         literal = (
-            counts.where(F.col("n") >= SUPPORT).join(totals, ["host", "template"]).where(F.col("n") * BRANCHES >= F.col("total"))
+            counts.where(F.col("n") >= SUPPORT).join(totals, ["host", "template"]).where(F.col("n") * F.col("n") >= F.col("total"))
             .select("host", "template", "segment", F.lit(True).alias("literal"))
         )
         joined = out.withColumn("segment", here).join(literal, ["host", "template", "segment"], "left")
-        shown = F.when(F.col("literal"), F.col("segment")).otherwise("*")
+        shown = F.when(F.col("literal"), F.col("segment")).otherwise(ANY)
         out = settle(joined.withColumn("template", F.when(F.size("segments") > d, F.concat("template", F.array(shown))).otherwise(F.col("template"))).drop("segment", "literal"), f"templates-{d}")
-    if depth > DEPTH:
-        out = out.withColumn("template", F.when(F.size("segments") > DEPTH, F.concat("template", F.array(F.lit("**")))).otherwise(F.col("template")))
+    return out
+
+
+def merged_branches(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (host, template, labelled, blocked) with ``unit``: the template with a ``?`` where branches were merged.
+
+    At each depth, the deepest first, units that differ there alone are branches of
+    one node. One with ``LABELS`` labelled pages or more is alike if its share is
+    within ``ALIKE`` standard errors of that of all its other such branches together.
+    Alike ones become one unit. A branch is tested against the rest, not against
+    its neighbours in some order, so names and ties decide nothing and no chain of
+    small branches joins two that differ.
+    """
+    depth = nodes.agg(F.max(F.size("template"))).first()[0] or 0
+    out = nodes.withColumn("unit", F.col("template"))
+    for d in reversed(range(depth)):
+        units = out.groupBy("host", "unit").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+        literal = ~F.get("unit", F.lit(d)).isin(ANY, MERGED)
+        shape = F.transform("unit", lambda s, i: F.when(i == d, F.lit(MERGED)).otherwise(s))
+        branches = units.where(literal & (F.col("l") >= LABELS)).withColumn("shape", shape)
+        totals = branches.groupBy("host", "shape").agg(F.sum("l").alias("tl"), F.sum("b").alias("tb"))
+        both = branches.join(totals, ["host", "shape"])
+        rest, share = F.col("tl") - F.col("l"), F.col("tb") / F.col("tl")
+        gap = F.abs(F.col("b") / F.col("l") - F.try_divide(F.col("tb") - F.col("b"), rest))
+        alike = both.where(gap <= ALIKE * F.sqrt(share * (1 - share) * (1 / F.col("l") + F.try_divide(F.lit(1.0), rest))))
+        several = alike.groupBy("host", "shape").agg(F.count("*").alias("n")).where("n > 1").select("host", "shape")
+        found = alike.join(several, ["host", "shape"]).select("host", "unit", "shape")
+        out = settle(out.join(found, ["host", "unit"], "left").withColumn("unit", F.coalesce("shape", "unit")).drop("shape"), f"branches-{d}")
     return out
 
 
 def purities(nodes: DataFrame) -> DataFrame:
     """``(host, template, blocked_share)`` from labelled counts ``(host, template, n, labelled, blocked)``.
 
-    Branches are alike if they differ in one literal only, the first segment that
-    stays literal, and go on alike; a node has at most ``BRANCHES`` + 1 of them,
-    so the window that merges them is small.
+    A unit's share is smoothed towards the corpus's, which is also the share of a
+    unit without labels: siblings that are no part of it don't count.
     """
-    smooth = lambda blocked, labelled, prior: (blocked + SMOOTHING * prior) / (labelled + SMOOTHING)
     world = nodes.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
     prior = (world.b or 0) / world.l if world.l else 0.0
-    first = F.array_position(F.transform("template", lambda s: s != "*"), F.lit(True))
-    shape = F.transform("template", lambda s, i: F.when(i == F.col("first") - 1, F.lit("?")).otherwise(s))
-    hosts = nodes.groupBy("host").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(prior)).alias("host_share"))
-    known = nodes.withColumn("first", first).withColumn("shape", shape)
-    parents = known.groupBy("host", "shape").agg(F.sum("blocked").alias("pb"), F.sum("labelled").alias("pl"))
-    known = known.join(parents.join(hosts, "host").select("host", "shape", smooth(F.col("pb"), F.col("pl"), F.col("host_share")).alias("parent_share")), ["host", "shape"])
-    # Branches with labels, in the order of their share: a new group starts where the next differs significantly.
-    rate = F.try_divide("blocked", "labelled")
-    order = Window.partitionBy("host", "shape", F.col("labelled") > 0).orderBy(F.coalesce(rate, F.lit(0.0)), F.to_json("template"))
-    pooled = F.try_divide(F.col("blocked") + F.lag("blocked").over(order), F.col("labelled") + F.lag("labelled").over(order))
-    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("labelled")) + F.try_divide(F.lit(1), F.lag("labelled").over(order))))
-    apart = (F.col("labelled") > 0) & (spread > 0) & (rate - F.lag(rate).over(order) > ALIKE * spread)
-    grouped = known.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("group", F.sum("apart").over(order))
-    own = ["host", "shape", F.col("labelled") > 0, "group"]
-    everyone = Window.partitionBy(*own)
-    return grouped.select(
-        "host", "template", smooth(F.sum("blocked").over(everyone), F.sum("labelled").over(everyone), F.col("parent_share")).alias("blocked_share"))
+    units = merged_branches(nodes.select("host", "template", "labelled", "blocked"))
+    share = (F.sum("blocked") + SMOOTHING * prior) / (F.sum("labelled") + SMOOTHING)
+    shares = units.groupBy("host", "unit").agg(share.alias("blocked_share"))
+    return units.join(shares, ["host", "unit"]).select("host", "template", "blocked_share")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", reject_at: float = REJECT_AT) -> DataFrame:
@@ -115,8 +132,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
     A page that a rule fits has its verdict, and labels its template; the others
     are blocked if their template's smoothed share of blocked pages reaches
     ``reject_at``. Null urls, and those without ``://``, have an empty host and
-    path and the template of that host. Without labels nothing is rejected
-    unless ``reject_at`` is 0. Repeated rows each count; extra columns are not read.
+    path and the template of that host. A template without labels, merged with none,
+    has the corpus's share. Without any label nothing is rejected unless ``reject_at``
+    is 0. Repeated rows each count; extra columns are not read; no rows give none.
     """
     host, path = host_and_path(F.coalesce(F.col(url_col).cast("string"), F.lit("")))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
