@@ -184,18 +184,25 @@ p{d + 1} AS (
   FROM p{d} p LEFT JOIN l{d} l ON p.host = l.host AND p.t = l.t AND p.segs[{d + 1}] = l.seg
 ),""" for d in range(url_templates.DEPTH + 1))
     top = url_templates.DEPTH + 1
+    alike = f"""tl > l AND abs(b / l - (tb - b) / (tl - l)) <= {url_templates.ALIKE} * sqrt(tb / tl * (1 - tb / tl) * (1 / l + 1 / (tl - l)))
+  QUALIFY COUNT(*) OVER (PARTITION BY host, shape) > 1"""
+    mark = lambda d, m: f"list_transform(unit, lambda s, i: CASE WHEN i = {d + 1} THEN {m} ELSE s END)"
+    sums = "SUM(l) OVER (PARTITION BY host, shape) AS tl, SUM(b) OVER (PARTITION BY host, shape) AS tb"
     merges = "".join(f"""
 w{d} AS (
-  SELECT host, unit, SUM(labelled) AS l, SUM(blocked) AS b, list_transform(unit, lambda s, i: CASE WHEN i = {d + 1} THEN '?' ELSE s END) AS shape
-  FROM u{d + 1} WHERE len(unit) > {d} AND unit[{d + 1}] NOT IN ('*', '?') GROUP BY host, unit HAVING SUM(labelled) >= {url_templates.LABELS}
+  SELECT host, unit, SUM(labelled) AS l, SUM(blocked) AS b, {mark(d, "'?'")} AS shape
+  FROM u{d + 1} WHERE len(unit) > {d} AND unit[{d + 1}] <> '*' AND NOT starts_with(unit[{d + 1}], '?')
+  GROUP BY host, unit HAVING SUM(labelled) >= {url_templates.LABELS}
 ),
-s{d} AS (SELECT *, SUM(l) OVER (PARTITION BY host, shape) AS tl, SUM(b) OVER (PARTITION BY host, shape) AS tb FROM w{d}),
-k{d} AS (
-  SELECT * FROM s{d}
-  WHERE tl > l AND abs(b / l - (tb - b) / (tl - l)) <= {url_templates.ALIKE} * sqrt(tb / tl * (1 - tb / tl) * (1 / l + 1 / (tl - l)))
-  QUALIFY COUNT(*) OVER (PARTITION BY host, shape) > 1
+s{d} AS (SELECT *, {sums} FROM w{d}),
+k{d} AS (SELECT * FROM s{d} WHERE {alike}),
+v{d} AS (
+  SELECT host, unit, l, b, {mark(d, "CASE WHEN b / l >= tb / tl THEN '?+' ELSE '?-' END")} AS shape
+  FROM s{d} WHERE NOT EXISTS (SELECT 1 FROM k{d} k WHERE k.host = s{d}.host AND k.unit = s{d}.unit)
 ),
-u{d} AS (SELECT u.* EXCLUDE (unit), COALESCE(k.shape, u.unit) AS unit FROM u{d + 1} u LEFT JOIN k{d} k ON k.host = u.host AND k.unit = u.unit),""" for d in reversed(range(top)))
+y{d} AS (SELECT *, {sums} FROM v{d}),
+z{d} AS (SELECT host, unit, shape FROM k{d} UNION ALL SELECT host, unit, shape FROM (SELECT * FROM y{d} WHERE {alike})),
+u{d} AS (SELECT u.* EXCLUDE (unit), COALESCE(z.shape, u.unit) AS unit FROM u{d + 1} u LEFT JOIN z{d} z ON z.host = u.host AND z.unit = u.unit),""" for d in reversed(range(top)))
     return f"""
 WITH url AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 cut AS (SELECT page_id, regexp_extract(rest, '^([^/?#]*)', 1) AS raw_host, rest FROM url),

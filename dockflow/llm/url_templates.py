@@ -29,7 +29,7 @@ SMOOTHING = 5.0
 REJECT_AT = 0.7
 #: Branches are alike up to so many standard errors.
 ALIKE = 1.96
-ANY, MERGED = "*", "?"  # no path has a question mark
+ANY, MERGED = "*", "?"  # no path has a question mark; "?+" and "?-" for branches above and below their node's share
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -84,31 +84,42 @@ def templates(paths: DataFrame) -> DataFrame:
     return out
 
 
+def _alike(branches: DataFrame, node: list[str]) -> DataFrame:
+    """Branches whose share is within ``ALIKE`` standard errors of that of their node's others together; two of a node at least."""
+    totals = branches.groupBy(*node).agg(F.sum("l").alias("tl"), F.sum("b").alias("tb"))
+    both = branches.join(totals, node)
+    rest, share = F.col("tl") - F.col("l"), F.col("tb") / F.col("tl")
+    gap = F.abs(F.col("b") / F.col("l") - F.try_divide(F.col("tb") - F.col("b"), rest))
+    alike = both.where(gap <= ALIKE * F.sqrt(share * (1 - share) * (1 / F.col("l") + F.try_divide(F.lit(1.0), rest))))
+    several = alike.groupBy(*node).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return alike.join(several, node).drop("tl", "tb")
+
+
 def merged_branches(nodes: DataFrame) -> DataFrame:
-    """``nodes`` (host, template, labelled, blocked) with ``unit``: the template with a ``?`` where branches were merged.
+    """``nodes`` (host, template, labelled, blocked) with ``unit``: the template with a mark where branches were merged.
 
     At each depth, the deepest first, units that differ there alone are branches of
-    one node. One with ``LABELS`` labelled pages or more is alike if its share is
-    within ``ALIKE`` standard errors of that of all its other such branches together.
-    Alike ones become one unit. A branch is tested against the rest, not against
-    its neighbours in some order, so names and ties decide nothing and no chain of
-    small branches joins two that differ.
+    one node. Those with ``LABELS`` labelled pages or more are tested against all
+    others of the node together, and those alike become one unit. Of those left, the
+    ones with a larger share than the node, and the ones with a smaller one, are
+    tested among themselves in the same way. A branch is tested against the others,
+    not against its neighbours in some order, so names and ties decide nothing and no
+    chain of small branches joins two that differ.
     """
     depth = nodes.agg(F.max(F.size("template"))).first()[0] or 0
     out = nodes.withColumn("unit", F.col("template"))
     for d in reversed(range(depth)):
         units = out.groupBy("host", "unit").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-        literal = ~F.get("unit", F.lit(d)).isin(ANY, MERGED)
-        shape = F.transform("unit", lambda s, i: F.when(i == d, F.lit(MERGED)).otherwise(s))
-        branches = units.where(literal & (F.col("l") >= LABELS)).withColumn("shape", shape)
-        totals = branches.groupBy("host", "shape").agg(F.sum("l").alias("tl"), F.sum("b").alias("tb"))
-        both = branches.join(totals, ["host", "shape"])
-        rest, share = F.col("tl") - F.col("l"), F.col("tb") / F.col("tl")
-        gap = F.abs(F.col("b") / F.col("l") - F.try_divide(F.col("tb") - F.col("b"), rest))
-        alike = both.where(gap <= ALIKE * F.sqrt(share * (1 - share) * (1 / F.col("l") + F.try_divide(F.lit(1.0), rest))))
-        several = alike.groupBy("host", "shape").agg(F.count("*").alias("n")).where("n > 1").select("host", "shape")
-        found = alike.join(several, ["host", "shape"]).select("host", "unit", "shape")
-        out = settle(out.join(found, ["host", "unit"], "left").withColumn("unit", F.coalesce("shape", "unit")).drop("shape"), f"branches-{d}")
+        at = F.get("unit", F.lit(d))
+        marked = lambda mark, d=d: F.transform("unit", lambda s, i: F.when(i == d, mark).otherwise(s))
+        literal = (at != ANY) & ~F.startswith(at, F.lit(MERGED))
+        branches = settle(units.where(literal & (F.col("l") >= LABELS)).withColumn("shape", marked(F.lit(MERGED))), f"branches-{d}")
+        found = _alike(branches, ["host", "shape"]).select("host", "unit", "shape")
+        total = branches.groupBy("host", "shape").agg((F.sum("b") / F.sum("l")).alias("share"))
+        left = branches.join(found.select("host", "unit"), ["host", "unit"], "left_anti").join(total, ["host", "shape"])
+        sides = left.withColumn("shape", marked(F.when(F.col("b") / F.col("l") >= F.col("share"), MERGED + "+").otherwise(MERGED + "-")))
+        found = found.unionByName(_alike(sides.drop("share"), ["host", "shape"]).select("host", "unit", "shape"))
+        out = settle(out.join(found, ["host", "unit"], "left").withColumn("unit", F.coalesce("shape", "unit")).drop("shape"), f"units-{d}")
     return out
 
 
