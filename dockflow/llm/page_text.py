@@ -32,7 +32,7 @@ from dockflow.llm.url_templates import host_and_path
 #: A comment, a raw-text element with its content, a tag, an unfinished tag at the end, or text.
 PARTS = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|textarea|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<""",
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*+(?:>|\Z)|[^<]++|<""",
     re.S | re.I,
 )
 #: Name and value of an attribute.
@@ -41,11 +41,14 @@ WORDS = re.compile(r"[^a-z0-9]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 ASIDE = frozenset("nav footer aside form button select menu dialog object head".split())
-#: Words of a class, id or role that name something beside the main text.
-MARKS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice alert comment comments disqus menu nav navbar "
-    "navigation sidebar footer contentinfo complementary breadcrumb breadcrumbs share sharing social related newsletter subscribe popup modal search toolbar".split())
 HOLDERS = frozenset(("html", "body", "main", "article"))
+HEADINGS = frozenset(f"h{k}" for k in range(1, 7))
+#: Reader comments by class or id, wherever they are.
+COMMENTS = frozenset("comment comments commentlist comment-list comments-area comments-section comment-respond respond disqus disqus_thread replies".split())
+#: What a class, id or role may name beside the main text also inside it, as a whole.
+INSIDE = COMMENTS | frozenset("ad ads advert adverts advertisement advertising sponsored sponsor sidebar share sharing newsletter subscribe navigation menu breadcrumb breadcrumbs".split())
+#: Words of a class, id or role that name something beside the main text where neither an article nor main is open.
+MARKS = INSIDE | frozenset("promo banner cookie cookies consent gdpr notice alert nav navbar footer contentinfo complementary social related popup modal search toolbar".split())
 
 
 def _aside(tag: str, attributes: str, level: int) -> bool:
@@ -53,27 +56,45 @@ def _aside(tag: str, attributes: str, level: int) -> bool:
         return True
     if not attributes or tag in HOLDERS - {"article"}:
         return False
-    words = set()
+    names, words = set(), set()
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" and not value.startswith("until"):
             return tag not in HOLDERS
         if name in ("class", "id", "role"):
+            names.update(value.split())
             words.update(WORDS.split(value))
     if tag == "article":
-        return bool(words & {"comment", "comments"})
-    return bool(words & MARKS)
+        return bool(names & COMMENTS)
+    return bool(names & INSIDE) if level else bool((names | words) & MARKS)
+
+
+class _Block:
+    """An open block element with the inline elements open in it: (tag, aside), and how many of each tag."""
+
+    __slots__ = ("tag", "level", "aside", "header", "inline", "count")
+
+    def __init__(self, tag: str, level: int, aside: bool, header: int):
+        self.tag, self.level, self.aside, self.header = tag, level, aside, header
+        self.inline: list[tuple[str, bool]] = []
+        self.count: dict[str, int] = {}
 
 
 def lines_of(page: str | None) -> list[tuple[str, int, bool]]:
     """``(text, level, aside)`` of each non-empty block of a page, in order.
 
-    Level: 2 inside ``article``, 1 inside ``main``, else 0. Character references
-    are decoded and white space is one space. Unclosed and stray tags, unfinished
-    tags and pages cut anywhere are read as far as they go.
+    Level: 2 inside ``article``, 1 inside ``main``, else 0. A ``header`` inside them
+    is aside unless it holds a heading. Character references are decoded and white
+    space is one space. Unclosed and stray tags, unfinished tags and pages cut
+    anywhere are read as far as they go. The work is linear in the page: open
+    elements are counted by tag, so an end tag without a start costs nothing, and any
+    other closes what it passes.
     """
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, level, aside
+    out: list[tuple[str, int, bool, int]] = []
+    stack = [_Block("", 0, False, 0)]
+    opened: dict[str, int] = {}
+    headed: set[int] = set()  # headers that hold a heading
+    headers = 0
     held: list[str] = []
 
     def flush() -> None:
@@ -81,7 +102,13 @@ def lines_of(page: str | None) -> list[tuple[str, int, bool]]:
             text = " ".join(html_entities.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, stack[-1][1] if stack else 0, bool(stack) and stack[-1][2]))
+                top = stack[-1]
+                out.append((text, top.level, top.inline[-1][1] if top.inline else top.aside, top.header))
+
+    def close() -> _Block:
+        gone = stack.pop()
+        opened[gone.tag] -= 1
+        return gone
 
     for m in PARTS.finditer(page or ""):
         raw, closing, tag, attributes = m.groups()
@@ -97,25 +124,39 @@ def lines_of(page: str | None) -> list[tuple[str, int, bool]]:
             held.append(" ")
         if tag in VOID:
             continue
+        top = stack[-1]
         if closing:
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if at is not None:
-                if tag in INLINE and any(stack[k][0] not in INLINE for k in range(at + 1, len(stack))):
-                    continue  # an inline end tag doesn't close blocks
-                del stack[at:]
+            if tag in INLINE:  # an inline end tag doesn't close blocks
+                while top.count.get(tag):
+                    name, _ = top.inline.pop()
+                    top.count[name] -= 1
+                    if name == tag:
+                        break
+            elif opened.get(tag):
+                while close().tag != tag:
+                    pass
             continue
-        if tag not in INLINE:  # a block ends an open paragraph
-            k = len(stack)
-            while k and stack[k - 1][0] in INLINE:
-                k -= 1
-            if k and stack[k - 1][0] == "p":
-                del stack[k - 1:]
+        if tag not in INLINE and top.tag == "p":  # a block ends an open paragraph
+            close()
+            top = stack[-1]
         if attributes.endswith("/") and tag not in HOLDERS:
             continue
-        level, aside = stack[-1][1:] if stack else (0, False)
-        stack.append((tag, max(level, 2 if tag == "article" else 1 if tag == "main" else 0), aside or _aside(tag, attributes, level)))
+        aside = top.inline[-1][1] if top.inline else top.aside
+        if tag in INLINE:
+            top.inline.append((tag, aside or _aside(tag, attributes, top.level)))
+            top.count[tag] = top.count.get(tag, 0) + 1
+            continue
+        header = top.header
+        if tag == "header" and top.level:
+            headers += 1
+            header = headers
+        elif tag in HEADINGS and header:
+            headed.add(header)
+        level = max(top.level, 2 if tag == "article" else 1 if tag == "main" else 0)
+        stack.append(_Block(tag, level, aside or _aside(tag, attributes, top.level), header))
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
-    return out
+    return [(text, level, aside or bool(header and header not in headed)) for text, level, aside, header in out]
 
 
 def common_lines(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
