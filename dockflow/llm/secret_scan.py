@@ -5,7 +5,7 @@ looks at every other long token: it infers the token's encoding, tests that its
 symbols are uniform (chi-squared), and independent (runs about the median, lag-1
 serial correlation), and joins the three p-values by Fisher's method. A token is
 a secret if randomness can't be rejected at the level of its length class. That
-level is set by false-discovery control: tokens of letters alone, which are
+level is set by false-discovery control: tokens of letters of one case, which are
 words, pass each level at a known rate in each class. That rate, and the share of
 tokens that fail outright, give the words expected among the tokens that pass;
 the least level is taken at which they are at most 5 %. The class's own tokens
@@ -37,14 +37,18 @@ TOKEN = "[A-Za-z0-9+/_-]{16,}={0,2}"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings by the characters that a token has, tried in this order: pattern, alphabet.
 ENCODINGS = (
+    ("^[0-9]+$", DIGITS),
     ("^[0-9a-f]+$", DIGITS + LOWER[:6]),
     ("^[0-9A-F]+$", DIGITS + UPPER[:6]),
     ("^[A-Z2-7]+$", UPPER + DIGITS[2:8]),
     ("^[0-9a-z]+$", DIGITS + LOWER),
+    ("^[A-Za-z]+$", UPPER + LOWER),
     ("^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER),
     ("^[0-9A-Za-z+/]+$", UPPER + LOWER + DIGITS + "+/"),
     ("^[0-9A-Za-z_-]+$", UPPER + LOWER + DIGITS + "-_"),
 )
+#: Letters of one case, the first one aside, are words. Those of both cases inside are tested like any token.
+WORD = "^([A-Za-z]?[a-z]+|[A-Z]+)$"
 LEVELS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5)
 FALSE_SHARE = 0.05
 #: Tokens of a class with a p from here to the least level just fail. Words pass level a no more often than log10(1/a) times as
@@ -134,17 +138,18 @@ def _battery(token: Column) -> Column:
     def values(x: Column) -> Column:
         return F.struct(F.length(x["b"]).cast("double").alias("n"), F.length(x["a"]).cast("double").alias("a"), F.transform(F.split(x["b"], ""), lambda c: F.instr(x["a"], c)).alias("v"))
 
-    # Letters alone are judged as a token with digits would be.
-    wide = F.when(body.rlike("^[a-z]+$"), F.lit(DIGITS + LOWER)).when(body.rlike("^[A-Z]+$"), F.lit(ENCODINGS[2][1])).otherwise(alphabet)
+    # Words are judged as a token with digits would be.
+    wide = F.when(body.rlike("^[A-Z]+$"), F.lit(UPPER + DIGITS[2:8])).when(body.rlike("^[a-z]+$"), F.lit(DIGITS + LOWER)).when(body.rlike(WORD), F.lit(DIGITS + UPPER + LOWER)).otherwise(alphabet)
     return _bind(_bind(F.struct(body.alias("b"), wide.alias("a")), values), joined)
 
 
 def _tested(tokens: Column) -> Column:
-    return F.transform(tokens, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["w"].rlike("^[A-Za-z]+$").alias("plain"), _battery(x["w"]).alias("p")))
+    return F.transform(tokens, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["w"].rlike(WORD).alias("plain"), _battery(x["w"]).alias("p")))
 
 
 def _tokens(text: Column) -> Column:
-    return _matches(text, TOKEN, lambda w: ~w.rlike("^[0-9_+/-]+=*$"), words=True)
+    """Long tokens; of those without a letter the ones of digits alone."""
+    return _matches(text, TOKEN, lambda w: w.rlike("[A-Za-z]|^[0-9]+$"), words=True)
 
 
 def _length_class(span: Column) -> Column:

@@ -86,3 +86,26 @@ def test_stages_leave_columns_of_any_name(spark, tmp_path):
         assert all(tuple(r) == (r.doc_id, *(f"{n}{r.doc_id}" for n in names)) for r in got), name
     masked = corpus_pipeline.secrets(spark, docs, str(tmp_path)).collect()
     assert len(masked) == 20 and all("[SECRET]" in r.text and r.n_chars == len(r.text) for r in masked)
+
+
+def test_keys_of_every_alphabet_are_found(spark):
+    """Nine of ten planted keys of each alphabet with digits or both cases, from 20 characters on, among words and slugs."""
+    from dockflow.llm import secret_scan
+
+    rng = random.Random(9)
+    lower, upper, digits = secret_scan.LOWER, secret_scan.UPPER, secret_scan.DIGITS
+    alphabets = {"digits": digits, "hex": digits + "abcdef", "base32": upper + "234567", "lower": digits + lower, "letters": upper + lower, "base62": digits + upper + lower, "base64": digits + upper + lower + "+/"}
+    words = ["".join(rng.choice(["an", "er", "th", "re", "ion", "st"]) for _ in range(rng.randrange(8, 16))) for _ in range(1500)]
+    slugs = ["-".join(rng.choice(["the", "release", "of", "note", "2024"]) for _ in range(rng.randrange(4, 9))) for _ in range(300)]
+    camel = ["".join(rng.choice(["get", "Value", "Of", "Item", "List"]) for _ in range(7)) for _ in range(100)]
+    planted = {f"{name}{n}": ["".join(rng.choice(a) for _ in range(n)) for _ in range(20)] for name, a in alphabets.items() for n in (20, 24, 32, 40)}
+    keys = [k for own in planted.values() for k in own]
+    tokens = [*words, *slugs, *camel, *keys]
+    rng.shuffle(tokens)
+    rows = [(i, " ".join(tokens[10 * i:10 * i + 10])) for i in range(len(tokens) // 10)]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    found = {texts[r.doc_id][s.s:s.e] for r in got for s in r.random}
+    recall = {name: sum(k in found for k in own) / len(own) for name, own in planted.items()}
+    assert sum(recall.values()) / len(recall) >= 0.9 and min(recall.values()) >= 0.7, recall
+    assert len(found - set(keys)) <= 0.05 * len(found), found - set(keys)
