@@ -1,7 +1,9 @@
-"""DuckDB SQL of the queries on repeated word windows, conversations and vector codes."""
+"""DuckDB SQL of the queries on secrets, repeated word windows, conversations and vector codes."""
 
 from __future__ import annotations
 
+from dockflow.llm import secret_scan as s
+
 OP11_SQL = """
 WITH w AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
@@ -133,3 +135,92 @@ book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) A
 SELECT vec_id, lower(code) AS code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM book) AS codebooks_sha256
 FROM v JOIN coded ON coded.u = v.u
 """
+
+
+def op10_sql() -> str:
+    """Fixed patterns, the battery of each long token, levels by length class, and the spans."""
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+
+    def places(name: str, pattern: str, words: str, test: str) -> str:
+        """Rows (row, s, e, w) of the matches whose ``words`` pass ``test``: gaps and matches alternate."""
+        return f"""
+{name}_m AS (
+  SELECT row, unnest(regexp_extract_all(t, {quote(pattern)})) AS m, unnest(string_split_regex(t, {quote(pattern)})[:-2]) AS gap, unnest({words}) AS w,
+    unnest(range(len(regexp_extract_all(t, {quote(pattern)})))) AS i
+  FROM docs WHERE regexp_matches(t, {quote(pattern)})
+),
+{name}_p AS (SELECT row, w, length(m) AS n, SUM(length(gap) + length(m)) OVER (PARTITION BY row ORDER BY i) AS e FROM {name}_m),
+{name} AS (SELECT row, CAST(e - n AS BIGINT) AS s, CAST(e AS BIGINT) AS e, w FROM {name}_p WHERE {test}),"""
+
+    whole = lambda pattern: f"regexp_extract_all(t, {quote(pattern)})"
+    alphabet = "CASE " + " ".join(f"WHEN regexp_matches(b, {quote(p)}) THEN {quote(a)}" for p, a in s.ENCODINGS) + f" ELSE {quote(s.ENCODINGS[-2][1] + '-_')} END"
+    tail = lambda z: f"(1 / (1 + exp(1.5976 * ({z}) + 0.070565776 * ({z}) * ({z}) * ({z}))))"
+    held = lambda z: f"greatest(-8.0, least(8.0, {z}))"
+    levels = "([" + ", ".join(map(str, s.LEVELS)) + "]::DOUBLE[])"
+    fixed = "CASE " + " ".join(f"WHEN 4 * c >= {n} THEN {a}" for n, a in s.FIXED) + " END"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, COALESCE(text, '') AS t FROM documents),
+{places("assign", s.ASSIGN, f"regexp_extract_all(t, {quote(s.ASSIGN)}, 2)", f"length(w) >= {s.ASSIGN_VALUE}")}
+{places("access", s.ACCESS, whole(s.ACCESS), "true")}
+{places("hex", s.HEX, whole(s.HEX), "true")}
+{places("token", s.TOKEN, whole(s.TOKEN), "regexp_matches(w, '[A-Za-z]|^[0-9]+$')")}
+body AS (SELECT *, regexp_replace(w, '=+$', '') AS b, regexp_matches(w, {quote(s.WORD)}) AS plain, least((e - s) // 4, 16) AS c FROM token),
+coded AS (
+  SELECT *, CASE WHEN regexp_matches(b, '^[A-Z]+$') THEN {quote(s.UPPER + s.DIGITS[2:8])} WHEN regexp_matches(b, '^[a-z]+$') THEN {quote(s.DIGITS + s.LOWER)}
+    WHEN regexp_matches(b, {quote(s.WORD)}) THEN {quote(s.DIGITS + s.UPPER + s.LOWER)} ELSE {alphabet} END AS alpha
+  FROM body
+),
+numbers AS (
+  SELECT row, s, e, plain, c, CAST(length(b) AS DOUBLE) AS n, CAST(length(alpha) AS DOUBLE) AS a,
+    list_transform(string_split(b, ''), lambda x: CAST(instr(alpha, x) AS DOUBLE)) AS v
+  FROM coded
+),
+sums AS (
+  SELECT *, list_sum(list_transform(list_distinct(v), lambda u: pow(len(list_filter(v, lambda y: y = u)), 2))) AS squares,
+    CAST(len(list_filter(v, lambda y: y > a / 2)) AS DOUBLE) AS high,
+    1.0 + len(list_filter(range(1, len(v)), lambda i: (v[i] > a / 2) <> (v[i + 1] > a / 2))) AS runs,
+    list_sum(list_transform(range(1, len(v)), lambda i: (v[i] - (a + 1) / 2) * (v[i + 1] - (a + 1) / 2))) AS product
+  FROM numbers
+),
+scores AS (
+  SELECT *, (a / n * squares - n - (a - 1)) / sqrt(2 * (a - 1) * (n - 1) / n) AS chi, product / (sqrt(n - 1) * (a * a - 1) / 12) AS serial,
+    2 * high * (n - high) / n + 1 AS expected
+  FROM sums
+),
+spread AS (SELECT *, (expected - 1) * (expected - 2) / (n - 1) AS wide FROM scores),
+zs AS (SELECT row, s, e, plain, c, {held("chi")} AS z1, {held("CASE WHEN wide > 0 THEN abs(runs - expected) / sqrt(wide) ELSE 8.0 END")} AS z2, {held("abs(serial)")} AS z3 FROM spread),
+half AS (SELECT *, -(ln({tail("z1")}) + ln(least(1.0, 2 * {tail("z2")})) + ln(least(1.0, 2 * {tail("z3")}))) AS h FROM zs),
+tested AS (SELECT row, s, e, plain, c, exp(-h) * (1 + h + h * h / 2) AS p FROM half),
+counts AS (
+  SELECT c, plain, COUNT(*) AS n, COUNT(*) FILTER (WHERE p >= {s.NEAR} AND p < {s.LEVELS[0]}) AS near,
+    [{", ".join(f"COUNT(*) FILTER (WHERE p >= {a})" for a in s.LEVELS)}] AS passed
+  FROM tested GROUP BY c, plain
+),
+words AS (
+  SELECT k.c, COALESCE(SUM(w.n), 0) AS words, [{", ".join(f"COALESCE(SUM(w.passed[{k + 1}]), 0)" for k in range(len(s.LEVELS)))}] AS wp
+  FROM (SELECT unnest(range(4, 17)) AS c) k LEFT JOIN counts w ON w.plain AND w.c <= k.c AND w.c >= 4 GROUP BY k.c
+),
+own AS (
+  SELECT c, n, near, passed, words, wp, CASE WHEN words > wp[1] THEN least(n, (n - passed[1] + 1) / ((words - wp[1]) / words)) ELSE n END AS wrong
+  FROM counts JOIN words USING (c) WHERE NOT plain
+),
+found AS (
+  SELECT c, near, list_filter(range(1, {len(s.LEVELS) + 1}), lambda k: passed[k] > 0
+    AND least((wp[k] + 1) / (words + 1) * wrong, (near + 1) * -log10({levels}[k])) <= {s.FALSE_SHARE} * passed[k])[1] AS k
+  FROM own
+),
+level AS (SELECT c, CASE WHEN near < {s.FEW} THEN least(COALESCE({levels}[k], 1.0), {fixed}) ELSE {levels}[k] END AS level FROM found),
+random AS (SELECT row, s, e FROM tested JOIN level USING (c) WHERE NOT plain AND p >= level),
+spans AS (
+  SELECT row, s, e, 0 AS k, 'assign' AS kind FROM assign UNION ALL SELECT row, s, e, 1, 'access' FROM access
+  UNION ALL SELECT row, s, e, 2, 'hex' FROM hex UNION ALL SELECT row, s, e, 3, 'random' FROM random
+),
+listed AS (
+  SELECT row, COUNT(*) FILTER (WHERE k = 0) AS n_assign, COUNT(*) FILTER (WHERE k = 1) AS n_access, COUNT(*) FILTER (WHERE k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (WHERE k < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY row
+)
+SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
+  sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
+FROM docs LEFT JOIN listed ON listed.row = docs.row
+"""

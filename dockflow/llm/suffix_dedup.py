@@ -9,8 +9,9 @@ one record: the bytes they cover, and where the anchor is.
 
 1. Anchors are compared by hash over all documents; only windows whose anchor is
    in two documents or more go on.
-2. Their records are range-partitioned by 16 leading bytes of the suffix at the
-   anchor; splitters are quantiles of a sample of all anchors.
+2. Their records are range-partitioned by 12 leading bytes of the suffix at the
+   anchor, and by the anchor's hash where many begin alike; splitters are quantiles of
+   a sample of all anchors.
 3. A bucket sorts the windows of its records by multikey quicksort, eight bytes
    a symbol: groups that are equal so far are split by their next symbol, and
    groups of one leave. Windows equal in all symbols get their least id. Equal
@@ -128,6 +129,7 @@ def _block(pieces: list[tuple[int, int]], texts: list[bytes]) -> Records:
     new[1:] = (owner[1:] != owner[:-1]) | (piece[1:] != piece[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(ok)))
+    gram = mix([gram], 2)  # least hashes are all small: mixed again, they spread evenly over ranges
     numbers = np.array([d for d, _ in pieces], np.int64)
     shift = np.array([s for _, s in pieces], np.int64) - starts
     own = piece[first]
@@ -135,8 +137,13 @@ def _block(pieces: list[tuple[int, int]], texts: list[bytes]) -> Records:
 
 
 def _lead(r: Records) -> tuple[np.ndarray, np.ndarray]:
-    """The 16 leading bytes of the suffix at the anchor as two numbers in the order of bytes."""
-    return r.words[r.anchor].byteswap(), r.words[r.anchor + 8].byteswap()
+    """The 12 leading bytes of the suffix at the anchor, then 32 bits of the anchor's hash, as two numbers in the order of bytes.
+
+    The hash comes last so that splitters can part anchors that begin alike: equal
+    windows have the same one.
+    """
+    low = np.uint64((1 << 32) - 1)
+    return r.words[r.anchor].byteswap(), (r.words[r.anchor + 8].byteswap() & ~low) | (mix([r.gram], 3) >> np.uint64(32))
 
 
 def _bucket_of(splitters: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
