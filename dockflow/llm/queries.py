@@ -17,7 +17,7 @@ from dockflow.llm.page_text import main_text
 from dockflow.llm.phrase_automata import remove_passages
 from dockflow.llm.secret_scan import KINDS, listed, scan
 from dockflow.llm.simhash import near_duplicates
-from dockflow.llm.sql import OP11_SQL, OP12_SQL, op10_sql, op13_sql
+from dockflow.llm.sql import OP11_SQL, OP12_SQL, op9_sql, op10_sql, op13_sql
 from dockflow.llm.suffix_dedup import remove_repeats
 from dockflow.llm.token_files import read_token_files, write_token_files
 from dockflow.llm.toxicity import add_scores, fit_model, held_out
@@ -229,4 +229,4 @@ FROM p{top} p JOIN judged ON judged.host = p.host AND judged.t = p.t
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are tested by brute force in tests/llm."""
-    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL, "op10_secret_battery": op10_sql(), "op11_phrase_automata": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_orchard_codes": op13_sql()}
+    return {"op1_url_templates": op1_sql(), "op3_suffix_dedup": OP3_SQL, "op5_embedding_dups": OP5_SQL, "op9_simhash": op9_sql(), "op10_secret_battery": op10_sql(), "op11_phrase_automata": OP11_SQL, "op12_conversation_repair": OP12_SQL, "op13_orchard_codes": op13_sql()}

@@ -224,3 +224,67 @@ SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_acc
   sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans
 FROM docs LEFT JOIN listed ON listed.row = docs.row
 """
+
+
+def op9_sql(shingle: int = 3, seed: int = 42, tau: int = 3) -> str:
+    """XXH64 of word shingles step by step, majority bits, links by differing bits, components."""
+    # The multipliers of XXH64.
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    size = 1 << 64
+    wrap = lambda x: f"CAST(({x}) % {size}::UHUGEINT AS UBIGINT)"
+    wide = lambda x: f"CAST({x} AS UHUGEINT)"
+    mul = lambda x, k: wrap(f"{wide(x)} * {k}::UHUGEINT")
+    add = lambda x, y: wrap(f"{wide(x)} + {wide(y)}")
+    turn = lambda x, r: f"({mul(x, 1 << r)} | ({x} >> {64 - r}))"
+    lane = lambda x: mul(turn(mul(x, p2), 31), p1)
+    number = lambda at, n: "CAST('0x' || " + " || ".join(f"substr(h, {at} + {2 * k}, 2)" for k in reversed(range(n))) + " AS UBIGINT)"
+    start = lambda v: f"{v % size}::UBIGINT"
+    stripe = lambda v, k: mul(turn(add(v, mul(number(f"CAST(64 * x + {16 * k + 1} AS BIGINT)", 8), p2)), 31), p1)
+    lanes = "".join(
+        f", list_reduce(list_prepend({start(v)}, range(n // 32)::UBIGINT[]), lambda v, x: {stripe('v', k)}) AS v{k}"
+        for k, v in enumerate((seed + p1 + p2, seed + p2, seed, seed - p1)))
+    steps = ", ".join(f"v{k}" for k in range(4))
+    x, four = "x", number("(2 * o + 1)", 4)
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    list_filter(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+),
+s AS (SELECT row, array_to_string(ws[p:p + {shingle - 1}], ' ') AS s FROM (SELECT row, ws, unnest(range(1, greatest(1, len(ws) - {shingle - 1}) + 1)) AS p FROM d WHERE len(ws) > 0)),
+u AS (SELECT s, hex(encode(s)) AS h, octet_length(encode(s)) AS n FROM (SELECT DISTINCT s FROM s)),
+v AS (SELECT s, h, n{lanes} FROM u),
+w AS (
+  SELECT s, h, n, CASE WHEN n < 32 THEN {start(seed + p5)} ELSE list_reduce(
+    list_prepend({wrap(" + ".join(wide(turn(f"v{k}", r)) for k, r in enumerate((1, 7, 12, 18))))}, [{steps}]),
+    lambda a, x: {wrap(f"{wide(mul(f'xor(a, {lane(x)})', p1))} + {p4}::UHUGEINT")}) END AS a
+  FROM v
+),
+e AS (SELECT s, h, n, {wrap(f"{wide('a')} + n::UHUGEINT")} AS a, n % 32 // 8 AS eights, n - n % 32 AS base FROM w),
+e8 AS (
+  SELECT s, h, n, base + 8 * eights AS o, list_reduce(list_prepend(a, list_transform(range(eights), lambda i: {number("(2 * (base + 8 * i) + 1)", 8)})),
+    lambda a, x: {wrap(f"{wide(mul(turn(f'xor(a, {lane(x)})', 27), p1))} + {p4}::UHUGEINT")}) AS a
+  FROM e
+),
+e4 AS (
+  SELECT s, h, n, CASE WHEN n - o >= 4 THEN o + 4 ELSE o END AS o, CASE WHEN n - o >= 4
+    THEN {wrap(f"{wide(mul(turn(f'xor(a, {mul(four, p1)})', 23), p2))} + {p3}::UHUGEINT")} ELSE a END AS a
+  FROM e8
+),
+e1 AS (
+  SELECT s, list_reduce(list_prepend(a, list_transform(range(n - o), lambda i: {number("(2 * (o + i) + 1)", 1)})),
+    lambda a, x: {mul(turn(f"xor(a, {mul(x, p5)})", 11), p1)}) AS a
+  FROM e4
+),
+f1 AS (SELECT s, {mul("xor(a, a >> 33)", p2)} AS a FROM e1),
+f2 AS (SELECT s, {mul("xor(a, a >> 29)", p3)} AS a FROM f1),
+f AS (SELECT s, xor(a, a >> 32) AS a FROM f2),
+bits AS (SELECT row, COUNT(*) AS n, {", ".join(f"SUM((a >> {b}) & 1) AS b{b}" for b in range(64))} FROM s JOIN f USING (s) GROUP BY row),
+majority AS (SELECT row, {" | ".join(f"CASE WHEN 2 * b{b} > n THEN {1 << b}::UBIGINT ELSE 0::UBIGINT END" for b in range(64))} AS fp FROM bits),
+fps AS (SELECT doc_id, COALESCE(fp, 0::UBIGINT) AS fp FROM d LEFT JOIN majority USING (row)),
+one AS (SELECT fp, MIN(doc_id) AS least FROM fps GROUP BY fp),
+link AS (SELECT a.fp AS x, b.fp AS y FROM one a JOIN one b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {tau}),
+reach AS (SELECT fp AS x, fp AS y FROM one UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+root AS (SELECT reach.x AS fp, MIN(one.least) AS component_id FROM reach JOIN one ON one.fp = reach.y GROUP BY reach.x)
+SELECT doc_id, lpad(lower(to_hex(fps.fp)), 16, '0') AS fingerprint, component_id FROM fps JOIN root ON root.fp = fps.fp
+"""
